@@ -1,0 +1,4 @@
+"""Queries over the test tables that exercise every operator."""
+
+from shelfmark.workload import shredding  # noqa: F401
+from shelfmark.workload.registry import ORACLES, QUERIES  # noqa: F401
