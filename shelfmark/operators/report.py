@@ -62,13 +62,18 @@ def schema_diff(spark: SparkSession, present: Mapping[str, Collection[str]], wan
     wanted = wanted or {t.name: t.columns for t in TABLES.values()}
     schema = "table_name string, column_name string"
     pairs = lambda m: [(t, c) for t, cols in m.items() for c in cols]
-    model = spark.createDataFrame(pairs(wanted), schema)
-    found = spark.createDataFrame(pairs(present), schema)
+    return column_diff(
+        spark.createDataFrame(pairs(wanted), schema), spark.createDataFrame(pairs(present), schema)
+    )
+
+
+def column_diff(wanted: DataFrame, found: DataFrame) -> DataFrame:
+    """(table_name, column_name, problem): ``missing`` from ``found``, or ``unknown`` there."""
     keys = ["table_name", "column_name"]
     return (
-        model.join(found, keys, "left_anti")
+        wanted.join(found, keys, "left_anti")
         .withColumn("problem", F.lit("missing"))
-        .unionByName(found.join(model, keys, "left_anti").withColumn("problem", F.lit("unknown")))
+        .unionByName(found.join(wanted, keys, "left_anti").withColumn("problem", F.lit("unknown")))
     )
 
 

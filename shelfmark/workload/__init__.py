@@ -1,4 +1,11 @@
 """Queries over the test tables that exercise every operator."""
 
-from shelfmark.workload import shredding  # noqa: F401
+from shelfmark.workload import (  # noqa: F401
+    checks,
+    ingestion,
+    searching,
+    shredding,
+    state,
+    upserts,
+)
 from shelfmark.workload.registry import ORACLES, QUERIES  # noqa: F401

@@ -173,7 +173,9 @@ def publisher_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
           'works_count', p_size, 'sources_count', if(p_size % 5 = 0, NULL, p_size * 2),
           'updated_date', '2024-04-01T00:00:00',
           'ids', if(p_size % 7 = 0, NULL, named_struct('ror', concat('ror/', p_partkey), 'wikidata', p_brand)),
-          'counts_by_year', array(named_struct('year', 2012, 'cited_by_count', p_size), named_struct('year', 2013, 'works_count', 2))
+          'counts_by_year', array(
+            named_struct('year', 2012, 'works_count', NULL, 'cited_by_count', p_size),
+            named_struct('year', 2013, 'works_count', 2, 'cited_by_count', NULL))
         ))
     """
     return spread(load(spark, sf_dir, "part")).selectExpr(
