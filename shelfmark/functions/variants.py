@@ -1,12 +1,18 @@
-"""Column functions on VARIANT values that keep an absent key apart from an explicit null."""
+"""Column functions on VARIANT values that keep an absent key apart from an explicit null.
+
+Type tests cast to the narrowest type of their kind, so no list element or member is copied.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_ANY_LIST = "array<variant>"
-_ANY_OBJECT = "map<string,variant>"
+_SOME_LIST = "array<boolean>"
+_SOME_OBJECT = "struct<`_`:boolean>"
+
+# The JSON texts of values that count as false.
+_FALSY_JSON = r'^(null|false|""|\[\]|\{\}|-?0(\.0*)?([eE][-+]?\d+)?)$'
 
 
 def child(value: Column, path: str) -> Column:
@@ -64,33 +70,24 @@ def first(items: Column) -> Column:
     return F.get(items, F.lit(0))
 
 
-def as_list(item: Column) -> Column:
-    return F.try_variant_get(item, "$", _ANY_LIST)
-
+def list_size(value: Column, path: str = "$") -> Column:
+    """Number of elements, NULL when the value is not a list."""
+    return F.size(F.try_variant_get(value, path, _SOME_LIST))
 
-def as_object(item: Column) -> Column:
-    return F.try_variant_get(item, "$", _ANY_OBJECT)
 
+def is_list(value: Column, path: str = "$") -> Column:
+    return F.try_variant_get(value, path, _SOME_LIST).isNotNull()
 
-def is_list(item: Column) -> Column:
-    return as_list(item).isNotNull()
 
+def is_object(value: Column, path: str = "$") -> Column:
+    return F.try_variant_get(value, path, _SOME_OBJECT).isNotNull()
 
-def is_object(item: Column) -> Column:
-    return as_object(item).isNotNull()
 
-
-def is_falsy(item: Column) -> Column:
+def is_falsy(value: Column, path: str = "$") -> Column:
     """Absent, null, empty list or object, empty text, zero or false."""
-    shown = F.to_json(item)
-    scalar = F.when(shown.startswith('"'), shown == '""').otherwise(
-        shown.isin("null", "false") | F.coalesce(shown.try_cast("double") == 0, F.lit(False))
-    )
-    return (
-        F.when(item.isNull() | F.is_variant_null(item), F.lit(True))
-        .when(is_list(item), F.size(as_list(item)) == 0)
-        .when(is_object(item), F.size(F.map_keys(as_object(item))) == 0)
-        .otherwise(scalar)
+    shown = F.to_json(child(value, path))
+    return F.when(list_size(value, path) > 0, F.lit(False)).otherwise(
+        F.coalesce(shown.rlike(_FALSY_JSON), F.lit(True))
     )
 
 
@@ -99,22 +96,23 @@ def first_truthy(*texts: Column) -> Column:
     return F.coalesce(*[F.nullif(t, F.lit("")) for t in texts])
 
 
-def not_a_list(item: Column) -> Column:
+def not_a_list(value: Column, path: str = "$") -> Column:
     """Present, and not something a loop over list elements could run on.
 
     An empty object or empty text has no elements and is let through.
     """
-    empty_other = F.when(is_object(item), F.size(F.map_keys(as_object(item))) == 0).otherwise(
-        F.to_json(item) == '""'
+    shown = F.to_json(child(value, path))
+    return F.when(is_list(value, path), F.lit(False)).otherwise(
+        F.coalesce(~shown.isin("{}", '""'), F.lit(False))
     )
-    return item.isNotNull() & ~is_list(item) & ~F.coalesce(empty_other, F.lit(False))
 
 
-def not_an_object(item: Column) -> Column:
+def not_an_object(value: Column, path: str = "$") -> Column:
     """Present (null included) and not an object."""
-    return item.isNotNull() & ~is_object(item)
+    return ~is_object(value, path) & child(value, path).isNotNull()
 
 
-def not_iterable(item: Column) -> Column:
+def not_iterable(value: Column, path: str = "$") -> Column:
     """Present, and neither a list, an object nor a text."""
-    return item.isNotNull() & ~is_list(item) & ~is_object(item) & ~F.to_json(item).startswith('"')
+    other = F.coalesce(~F.to_json(child(value, path)).startswith('"'), F.lit(False))
+    return ~is_list(value, path) & ~is_object(value, path) & other

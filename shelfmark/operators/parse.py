@@ -2,57 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions import variants as V
-
 OK = "ok"
 MALFORMED = "malformed"
 NOT_OBJECT = "not_object"
 NO_ID = "no_id"
 STRICT = "strict:"
 
+FRAME = "framed"
+RECORD = "$[0]"  # where the record sits inside the frame
+
+_PROOF = "$[1]"
+_REST = "$[2]"
 _JSON_BLANKS = " \t\r\n"
 
 
 def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Add ``status`` and the parsed record ``v``; ``raw`` keeps the text of bad lines.
+    """Add ``status`` and the parsed line ``framed``; ``raw`` keeps the text of bad lines.
 
     The parser stops at the end of the first JSON value and would accept trailing junk. So
     each line is parsed once as the first element of a list whose second and last element is
-    the hash of the line: junk either breaks the list or displaces the hash.
+    the hash of the line: junk either breaks the list or displaces the hash. The record is
+    read in place, at ``RECORD`` inside the frame, because taking it out would rebuild it.
     Columns starting with an underscore (origin of the line) are carried along.
     """
     line = F.col(value)
-    proof = F.xxhash64(line)
-    framed = F.concat(F.lit("["), line, F.lit(","), proof.cast("string"), F.lit("]"))
+    framed = F.concat(
+        F.lit("["), line, F.lit(","), F.xxhash64(line).cast("string"), F.lit("]")
+    )
     origin = [c for c in lines.columns if c.startswith("_")]
     # The one-element explode keeps the optimizer from copying the parse into every filter
     # and projection that uses its result.
     parsed = lines.select(
-        *origin, line.alias("_line"), F.explode_outer(F.array(F.try_parse_json(framed))).alias("_p")
+        *origin, line.alias("line"), F.explode_outer(F.array(F.try_parse_json(framed))).alias(FRAME)
     )
-    whole = F.coalesce(
-        (F.try_variant_get("_p", "$[1]", "bigint") == F.xxhash64("_line"))
-        & V.is_absent(F.col("_p"), "$[2]"),
-        F.lit(False),
+    proved = F.try_variant_get(FRAME, _PROOF, "bigint") == F.xxhash64("line")
+    whole = F.coalesce(proved, F.lit(False)) & F.try_variant_get(FRAME, _REST, "variant").isNull()
+    is_object = F.ltrim("line", F.lit(_JSON_BLANKS)).startswith("{")
+    status = F.when(~whole, MALFORMED).when(~is_object, NOT_OBJECT).otherwise(OK)
+    return parsed.select(*origin, status.alias("status"), "line", FRAME).select(
+        *origin, "status", F.when(F.col("status") != OK, F.col("line")).alias("raw"), FRAME
     )
-    is_object = F.ltrim("_line", F.lit(_JSON_BLANKS)).startswith("{")
-    return (
-        parsed.select(
-            *origin, "_line", whole.alias("_whole"), V.child(F.col("_p"), "$[0]").alias("v")
-        )
-        .select(
-            *origin,
-            F.when(~F.col("_whole"), MALFORMED)
-            .when(~is_object, NOT_OBJECT)
-            .otherwise(OK)
-            .alias("status"),
-            "_line",
-            F.when(F.col("_whole"), F.col("v")).alias("v"),
-        )
-        .select(
-            *origin, "status", F.when(F.col("status") != OK, F.col("_line")).alias("raw"), "v"
-        )
+
+
+def record() -> Column:
+    """The record of a well-formed line as a VARIANT of its own."""
+    return F.when(
+        F.col("status") != MALFORMED, F.try_variant_get(FRAME, RECORD, "variant")
     )
+
+
+def records(parsed: DataFrame, name: str = "v") -> DataFrame:
+    """The good lines, with their records as VARIANT column ``name``."""
+    origin = [c for c in parsed.columns if c.startswith("_")]
+    return parsed.where(F.col("status") == OK).select(*origin, record().alias(name))

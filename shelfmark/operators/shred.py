@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from shelfmark.functions import scalars as S
 from shelfmark.functions import variants as V
-from shelfmark.operators.parse import NO_ID, OK, STRICT
+from shelfmark.operators.parse import FRAME, NO_ID, OK, RECORD, STRICT
 from shelfmark.operators.strict import strict_reason
 from shelfmark.plans.catalog import TABLES, entity as find_entity
 from shelfmark.plans.model import Entity, Field, Table
@@ -32,40 +32,51 @@ def shape(parsed: DataFrame, entity: str, mode: str = "lenient", tables=None) ->
     spec = find_entity(entity)
     wanted = tables_of(spec, tables)
     origin = [c for c in parsed.columns if c.startswith("_")]
-    v = F.col("v")
+    framed = F.col(FRAME)
     status = F.col("status")
     if mode == "strict":
-        reason = strict_reason(spec, v)
-        status = F.when((status == OK) & reason.isNotNull(), F.concat(F.lit(STRICT), reason))
-        status = F.coalesce(status, F.col("status"))
-    record_id = F.try_variant_get(v, "$.id", "string")
-    typed = parsed.select(
+        reason = F.when(status == OK, strict_reason(spec, framed, RECORD))
+        status = F.coalesce(F.concat(F.lit(STRICT), reason), status)
+    record_id = F.try_variant_get(framed, f"{RECORD}.id", "string")
+    return parsed.select(
         *origin,
-        F.when((status == OK) & record_id.isNull(), NO_ID).otherwise(status).alias("status"),
+        status.alias("_status"),
         "raw",
-        "v",
+        FRAME,
         record_id.alias("id"),
-        *_presence_flags(wanted, v),
-        F.try_variant_get(v, "$", reading_schema(wanted)).alias("rec"),
+        *_presence_flags(wanted, framed),
+        F.try_variant_get(framed, RECORD, reading_schema(wanted)).alias("rec"),
+    ).select(
+        *origin,
+        F.when((F.col("_status") == OK) & F.col("id").isNull(), NO_ID)
+        .otherwise(F.col("_status"))
+        .alias("status"),
+        # lines refused here are shown as the JSON that was read
+        F.when(F.col("raw").isNotNull(), F.col("raw"))
+        .when((F.col("_status") != OK) | F.col("id").isNull(), F.to_json(V.child(F.col(FRAME), RECORD)))
+        .alias("raw"),
+        "id",
+        *flag_names(wanted),
+        "rec",
     )
-    bad = F.col("status") != OK
-    return typed.withColumn("raw", F.when(bad, F.coalesce("raw", F.to_json("v")))).drop("v")
 
 
-def _presence_flags(tables: list[Table], v: Column) -> list[Column]:
+def flag_names(tables: list[Table]) -> list[str]:
+    present = [f"has_{t.at}" for t in tables if t.rows == "present"]
+    return present + [f"use_{t.fallback}" for t in tables if t.fallback]
+
+
+def _presence_flags(tables: list[Table], framed: Column) -> list[Column]:
     """What a typed cast cannot tell: whether a container was there but empty."""
-    flags = []
+    flags = {}
     for t in tables:
         if t.rows == "present":
-            flags.append((~V.is_falsy(V.child(v, f"$.{t.at}"))).alias(f"has_{t.at}"))
+            flags[f"has_{t.at}"] = ~V.is_falsy(framed, f"{RECORD}.{t.at}")
         if t.fallback:
-            flags.append(
-                (
-                    V.is_falsy(V.child(v, f"$.{t.at}"))
-                    & ~V.is_falsy(V.child(v, f"$.{t.fallback}"))
-                ).alias(f"use_{t.fallback}")
+            flags[f"use_{t.fallback}"] = V.is_falsy(framed, f"{RECORD}.{t.at}") & ~V.is_falsy(
+                framed, f"{RECORD}.{t.fallback}"
             )
-    return flags
+    return [flags[name].alias(name) for name in flag_names(tables)]
 
 
 def cut(shaped: DataFrame, table: str, mode: str = "lenient", good_keys: bool = True) -> DataFrame:
@@ -165,14 +176,11 @@ def _fill(f: Field, base: str, record_type: T.StructType | None, mode: str) -> C
 
 
 def _raw_length(item: Column, mode: str) -> Column:
-    listed = F.size(V.as_list(item))
-    if mode == "strict":  # strict counts whatever has a length: keys, characters
-        listed = F.coalesce(
-            listed,
-            F.size(F.map_keys(V.as_object(item))),
-            F.length(F.try_variant_get(item, "$", "string")),
-        )
-    return F.coalesce(listed, F.lit(0))
+    size = F.size(F.try_variant_get(item, "$", "array<string>"))
+    if mode == "strict":  # strict counts whatever has a length: members, characters
+        members = F.size(F.map_keys(F.try_variant_get(item, "$", "map<string,string>")))
+        size = F.coalesce(size, members, F.length(F.try_variant_get(item, "$", "string")))
+    return F.coalesce(size, F.lit(0))
 
 
 def shred(parsed: DataFrame, entity: str, mode: str = "lenient", tables=None) -> dict[str, DataFrame]:

@@ -11,56 +11,70 @@ from shelfmark.functions import variants as V
 from shelfmark.plans.model import Entity
 
 
-def strict_reason(entity: Entity, v: Column) -> Column:
-    """The name of the first offending key, NULL when the record is acceptable."""
-
-    def at(key: str) -> Column:
-        return V.child(v, f"$.{key}")
-
+def strict_reason(entity: Entity, v: Column, root: str = "$") -> Column:
+    """The first offending key of the record at ``root``, NULL when it is acceptable."""
     rules: list[tuple[str, Column]] = []
     for key in entity.lists:
-        rules.append((key, V.not_a_list(at(key))))
+        rules.append((key, V.not_a_list(v, f"{root}.{key}")))
     for key in entity.objects:
-        rules.append((key, V.not_an_object(at(key))))
+        rules.append((key, V.not_an_object(v, f"{root}.{key}")))
     for key in entity.lists:
-        rules.append((key, _any_element(at(key), _element_rule(entity.element_objects.get(key, ())))))
+        rules.append((key, _any_element(v, f"{root}.{key}", entity.element_objects.get(key, ()))))
     if entity.name == "works":
-        rules.extend(_works_rules(at))
+        rules.extend(_works_rules(v, root))
     return F.coalesce(*[F.when(broken, F.lit(key)) for key, broken in rules])
 
 
-def _any_element(items: Column, broken: Callable[[Column], Column]) -> Column:
-    return F.coalesce(F.exists(V.as_list(items), broken), F.lit(False))
+def _any_element(
+    v: Column,
+    path: str,
+    objects: tuple[str, ...],
+    others: tuple[str, ...] = (),
+    more: Callable[[Column], Column] | None = None,
+) -> Column:
+    """Whether an element of the list is no object, or has a wrong value under ``objects``.
 
+    One cast takes out just the keys that are looked at; an element that is no object comes
+    out as NULL.
+    """
+    looked_at = "".join(f"`{name}`:variant," for name in (*objects, *others))
+    elements = F.try_variant_get(v, path, f"array<struct<{looked_at}`_`:boolean>>")
 
-def _element_rule(objects: tuple[str, ...]) -> Callable[[Column], Column]:
-    return lambda element: _bad_element(element, objects)
+    def broken(element: Column) -> Column:
+        bad = element.isNull()
+        for name in objects:
+            bad = bad | _wrong_object(element[name])
+        return bad if more is None else bad | more(element)
 
+    return F.coalesce(F.exists(elements, broken), F.lit(False))
 
-def _bad_element(element: Column, objects: tuple[str, ...]) -> Column:
-    bad = ~V.is_object(element)
-    for key in objects:
-        bad = bad | V.not_an_object(V.child(element, f"$.{key}"))
-    return bad
 
+def _wrong_object(item: Column) -> Column:
+    return item.isNotNull() & ~V.is_object(item)
 
-def _works_rules(at: Callable[[str], Column]) -> list[tuple[str, Column]]:
-    cited = at("referenced_works")
-    locations, primary, biblio = at("locations"), at("primary_location"), at("biblio")
-    stand_in = V.is_falsy(locations) & ~V.is_falsy(primary)
-    loopable = V.is_list(locations) | ~V.not_a_list(locations)
+
+def _works_rules(v: Column, root: str) -> list[tuple[str, Column]]:
+    stand_in = ~V.is_falsy(v, f"{root}.primary_location") & V.is_falsy(v, f"{root}.locations")
+    bad_stand_in = ~V.is_object(v, f"{root}.primary_location") | V.not_an_object(
+        v, f"{root}.primary_location.source"
+    )
     return [
-        ("referenced_works", V.not_iterable(cited)),
-        ("locations", ~stand_in & ~loopable),
-        ("locations", stand_in & _bad_element(primary, ("source",))),
-        ("locations", _any_element(locations, _element_rule(("source",)))),
-        ("authorships", _any_element(at("authorships"), _bad_authorship)),
-        ("biblio", ~V.is_falsy(biblio) & ~V.is_object(biblio)),
+        ("referenced_works", V.not_iterable(v, f"{root}.referenced_works")),
+        ("locations", V.not_a_list(v, f"{root}.locations") & ~stand_in),
+        ("locations", bad_stand_in & stand_in),
+        ("locations", _any_element(v, f"{root}.locations", ("source",))),
+        (
+            "authorships",
+            _any_element(
+                v, f"{root}.authorships", (), ("raw_affiliation_strings", "institutions"), _bad_places
+            ),
+        ),
+        ("biblio", ~V.is_object(v, f"{root}.biblio") & ~V.is_falsy(v, f"{root}.biblio")),
     ]
 
 
-def _bad_authorship(authorship: Column) -> Column:
-    places = V.child(authorship, "$.institutions")
-    return V.not_iterable(V.child(authorship, "$.raw_affiliation_strings")) | (
-        ~V.is_falsy(places) & ~V.is_object(V.child(authorship, "$.institutions[0]"))
+def _bad_places(authorship: Column) -> Column:
+    places = authorship["institutions"]
+    return V.not_iterable(authorship["raw_affiliation_strings"]) | (
+        ~V.is_object(places, "$[0]") & ~V.is_falsy(places)
     )

@@ -36,8 +36,8 @@ def reading_schema(tables: list[Table]) -> str:
         if table.fallback:
             _put(root, table.fallback, "variant")
     for f in (f for table in tables for f in table.fields if f.how == "length"):
-        # Lists that are also tables are in the tree by now; others are kept raw.
-        root.setdefault(f.path, "variant")
+        # Lists that are read for another column are in the tree by now.
+        root.setdefault(f.path, "array<boolean>")
     return _struct(root)
 
 

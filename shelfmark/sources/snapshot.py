@@ -37,21 +37,35 @@ def latest_partition(rows: DataFrame, column: str = "partition") -> DataFrame:
     return rows.where(F.col(column) == newest)
 
 
-def scan_window(rows: DataFrame, start, end, column: str = "_partition") -> DataFrame:
-    """The rows of the partitions from ``start`` to ``end``, both included."""
-    return rows.where(F.col(column).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
-
-
-def scan_lines(spark: SparkSession, path: str, pattern: str = GZ, files: list[str] | None = None) -> DataFrame:
+def scan_window(rows: DataFrame, start=None, end=None, column: str = "partition") -> DataFrame:
+    """The rows of the partitions from ``start`` to ``end``, both included; None is open."""
+    if start is not None:
+        rows = rows.where(F.col(column) >= F.lit(start).cast("date"))
+    if end is not None:
+        rows = rows.where(F.col(column) <= F.lit(end).cast("date"))
+    return rows
+
+
+def scan_lines(
+    spark: SparkSession,
+    path: str,
+    pattern: str = GZ,
+    files: list[str] | None = None,
+    start=None,
+    end=None,
+) -> DataFrame:
     """Lines with their origin: ``_partition``, ``_file``, ``_row`` (rising within a file), ``value``.
 
-    ``files`` limits the scan to the given paths below ``path``, before anything is read.
+    ``files`` limits the scan to the given paths below ``path``, ``start`` and ``end`` to a
+    window of partitions. Both act on the file listing, before anything is read; a filter put
+    on the result would come after the row numbers and read everything.
     """
     reader = spark.read.option("basePath", path)
     if files is None:
         lines = reader.option("pathGlobFilter", pattern).text(path)
     else:
         lines = reader.text(files)
+    lines = scan_window(lines, start, end, PARTITION)
     return lines.select(*_origin(lines.columns), "value")
 
 
@@ -64,9 +78,9 @@ def _origin(columns: list[str]) -> list[Column]:
     ]
 
 
-def scan_jsonl(spark: SparkSession, path: str, pattern: str = GZ, files: list[str] | None = None) -> DataFrame:
-    """Parsed lines. A gzip is one task, so the parse is spread over all cores."""
-    return parse_lines(spread(scan_lines(spark, path, pattern, files)))
+def scan_jsonl(spark: SparkSession, path: str, **limits) -> DataFrame:
+    """Parsed lines; takes what :func:`scan_lines` takes."""
+    return parse_lines(spread(scan_lines(spark, path, **limits)))
 
 
 def stream_lines(spark: SparkSession, path: str, files_per_trigger: int, pattern: str = GZ) -> DataFrame:

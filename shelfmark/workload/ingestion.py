@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.operators.flatten import flatten, write_csv
-from shelfmark.operators.parse import parse_lines
+from shelfmark.operators.parse import FRAME, RECORD, parse_lines, records
 from shelfmark.operators.publish import resolve
 from shelfmark.session import scratch, spread
 from shelfmark.sources import snapshot
@@ -42,8 +42,8 @@ SELECT strftime(ts, '%Y-%m-%d') AS "partition", count(*) n_lines, count(*) last_
 FROM events GROUP BY 1""",
 )
 def q_scan_lines(spark, sf):
-    lines = snapshot.scan_jsonl(spark, _event_files(spark, sf), "*.gz")
-    wanted = lines.select("_partition", "_file", "_row", F.try_variant_get("v", "$.k", "bigint").alias("k"))
+    lines = snapshot.scan_jsonl(spark, _event_files(spark, sf))
+    wanted = lines.select("_partition", "_file", "_row", F.try_variant_get(FRAME, f"{RECORD}.k", "bigint").alias("k"))
     numbered = snapshot.number_lines(wanted, wanted)
     per_file = numbered.groupBy("_partition", "_file").agg(
         F.count("*").alias("n"), F.max("line").alias("last"), F.sum("k").alias("k")
@@ -60,12 +60,8 @@ SELECT strftime(ts, '%Y-%m-%d') AS "partition", count(*) n FROM events
 WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-15' GROUP BY 1""",
 )
 def q_window_partition(spark, sf):
-    lines = snapshot.scan_lines(spark, _event_files(spark, sf))
-    return (
-        snapshot.scan_window(lines, "2024-01-10", "2024-01-15")
-        .groupBy(shown("_partition", "partition"))
-        .agg(F.count("*").alias("n"))
-    )
+    lines = snapshot.scan_lines(spark, _event_files(spark, sf), start="2024-01-10", end="2024-01-15")
+    return lines.groupBy(shown("_partition", "partition")).agg(F.count("*").alias("n"))
 
 
 @query(
@@ -102,14 +98,14 @@ _FLAT_COLUMNS = ["key", "name", "place_nation", "tags", "flag"]
 
 @query("q_flatten", _FLAT)
 def q_flatten(spark, sf):
-    flat = flatten(parse_lines(_customer_records(spark, sf)))
+    flat = flatten(records(parse_lines(_customer_records(spark, sf))))
     return flat.select(*_FLAT_COLUMNS, num("place_geo_balance", digits=2))
 
 
 @query("q_csv_roundtrip", _FLAT)
 def q_csv_roundtrip(spark, sf):
     path = scratch(spark, "csv")
-    flat = flatten(parse_lines(_customer_records(spark, sf)))
+    flat = flatten(records(parse_lines(_customer_records(spark, sf))))
     write_csv(flat.drop("_row"), path)
     ddl = "key bigint, name string, place_nation bigint, place_geo_balance double, tags string, flag boolean"
     return scan_csv(spark, path, ddl).select(*_FLAT_COLUMNS, num("place_geo_balance", digits=2))

@@ -32,11 +32,14 @@ _LINE = (
     "concat('W', l_orderkey) AS order_id",
 )
 
-# {id} and {author} are columns; to_json leaves NULL keys out, the suffix adds explicit nulls.
+# {id} and {author} are columns. to_json leaves NULL keys out; a VARIANT null stays as an explicit null.
 _WORK = """
     to_json(named_struct(
       'id', {id}, 'doi', if(n % 2 = 0, concat('doi/', p), NULL), 'title', concat('line ', rf, ls),
       'publication_year', y, 'publication_date', day, 'type', rf, 'language', ls,
+      'cited_by_count', CASE n % 3 WHEN 1 THEN parse_json('null') WHEN 2 THEN cast(p % 1000 AS variant) END,
+      'biblio', CASE rf WHEN 'A' THEN parse_json('{{}}')
+        WHEN 'R' THEN parse_json(concat('{{"volume":"', n, '","first_page":"', p, '"}}')) END,
       'is_retracted', if(rf = 'R', true, NULL), 'indexed_in', array(ls, rf),
       'referenced_works', if(n % 4 = 0, NULL, array(concat('W', p), concat('W', s), concat('W', p))),
       'related_works', array(concat('W', p + 1)),
@@ -72,23 +75,6 @@ _WORK = """
     ))
 """
 
-# How often a work is cited: absent, null or a number, by line number.
-_CITED = """
-    CASE n % 3 WHEN 0 THEN '' WHEN 1 THEN ',"cited_by_count":null'
-      ELSE concat(',"cited_by_count":', p % 1000) END
-"""
-
-# Pages: given, an empty object or absent, by return flag.
-_BIBLIO = """
-    CASE rf WHEN 'R' THEN concat(',"biblio":{"volume":"', n, '","first_page":"', p, '"}')
-      WHEN 'A' THEN ',"biblio":{}' ELSE '' END
-"""
-
-
-def _closed(json: str, extra: str) -> str:
-    """Append ready-made members to a JSON object."""
-    return f"concat(left({json}, length({json}) - 1), {extra}, '}}')"
-
 
 def work_lines(spark: SparkSession, sf_dir: str, versions: bool = False) -> DataFrame:
     """One work per line item. ``versions``: the items of an order are versions of one work."""
@@ -96,11 +82,8 @@ def work_lines(spark: SparkSession, sf_dir: str, versions: bool = False) -> Data
     rows = spread(load(spark, sf_dir, "lineitem")).selectExpr(*_LINE)
     work = _WORK.format(id=ident, author=author)
     return rows.selectExpr(
-        "day AS _file",
-        "(p * 1000000 + s) * 10 + n AS _row",
-        f"{work} AS body",
-        f"concat({_CITED}, {_BIBLIO}) AS extra",
-    ).selectExpr("_file", "_row", f"{_closed('body', 'extra')} AS value")
+        "day AS _file", "(p * 1000000 + s) * 10 + n AS _row", f"{work} AS value"
+    )
 
 
 def author_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

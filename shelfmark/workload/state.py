@@ -228,13 +228,14 @@ def q_log_scan(spark, sf):
 @query(
     "q_alerts",
     """
-SELECT CAST(user_id AS VARCHAR) AS "file", event_type metric, ROUND(avg(value), 4) AS "value", CAST(CASE event_type WHEN 'click' THEN 60 ELSE 70 END AS DOUBLE) threshold
-FROM events GROUP BY user_id, event_type HAVING avg(value) > CASE event_type WHEN 'click' THEN 60.0 ELSE 70.0 END""",
+SELECT CAST(user_id AS VARCHAR) AS "file", event_type metric, ROUND(max(value), 4) AS "value",
+       CAST(CASE event_type WHEN 'click' THEN 150 ELSE 200 END AS DOUBLE) threshold
+FROM events GROUP BY user_id, event_type HAVING max(value) > CASE event_type WHEN 'click' THEN 150 ELSE 200 END""",
 )
 def q_alerts(spark, sf):
-    metrics = load(spark, sf, "events").groupBy("user_id", "event_type").agg(F.avg("value").alias("value"))
+    metrics = load(spark, sf, "events").groupBy("user_id", "event_type").agg(F.max("value").alias("value"))
     metrics = metrics.select(F.col("user_id").cast("string").alias("file"), F.col("event_type").alias("metric"), "value")
-    return report.alerts(metrics, {"click": 60.0}, default=70.0).withColumn("value", F.round("value", 4))
+    return report.alerts(metrics, {"click": 150.0}, default=200.0).withColumn("value", F.round("value", 4))
 
 
 @query(
