@@ -28,7 +28,7 @@ def _published(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(_LIST_SCHEMA).parquet(f"{root}/_batches")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
@@ -57,7 +57,7 @@ def published(spark: SparkSession, root: str, table: str) -> list[tuple[str, int
 
     This is metadata (one row per batch), kept short by :func:`compact`.
     """
-    if not _exists(spark, f"{root}/_batches"):
+    if not path_exists(spark, f"{root}/_batches"):
         return []
     rows = (
         _published(spark, root)

@@ -16,21 +16,25 @@ from shelfmark.operators.parse import FRAME, NO_ID, OK, RECORD, STRICT
 from shelfmark.operators.strict import strict_reason
 from shelfmark.plans.catalog import TABLES, entity as find_entity
 from shelfmark.plans.model import Entity, Field, Table
-from shelfmark.plans.record import element_schema, reading_schema, tables_of
+from shelfmark.plans.record import element_schema, narrow, reading_schema, tables_of
 
 MODES = ("lenient", "strict")
 
 
-def shape(parsed: DataFrame, entity: str, mode: str = "lenient", tables=None) -> DataFrame:
+def shape(
+    parsed: DataFrame, entity: str, mode: str = "lenient", tables=None, columns=None
+) -> DataFrame:
     """One typed row per line: origin, ``status``, ``raw``, ``id`` and the record ``rec``.
 
+    ``tables`` and ``columns`` limit what is read from the records.
+
     ``lenient`` sets aside malformed lines, non-objects and records without id; ``strict``
     also records whose containers have the wrong JSON type. No line is dropped.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     spec = find_entity(entity)
-    wanted = tables_of(spec, tables)
+    wanted = tables_of(spec, tables, columns)
     origin = [c for c in parsed.columns if c.startswith("_")]
     framed = F.col(FRAME)
     status = F.col("status")
@@ -79,12 +83,14 @@ def _presence_flags(tables: list[Table], framed: Column) -> list[Column]:
     return [flags[name].alias(name) for name in flag_names(tables)]
 
 
-def cut(shaped: DataFrame, table: str, mode: str = "lenient", good_keys: bool = True) -> DataFrame:
+def cut(
+    shaped: DataFrame, table: str, mode: str = "lenient", good_keys: bool = True, columns=None
+) -> DataFrame:
     """The rows of one table, with their origin (``_file``, ``_row``, ``_pos``).
 
     ``good_keys=False`` gives the rows whose key has a NULL part instead.
     """
-    spec = TABLES[table]
+    spec = narrow(TABLES[table], columns)
     origin = [c for c in shaped.columns if c.startswith("_")]
     good = shaped.where(F.col("status") == OK)
     record_type = shaped.schema["rec"].dataType

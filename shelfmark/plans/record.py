@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+from dataclasses import replace
+
 from shelfmark.plans.model import Entity, Field, Table
 
 # What the leaf is read as; rules that must tell absent from null keep the raw VARIANT.
@@ -15,14 +18,22 @@ _LEAVES = {
 }
 
 
-def tables_of(entity: Entity, names=None) -> list[Table]:
-    if names is None:
-        return list(entity.tables)
+def tables_of(
+    entity: Entity, names: Collection[str] | None = None, columns: Collection[str] | None = None
+) -> list[Table]:
+    """The named tables (all by default), reduced to the given columns and their keys."""
     known = {t.name: t for t in entity.tables}
-    unknown = [n for n in names if n not in known]
+    unknown = [n for n in names or () if n not in known]
     if unknown:
         raise ValueError(f"{entity.name} has no table {', '.join(unknown)}")
-    return [known[n] for n in names]
+    return [narrow(known[n], columns) for n in (known if names is None else names)]
+
+
+def narrow(table: Table, columns: Collection[str] | None) -> Table:
+    if columns is None:
+        return table
+    kept = tuple(f for f in table.fields if f.name in columns or f.name in table.key)
+    return replace(table, fields=kept)
 
 
 def reading_schema(tables: list[Table]) -> str:

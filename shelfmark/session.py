@@ -46,6 +46,13 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: one computation, many readers."""
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` through the shared folder."""
     spark = df.sparkSession

@@ -8,6 +8,7 @@ from shelfmark.operators import quality as Q
 from shelfmark.operators.parse import parse_lines
 from shelfmark.operators.shred import cut, quarantine, quarantine_child, shape
 from shelfmark.plans.model import Field, Table
+from shelfmark.session import spread, stored
 from shelfmark.workload import records as R
 from shelfmark.workload.registry import load, query
 
@@ -58,7 +59,7 @@ def _broken_lines(spark, sf):
     lines = load(spark, sf, "lineitem").selectExpr(
         "'f' AS _file", "(l_partkey * 1000000 + l_suppkey) * 10 + l_linenumber AS _row", f"{_BROKEN} AS value"
     )
-    return R.spread(lines)
+    return spread(lines)
 
 
 @query(
@@ -188,5 +189,8 @@ UNION ALL SELECT 'works_open_access', 'check:oa_status', 0 FROM l""",
 )
 def q_validate_works(spark, sf):
     """The model's own constraints on shredded works: everything but repeated records holds."""
-    shaped = shape(parse_lines(R.work_lines(spark, sf)), "works", tables=["works", "works_open_access"])
-    return Q.validate({t: cut(shaped, t) for t in ("works", "works_open_access")})
+    wanted = ("works", "works_open_access")
+    columns = ["id", "work_id", "oa_status"]
+    shaped = shape(parse_lines(R.work_lines(spark, sf)), "works", tables=wanted, columns=columns)
+    shaped = stored(shaped, "works")
+    return Q.validate({t: cut(shaped, t, columns=columns) for t in wanted})

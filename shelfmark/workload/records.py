@@ -189,9 +189,10 @@ def taxonomy_lines(spark: SparkSession, sf_dir: str, level: str) -> DataFrame:
     )
 
 
-def table_from(lines: DataFrame, entity: str, table: str, mode: str = "lenient") -> DataFrame:
+def table_from(lines: DataFrame, entity: str, table: str, columns=None) -> DataFrame:
     """One shredded table, straight from lines."""
-    return cut(shape(parse_lines(lines), entity, mode, [table]), table, mode)
+    shaped = shape(parse_lines(lines), entity, tables=[table], columns=columns)
+    return cut(shaped, table, columns=columns)
 
 
 def day_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

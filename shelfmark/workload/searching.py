@@ -6,8 +6,6 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.text import positions_of, rebuild_text, tokens
 from shelfmark.operators import search
-from shelfmark.operators.parse import parse_lines
-from shelfmark.operators.shred import cut, shape
 from shelfmark.workload import records as R
 from shelfmark.workload.registry import big, load, num, query
 
@@ -52,7 +50,7 @@ SELECT 'W' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_
 FROM lineitem WHERE l_linenumber % 3 = 2 ORDER BY 2 DESC, 1 LIMIT 50""",
 )
 def q_topk_cited(spark, sf):
-    works = R.table_from(R.work_lines(spark, sf), "works", "works")
+    works = R.table_from(R.work_lines(spark, sf), "works", "works", ["id", "cited_by_count"])
     return search.top_k(works, "cited_by_count", 50, "id").select("id", big("cited_by_count"))
 
 
@@ -97,7 +95,7 @@ WHERE l_linenumber % 4 <> 0 AND (l_partkey IN (1, 2, 3) OR l_suppkey IN (1, 2, 3
 )
 def q_contains(spark, sf):
     """Works citing any of three works; ``all`` marks those citing W3 next to W1 or W2."""
-    works = R.table_from(R.work_lines(spark, sf), "works", "works").select("id", "referenced_works")
+    works = R.table_from(R.work_lines(spark, sf), "works", "works", ["id", "referenced_works"])
     any_of = search.contains(works, "referenced_works", ["W1", "W2", "W3"], match="any")
     cited = F.col("referenced_works")
     pair = (F.get(cited, 0).isin("W1", "W2")) & (F.get(cited, 1) == "W3")
@@ -131,9 +129,7 @@ def _abstracts(spark, sf):
         F.col("doc_id").alias("_row"),
         F.to_json(F.struct(F.concat(F.lit("D"), "doc_id").alias("id"), "abstract_inverted_index")).alias("value"),
     )
-    return cut(shape(parse_lines(lines), "works", tables=["works"]), "works").select(
-        "id", "abstract_inverted_index"
-    )
+    return R.table_from(lines, "works", "works", ["id", "abstract_inverted_index"])
 
 
 @query(

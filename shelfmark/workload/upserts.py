@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfmark.operators.hierarchy import compare_counts
 from shelfmark.operators.flatten import bulk_append
+from shelfmark.operators.hierarchy import compare_counts
 from shelfmark.operators.merges import audit_merges, follow, redirect
 from shelfmark.operators.parse import parse_lines
 from shelfmark.operators.shred import cut, shape
-from shelfmark.operators.upsert import ARRIVAL, replace_children, upsert
-from shelfmark.session import scratch
+from shelfmark.operators.upsert import replace_children, upsert
+from shelfmark.session import scratch, stored
 from shelfmark.workload import records as R
 from shelfmark.workload.registry import big, load, num, query, shown
 
@@ -27,8 +27,10 @@ WITH v AS (
 """
 
 
-def _versions(spark, sf, *tables):
-    return shape(parse_lines(R.work_lines(spark, sf, versions=True)), "works", "lenient", list(tables))
+def _versions(spark, sf, *tables, columns=None):
+    """The shaped versions, stored as ingestion stores them: parsed once, cut many times."""
+    parsed = parse_lines(R.work_lines(spark, sf, versions=True))
+    return stored(shape(parsed, "works", tables=tables, columns=columns), "versions")
 
 
 def _loaded_and_new(rows):
@@ -44,7 +46,9 @@ SELECT 'W' || k id, 'line ' || rf || ls title, ROUND(ep, 4) fwci,
 FROM v QUALIFY row_number() OVER (PARTITION BY k ORDER BY turn DESC, "day" DESC, rw DESC) = 1""",
 )
 def q_upsert_last(spark, sf):
-    old, new = _loaded_and_new(cut(_versions(spark, sf, "works"), "works").select(*ARRIVAL, "id", "title", "fwci", "cited_by_count", "publication_date"))
+    wanted = ["id", "title", "fwci", "cited_by_count", "publication_date"]
+    works = cut(_versions(spark, sf, "works", columns=wanted), "works", columns=wanted)
+    old, new = _loaded_and_new(works)
     merged = upsert(upsert(None, old, ["id"]), new, ["id"])
     return merged.select("id", "title", num("fwci"), big("cited_by_count"), "publication_date")
 
@@ -75,9 +79,9 @@ SELECT work_id, author_id, author_position, raw_author_name, institution_id
 FROM a QUALIFY row_number() OVER (PARTITION BY work_id, author_id ORDER BY turn DESC, "day" DESC, rw DESC, pos DESC) = 1""",
 )
 def q_upsert_composite(spark, sf):
-    rows = cut(_versions(spark, sf, "works_authorships"), "works_authorships")
     wanted = ["work_id", "author_id", "author_position", "raw_author_name", "institution_id"]
-    old, new = _loaded_and_new(rows.select(*ARRIVAL, *wanted))
+    shaped = _versions(spark, sf, "works_authorships", columns=wanted)
+    old, new = _loaded_and_new(cut(shaped, "works_authorships", columns=wanted))
     key = ["work_id", "author_id"]
     return upsert(upsert(None, old, key), new, key).select(*wanted)
 
@@ -129,11 +133,11 @@ FROM rows QUALIFY row_number() OVER (PARTITION BY work_id, concept_id ORDER BY t
 )
 def q_replace_children(spark, sf):
     """A new version of a work takes the place of all its earlier concepts."""
-    shaped = _versions(spark, sf, "works", "works_concepts")
     wanted = ["work_id", "concept_id", "display_name"]
+    shaped = _versions(spark, sf, "works", "works_concepts", columns=wanted)
     key = ["work_id", "concept_id"]
-    old, new = _loaded_and_new(cut(shaped, "works_concepts").select(*ARRIVAL, *wanted))
-    _, parents = _loaded_and_new(cut(shaped, "works").select(*ARRIVAL, "id"))
+    old, new = _loaded_and_new(cut(shaped, "works_concepts", columns=wanted))
+    _, parents = _loaded_and_new(cut(shaped, "works", columns=wanted))
     return replace_children(upsert(None, old, key), new, parents, key, "work_id").select(*wanted)
 
 

@@ -20,6 +20,7 @@ from shelfmark.plans.catalog import ENTITIES, TABLES, ensure_tables
 from shelfmark.sources import snapshot
 from shelfmark.sources.files import scan_csv, scan_log
 from shelfmark.streaming.ingest import Progress, ingest_stream, manifest_of
+from shelfmark.streaming.runs import flat_load, note, run_entities
 
 
 def _write(folder, day, name, lines):
@@ -104,6 +105,28 @@ def test_stream_equals_batch(spark, authors, tmp_path):
     assert sections["tables"].first().row_count == 20
 
 
+def test_run_over_all_entities(spark, authors, tmp_path):
+    _write(tmp_path / "topics", "2024-01-01", "t.gz", ['{"id":"T1","display_name":"x","subfield":{"id":"S1"}}'])
+    _write(tmp_path / "publishers", "2024-01-01", "p.gz", ['{"id":"P1","ids":{"ror":"r"}}'])
+    root = str(tmp_path / "all")
+    state = {r.entity: r for r in run_entities(spark, str(tmp_path), root).collect()}
+    assert {e: r.status for e, r in state.items()} == dict.fromkeys(state, "completed")
+    assert set(state) == {"authors", "topics", "publishers"} and state["authors"].n_files == 3
+    assert resolve(spark, root, "topics").first().subfield_id == "S1"
+    assert resolve(spark, root, "publishers_ids").first().ror == "r"
+    again = {r.entity: r.n_rows for r in run_entities(spark, str(tmp_path), root).collect()}
+    assert again == {e: r.n_rows for e, r in state.items()}
+    note(spark, root, "topics", "reset")
+    assert "topics" in [r.entity for r in M.resume(manifest_of(spark, root)).collect()]
+
+
+def test_flat_route(spark, authors, tmp_path):
+    table = str(tmp_path / "flat")
+    rows = flat_load(spark, str(authors), str(tmp_path / "csv"), table, "id string, works_count int, gone string")
+    assert rows.count() == 26 and spark.read.parquet(table).count() == 26
+    assert rows.where("id = 'A3'").agg(F.max("works_count")).first()[0] == 103
+
+
 def test_state_folds(spark):
     at = dt.datetime(2024, 1, 1)
     steps = [
