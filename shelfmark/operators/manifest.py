@@ -42,7 +42,11 @@ def event(spark: SparkSession, seq: int, entity: str, what: str, at, **rest) ->
 
 
 def since_reset(log: DataFrame) -> DataFrame:
-    """Events after the last reset of their entity."""
+    """Events after the last reset of their entity.
+
+    The right-hand side has one row per entity ever reset; adaptive execution sees its size
+    and sends it to the log instead of moving the log.
+    """
     resets = (
         log.where(F.col("event") == "reset")
         .groupBy("entity")

@@ -58,7 +58,11 @@ def follow(merged: DataFrame) -> DataFrame:
 
 
 def redirect(rows: DataFrame, columns: Sequence[str], merged: DataFrame) -> DataFrame:
-    """Replace merged ids in the given id columns by the id they ended up in."""
+    """Replace merged ids in the given id columns by the id they ended up in.
+
+    The merge side has every id once; a busy id in ``rows`` is split by the adaptive
+    skew join.
+    """
     ends = follow(merged)
     order = rows.columns
     for c in columns:

@@ -185,40 +185,43 @@ def q_merge_redirect(spark, sf):
     )
 
 
+# Finished orders were merged into the order with half their id, which may be finished too.
+_CHAIN = """
+WITH RECURSIVE m AS (SELECT o_orderkey id, o_orderkey // 2 nxt FROM orders WHERE o_orderstatus = 'F' AND o_orderkey > 0),
+walk(id, cur) AS (SELECT id, nxt FROM m UNION ALL SELECT w.id, m.nxt FROM walk w JOIN m ON w.cur = m.id),
+ends AS (SELECT id original_id, cur final_id FROM walk WHERE cur NOT IN (SELECT id FROM m))
+"""
+
+
+def _merged_orders(spark, sf):
+    orders = load(spark, sf, "orders").where("o_orderstatus = 'F' AND o_orderkey > 0")
+    return orders.select(
+        F.col("o_orderkey").alias("original_id"), F.expr("o_orderkey div 2").alias("merged_into_id")
+    )
+
+
+@query("q_merge_follow", _CHAIN + "SELECT original_id, final_id FROM ends")
+def q_merge_follow(spark, sf):
+    return follow(_merged_orders(spark, sf))
+
+
 @query(
     "q_merge_chain",
-    """
-SELECT CASE WHEN l_orderkey = 0 THEN 0 ELSE l_orderkey // (l_orderkey & -l_orderkey) END order_id, count(*) n,
-       ROUND(sum(l_quantity), 2) quantity
-FROM lineitem GROUP BY 1""",
+    _CHAIN
+    + """
+SELECT coalesce(final_id, l_orderkey) order_id, count(*) n, ROUND(sum(l_quantity), 2) quantity
+FROM lineitem LEFT JOIN ends ON l_orderkey = original_id GROUP BY 1""",
 )
 def q_merge_chain(spark, sf):
-    """Even order ids were merged into their half, over and over, until an odd one is reached."""
-    orders = load(spark, sf, "orders").where("o_orderkey % 2 = 0").select(
-        F.col("o_orderkey").alias("original_id"), F.expr("o_orderkey div 2").alias("merged_into_id")
-    )
+    """Line items counted under the order their own order ended up in."""
     lines = load(spark, sf, "lineitem").select(F.col("l_orderkey").alias("order_id"), "l_quantity")
     per_order = lines.groupBy("order_id").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("q"))
-    return redirect(per_order, ["order_id"], orders).groupBy("order_id").agg(
+    moved = redirect(per_order, ["order_id"], _merged_orders(spark, sf))
+    return moved.groupBy("order_id").agg(
         F.sum("n").alias("n"), F.round(F.sum("q"), 2).alias("quantity")
     )
 
 
-@query(
-    "q_merge_follow",
-    """
-SELECT o_orderkey original_id, o_orderkey // (o_orderkey & -o_orderkey) final_id
-FROM orders WHERE o_orderkey % 2 = 0 AND o_orderkey <> 0""",
-)
-def q_merge_follow(spark, sf):
-    orders = load(spark, sf, "orders").where("o_orderkey % 2 = 0")
-    return follow(
-        orders.select(
-            F.col("o_orderkey").alias("original_id"), F.expr("o_orderkey div 2").alias("merged_into_id")
-        )
-    )
-
-
 @query(
     "q_bulk_append",
     """
