@@ -7,7 +7,7 @@ failure lands in the same place. Reading folds the visible batches by key.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,7 +49,7 @@ def publish(
     with ThreadPoolExecutor(max_workers=PARALLEL_WRITES) as pool:
         list(pool.map(write, tables.items()))
     made = spark.createDataFrame([(batch, kind, sorted(tables))], "batch bigint, kind string, tables array<string>")
-    made.withColumn("at", F.current_timestamp()).write.mode("append").parquet(f"{root}/_batches")
+    made.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{root}/_batches")
 
 
 def published(spark: SparkSession, root: str, table: str) -> list[tuple[str, int]]:
@@ -106,9 +106,17 @@ def resolve(
 
 
 def compact(
-    spark: SparkSession, root: str, table: str, newest_by: str | None = None
+    spark: SparkSession,
+    root: str,
+    table: str,
+    newest_by: str | None = None,
+    cluster_by: Sequence[str] = (),
 ) -> int | None:
-    """Fold the visible batches of a table into a base; returns the batch it reaches."""
+    """Fold the visible batches of a table into a base; returns the batch it reaches.
+
+    ``cluster_by`` sorts the rows inside each file, so that lookups and ranges on these columns
+    skip row groups by their minimum and maximum; it needs no further shuffle.
+    """
     visible = published(spark, root, table)
     if not visible:
         return None
@@ -117,5 +125,7 @@ def compact(
     origin = {"_file": "string", "_row": "bigint", "_pos": "int"}
     for c, type_ in origin.items():
         current = current.withColumn(c, F.lit(None).cast(type_))
+    if cluster_by:
+        current = current.sortWithinPartitions(*cluster_by)
     publish(spark, root, newest, {table: current}, kind="base")
     return newest

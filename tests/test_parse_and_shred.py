@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -25,6 +26,27 @@ def test_malformed_lines(lines):
     assert bad == set(range(len(WELL_FORMED) + 1, len(WELL_FORMED) + len(MALFORMED) + 1))
 
 
+def test_damaged_lines_agree_with_a_json_reader(lines):
+    rng = random.Random(11)
+    seeds = [json.dumps(RECORD), '{"a":[1,{"b":"x]}"}],"c":null}', '{"a":"\\"}","b":[[],{}]}', "[1,2]", '{"k": 7}']
+    texts = []
+    for _ in range(3000):
+        text = rng.choice(seeds)
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(text) + 1)
+            text = text[:at] + rng.choice(["", *'{}[],:"0 1ntx\\-.e']) + text[at + rng.randint(0, 1) :]
+        texts.append(text)
+    rows = parse_lines(lines(*texts)).select("_row", "status").collect()
+    for r in rows:
+        text = texts[r["_row"] - 1]
+        try:
+            json.loads(text)
+            readable = True
+        except ValueError:
+            readable = False
+        assert (r.status != "malformed") == readable, text
+
+
 # record, kept in strict mode, kept in lenient mode, row counts in lenient mode
 WORKS = [
     ('{"id":"W1"}', True, True, {}),

@@ -16,6 +16,8 @@ def test_query_equals_sql(spark, small, duck, name):
     df = entry.queries()[name](spark, small)
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "PythonUDF" not in plan and "Join Cross" not in plan
+    physical = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in physical and "NestedLoop" not in physical
     assert oracle.compare(df, duck, sql[name]) is None
 
 

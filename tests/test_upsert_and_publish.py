@@ -118,7 +118,7 @@ def test_publish_resolve_compact(spark, tmp_path):
     biblio("W9", "lost", 1).write.parquet(f"{root}/works_biblio/batch=000000000003")
     got = resolve(spark, root, "works_biblio")
     assert [(r.work_id, r.volume) for r in got.collect()] == [("W1", "first")]  # first one wins
-    assert compact(spark, root, "works_biblio") == 2
+    assert compact(spark, root, "works_biblio", cluster_by=["volume"]) == 2
     publish(spark, root, 4, {"works_biblio": biblio("W2", "x", 1)})
     assert published(spark, root, "works_biblio") == [("base", 2), ("batch", 4)]
     got = resolve(spark, root, "works_biblio")
