@@ -1,4 +1,4 @@
-"""The taxonomy path of topics, and counts recomputed from facts."""
+"""The taxonomy path of topics, children put back together, counts recomputed from facts."""
 
 from __future__ import annotations
 
@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from shelfmark.plans.catalog import TAXONOMY
 
+PAGE = 1000
+
 
 def taxonomy_path(levels: dict[str, DataFrame]) -> DataFrame:
     """topic -> subfield -> field -> domain: ids and names of all four levels per topic."""
@@ -30,6 +32,20 @@ def taxonomy_path(levels: dict[str, DataFrame]) -> DataFrame:
     return path.select(*names)
 
 
+def assemble(children: DataFrame, parent_key: str, size: int = PAGE) -> DataFrame:
+    """The children of each record as arrays in their original order: the way back from a cut.
+
+    A record may have any number of children, so they come in pages of at most ``size``; the
+    page follows from the position, and no task has to hold more than a page.
+    """
+    rest = [c for c in children.columns if not c.startswith("_") and c != parent_key]
+    page = F.floor(F.col("_pos") / F.lit(size)).alias("page")
+    paged = children.groupBy(parent_key, "_file", "_row", page).agg(
+        F.array_sort(F.collect_list(F.struct("_pos", *rest))).alias("items")
+    )
+    return paged.withColumn("items", F.transform("items", lambda item: item.dropFields("_pos")))
+
+
 def compare_counts(
     declared: DataFrame, facts: DataFrame, keys: Sequence[str], declared_count: str
 ) -> DataFrame:

@@ -93,7 +93,8 @@ def cut(
     spec = narrow(TABLES[table], columns)
     origin = [c for c in shaped.columns if c.startswith("_")]
     good = shaped.where(F.col("status") == OK)
-    record_type = shaped.schema["rec"].dataType
+    has_lengths = any(f.how == "length" for f in spec.fields)
+    record_type = shaped.schema["rec"].dataType if has_lengths else None
     if spec.rows in ("one", "present"):
         if spec.rows == "present":
             good = good.where(F.col(f"has_{spec.at}"))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfmark.operators.hierarchy import taxonomy_path
+from shelfmark.functions import variants as V
+from shelfmark.operators.hierarchy import assemble, taxonomy_path
 from shelfmark.operators.upsert import ARRIVAL, fold
 from shelfmark.plans.catalog import TAXONOMY
 from shelfmark.workload import records as R
@@ -186,6 +187,42 @@ def q_refs(spark, sf):
     return t.select("work_id", "referenced_work_id")
 
 
+@query(
+    "q_assemble",
+    _L
+    + """
+SELECT id work_id, CAST(0 AS BIGINT) page, CAST(1 AS BIGINT) n, 'C' || n concept_ids, ls display_names FROM l
+UNION ALL SELECT id, 1, 1, 'C' || (n + 10), rf FROM l""",
+)
+def q_assemble(spark, sf):
+    """Concepts back into one array per work, one concept to a page."""
+    columns = ["work_id", "concept_id", "display_name"]
+    rows = R.table_from(R.work_lines(spark, sf), "works", "works_concepts", columns)
+    return _pages(rows, 1)
+
+
+@query(
+    "q_assemble_pages",
+    _L
+    + """
+SELECT id work_id, CAST(0 AS BIGINT) page, CAST(2 AS BIGINT) n, 'C' || n || '|C' || (n + 10) concept_ids,
+       ls || '|' || rf display_names FROM l""",
+)
+def q_assemble_pages(spark, sf):
+    columns = ["work_id", "concept_id", "display_name"]
+    return _pages(R.table_from(R.work_lines(spark, sf), "works", "works_concepts", columns), 1000)
+
+
+def _pages(rows, size):
+    return assemble(rows, "work_id", size).select(
+        "work_id",
+        "page",
+        F.size("items").cast("bigint").alias("n"),
+        F.array_join(F.col("items.concept_id"), "|").alias("concept_ids"),
+        F.array_join(F.col("items.display_name"), "|").alias("display_names"),
+    )
+
+
 @query("q_related", _L + "SELECT id work_id, 'W' || (p + 1) related_work_id FROM l")
 def q_related(spark, sf):
     return _work_table(spark, sf, "works_related_works").select("work_id", "related_work_id")
@@ -499,8 +536,6 @@ SELECT event_id, CASE event_type WHEN 'view' THEN 0 WHEN 'click' THEN NULL
 FROM events""",
 )
 def q_absent_vs_null(spark, sf):
-    from shelfmark.functions import variants as V
-
     events = load(spark, sf, "events")
     text = F.expr("CASE event_type WHEN 'view' THEN '{}' WHEN 'click' THEN '{\"k\":null}' ELSE props END")
     parsed = events.select("event_id", F.try_parse_json(text).alias("v"))
