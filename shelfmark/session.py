@@ -29,16 +29,14 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session may fall back to a temporary folder of its own.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    configured = tempfile.mkdtemp(prefix="shelfmark-")
-    context.setCheckpointDir(configured)
-    spark.conf.set("spark.checkpoint.dir", configured)
-    return configured
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="shelfmark-"))
+    return context.getCheckpointDir()
 
 
 def scratch(spark: SparkSession, label: str) -> str:
