@@ -118,7 +118,7 @@ class ByteBpe:
         self._spelled = np.frombuffer(b"".join(spelled), np.uint8)
         self._spelled_lens = np.fromiter(map(len, spelled), np.int64, size)
         self._spelled_starts = offsets(self._spelled_lens)[:-1]
-        self._special = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in added}
+        self._special = {t["content"]: t["id"] for t in added}
         self._at_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self._special, key=len, reverse=True))) + ")") if added else None
         self._find = regex.compile(PATTERN).findall
         self._library = Tokenizer.from_file(path)  # only for how it splits letters of rare scripts
@@ -145,22 +145,20 @@ class ByteBpe:
         parts = self._at_special.split(chunk)
         return [w for p in parts if p for w in ([p] if p in self._special else self._plain_words(p))]
 
-    def _encode(self, chunks: list[str]) -> list[bytes]:
+    def _encode(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         split = [self._words(c) for c in chunks]
         words = [w for p in split for w in p]
         raw = [w.encode("utf-8") for w in words]
         lens = np.fromiter(map(len, raw), np.int64, len(raw))
         ids, lens = self._merges.run(self._first[np.frombuffer(b"".join(raw), np.uint8)], lens)
-        blob, ends = ids.astype("<u4").tobytes(), offsets(lens) * 4
-        special = {i for i, w in enumerate(words) if w in self._special}
-        bounds = offsets(np.fromiter(map(len, split), np.int64, len(split)))
-        cuts = ends[bounds].tolist()
-        out = [blob[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        for chunk in {int(np.searchsorted(bounds, i, "right")) - 1 for i in special}:
-            out[chunk] = b"".join(
-                self._special.get(words[i], blob[ends[i] : ends[i + 1]]) for i in range(bounds[chunk], bounds[chunk + 1])
-            )
-        return out
+        ids = ids.astype(np.uint32)
+        special = [i for i, w in enumerate(words) if w in self._special]
+        if special:
+            parts = np.split(ids, np.cumsum(lens)[:-1])
+            for i in special:
+                parts[i], lens[i] = np.array([self._special[words[i]]], np.uint32), 1
+            ids = np.concatenate(parts)
+        return ids, np.diff(offsets(lens)[offsets(np.fromiter(map(len, split), np.int64, len(split)))])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, bounds of each text); nulls count as empty."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,8 @@ BATCH_BYTES = 16 << 20
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """A test table of ``sf_dir``; Arrow batches are bounded by bytes, as rows may be very long."""
+    # Python workers on this machine find the package where the driver did; clusters get it by --py-files
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

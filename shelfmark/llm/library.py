@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import functools
 import os
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-from shelfmark.llm.chunks import ChunkEncoder, TwoAges
+from shelfmark.llm.chunks import ChunkEncoder, Known
+from shelfmark.llm.common import gather, offsets
 
 #: Marks that no pre-tokenizer here joins to the letters before them.
 _MARKS = frozenset(".,;:!?|")
@@ -22,15 +25,15 @@ class LibraryEncoder:
     other chunk as a whole; both give the library's own ids of the text.
     """
 
-    def __init__(self, path: str, limit: int = 300_000) -> None:
+    def __init__(self, path: str, limit: int = 1_000_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker for each core
         self._library = Tokenizer.from_file(path)
         self._library.no_truncation()
         self._library.no_padding()
         self._folds = self._library.normalizer is not None and self._probe("  Ab") == self._probe("ab")
         self._blanks = self._probe(" ab") != self._probe("ab")
-        self._known = TwoAges(limit)
-        self._encoder = ChunkEncoder(self._encode, limit)
+        self._known = Known(limit)
+        self._encoder = ChunkEncoder(self._encode, min(limit, 400_000))
 
     def _probe(self, text: str) -> list[int]:
         return self._library.encode(text, add_special_tokens=False).ids
@@ -46,15 +49,19 @@ class LibraryEncoder:
         word = " " + body if self._blanks else body
         return [word, mark] if mark else [word]
 
-    def _ask(self, words: list[str]) -> list[bytes]:
-        found = self._library.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+    def _ask(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in self._library.encode_batch_fast(words, add_special_tokens=False)]
+        lens = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(lens.sum())), lens
 
-    def _encode(self, chunks: list[str]) -> list[bytes]:
+    def _encode(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         split = [self._words(c) for c in chunks]
-        words = list(dict.fromkeys(w for p in split for w in p))
-        ids = dict(zip(words, self._known.fill(words, self._ask), strict=True))
-        return [ids[p[0]] if len(p) == 1 else ids[p[0]] + ids[p[1]] for p in split]
+        coded = pc.dictionary_encode(pa.array([w for p in split for w in p], pa.large_string()))
+        ids, starts, lens = self._known.find(coded.dictionary, self._ask)
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        per_word = lens[codes]
+        bounds = offsets(np.fromiter(map(len, split), np.int64, len(split)))
+        return gather(ids, starts[codes], per_word), np.diff(offsets(per_word)[bounds])
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, bounds of each text); nulls count as empty."""

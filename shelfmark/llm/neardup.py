@@ -101,7 +101,7 @@ def super_minhash(sets: list[np.ndarray], size: int) -> np.ndarray:
     for step in range(size):
         if not len(element):
             break
-        draw = _mix(element + _GOLD * np.uint64(step + 1))
+        draw = _mix(element + np.uint64(int(_GOLD) * (step + 1) & (2**64 - 1)))
         at = (((draw & np.uint64(0xFFFFFFFF)) * np.uint64(size - step)) >> np.uint64(32)).astype(np.int16) + np.int16(step)
         mine, here = at.copy(), np.full(len(at), step, np.int16)
         for p, v in zip(place, value, strict=True):
