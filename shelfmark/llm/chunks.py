@@ -74,7 +74,7 @@ class Known:
         if new.any():
             at[new] = len(self.keys) + np.arange(int(new.sum()))
             unknown = wanted.filter(pa.array(new))
-            ids, lens = make(unknown.to_pylist())
+            ids, lens = make(unknown.to_numpy(zero_copy_only=False).tolist())
             self._keep(pa.concat_arrays([self.keys, unknown]), np.concatenate([self.ids, ids]), np.concatenate([self.lens, lens]))
         found = self.ids, self.starts[at], self.lens[at]
         if len(self.keys) > self.limit:

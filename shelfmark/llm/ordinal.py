@@ -104,7 +104,8 @@ class Model:
         by_word, by_shape = self._weight(w.word), self._weight(w.shape)
         hit = np.flatnonzero(by_word[w.code])
         doc, column = _pairs(w.doc[hit], w.word[w.code[hit]], 2 << BITS)
-        total = np.bincount(doc, weights=self._weight(column), minlength=len(texts))
+        total = np.zeros(len(texts))
+        total += np.bincount(doc, weights=self._weight(column), minlength=len(texts))
         total += np.bincount(w.doc, weights=by_shape[w.code] / w.count[w.doc], minlength=len(texts))
         total += self._weight(np.arange(3)) @ w.general()
         return _logistic(total[:, None] - self.thresholds[None, :])
