@@ -2,6 +2,7 @@ import pytest
 
 import __spark_entry__ as entry
 import oracle
+from shelfmark import workload
 
 
 @pytest.fixture(scope="module")
@@ -9,7 +10,7 @@ def duck(small):
     return oracle.connect(small)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(workload.QUERIES))
 def test_query_equals_sql(spark, small, duck, name):
     sql = entry.oracle_sql()
     assert name in sql, "every query has its SQL"
