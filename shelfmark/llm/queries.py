@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm import bpe, linkgraph, neardup, packing, permindex, quality, secrets, token_files, topk, toxicity
 from shelfmark.llm.common import read
+from shelfmark.llm.oracles import linkgraph_sql, secrets_sql
 from shelfmark.session import scratch
 
 #: Folder of the public vocabulary files; every executor must see it.
@@ -102,4 +103,6 @@ ORACLES: dict[str, str] = {
         SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM s
         WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
         QUALIFY row_number() OVER w <= 10""",
+    "op3_secrets": secrets_sql(),
+    "op7_linkgraph": linkgraph_sql(),
 }
