@@ -9,7 +9,7 @@ from shelfmark.plans.catalog import OA_STATUSES
 
 # The time stamp inside snapshot names and its Spark pattern.
 STAMP_PATTERN = "yyyyMMdd_HHmmss"
-STAMP_REGEX = r"(\d{8}_\d{6})"
+STAMP_REGEX = r"^state_backup_(\d{8}_\d{6})\.json$"
 
 
 def oa_status(status: Column) -> Column:
@@ -26,7 +26,7 @@ def stamp(moment: Column) -> Column:
 
 
 def stamp_of(name: Column) -> Column:
-    """The time stamp inside a file name, NULL when there is none that parses."""
+    """The time stamp of a snapshot's name, NULL when the name has another form or does not parse."""
     found = F.nullif(F.regexp_extract(name, STAMP_REGEX, 1), F.lit(""))
     return F.try_to_timestamp(found, F.lit(STAMP_PATTERN))
 

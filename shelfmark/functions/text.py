@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: a search token is a run of ASCII letters in the lower-cased text.
-TOKEN = "[a-z]+"
+# Fixed value: a search token is a run of letters and digits of any script in the lower-cased text.
+TOKEN = r"[\p{L}\p{N}]+"
 
 
 def tokens(text: Column) -> Column:

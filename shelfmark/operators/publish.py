@@ -17,7 +17,7 @@ from shelfmark.operators.upsert import ARRIVAL, fold
 from shelfmark.plans.catalog import TABLES
 
 PARALLEL_WRITES = 4
-_LIST_SCHEMA = "batch bigint, kind string, tables array<string>, at timestamp"
+_LIST_SCHEMA = "batch bigint, kind string, tables array<string>, reaches bigint, at timestamp"
 
 
 def _place(root: str, table: str, batch: int, kind: str = "batch") -> str:
@@ -34,8 +34,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
+def next_batch(spark: SparkSession, root: str) -> int:
+    """A batch number above all published ones."""
+    if not path_exists(spark, f"{root}/_batches"):
+        return 0
+    newest = _published(spark, root).agg(F.max("batch")).first()[0]
+    return 0 if newest is None else newest + 1
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate results."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def publish(
-    spark: SparkSession, root: str, batch: int, tables: Mapping[str, DataFrame], kind: str = "batch"
+    spark: SparkSession,
+    root: str,
+    batch: int,
+    tables: Mapping[str, DataFrame],
+    kind: str = "batch",
+    reaches: int | None = None,
 ) -> None:
     """Write all tables of a batch, then make them visible with one appended row.
 
@@ -48,40 +67,43 @@ def publish(
 
     with ThreadPoolExecutor(max_workers=PARALLEL_WRITES) as pool:
         list(pool.map(write, tables.items()))
-    made = spark.createDataFrame([(batch, kind, sorted(tables))], "batch bigint, kind string, tables array<string>")
+    row = (batch, kind, sorted(tables), batch if reaches is None else reaches)
+    made = spark.createDataFrame([row], "batch bigint, kind string, tables array<string>, reaches bigint")
     made.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{root}/_batches")
 
 
 def published(spark: SparkSession, root: str, table: str) -> list[tuple[str, int]]:
     """The visible batches of a table: the newest base, if any, and all that came after it.
 
-    This is metadata (one row per batch), kept short by :func:`compact`.
+    Only these leave the list, which is filtered by the newest base first: as many as were published
+    since the last :func:`compact`.
     """
     if not path_exists(spark, f"{root}/_batches"):
         return []
-    rows = (
-        _published(spark, root)
-        .where(F.array_contains("tables", table))
-        .select("kind", "batch")
-        .distinct()
-        .collect()
-    )
-    bases = [r.batch for r in rows if r.kind == "base"]
-    start = max(bases, default=None)
-    visible = [] if start is None else [("base", start)]
-    later = sorted(r.batch for r in rows if r.kind == "batch" and (start is None or r.batch > start))
-    return visible + [("batch", b) for b in later]
-
-
-def arrivals(spark: SparkSession, root: str, table: str) -> DataFrame | None:
+    listed = _published(spark, root).where(F.array_contains("tables", table))
+    # a base covers the batches up to ``reaches``; an older one is its own number
+    reaches = F.coalesce("reaches", "batch")
+    base = listed.where("kind = 'base'").agg(F.max(F.struct(reaches.alias("reaches"), "batch"))).first()[0]
+    later = listed.where("kind = 'batch'")
+    if base is not None:
+        later = later.where(F.col("batch") > base.reaches)
+    found = [("batch", r.batch) for r in later.select("batch").distinct().orderBy("batch").collect()]
+    return ([] if base is None else [("base", base.batch)]) + found
+
+
+def arrivals(
+    spark: SparkSession, root: str, table: str, visible: Sequence[tuple[str, int]] | None = None
+) -> DataFrame | None:
     """All visible rows of a table with ``_batch`` and their origin, not yet folded."""
-    visible = published(spark, root, table)
+    visible = published(spark, root, table) if visible is None else visible
     parts = []
     for kind in ("base", "batch"):
         paths = [_place(root, table, b, k) for k, b in visible if k == kind]
         if paths:
             part = spark.read.option("basePath", f"{root}/{table}").parquet(*paths)
-            parts.append(part.withColumn("_batch", F.col(kind).cast("bigint")).drop(kind))
+            # a base came before every batch that is still visible
+            number = F.lit(-1) if kind == "base" else F.col(kind)
+            parts.append(part.withColumn("_batch", number.cast("bigint")).drop(kind))
     if not parts:
         return None
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
@@ -93,11 +115,14 @@ def resolve(
     """The current rows of a table, None before its first batch.
 
     Arrival order decides between versions, unless ``newest_by`` names a column to compare
-    first.
+    first. A base with nothing after it is the table: it is read as it is.
     """
-    rows = arrivals(spark, root, table)
+    visible = published(spark, root, table)
+    rows = arrivals(spark, root, table, visible)
     if rows is None:
         return None
+    if [kind for kind, _ in visible] == ["base"]:
+        return rows.select(*[c for c in rows.columns if not c.startswith("_")])
     spec = TABLES[table]
     order = ["_batch", *[c for c in ARRIVAL if c in rows.columns]]
     if newest_by:
@@ -112,20 +137,46 @@ def compact(
     newest_by: str | None = None,
     cluster_by: Sequence[str] = (),
 ) -> int | None:
-    """Fold the visible batches of a table into a base; returns the batch it reaches.
+    """Fold the visible batches of a table into a new base; returns the batch it reaches.
 
+    The base has a place of its own and becomes visible when it is whole; what it replaces is left to
+    `drop_hidden`, so readers of the older state are not disturbed.
     ``cluster_by`` sorts the rows inside each file, so that lookups and ranges on these columns
     skip row groups by their minimum and maximum; it needs no further shuffle.
     """
     visible = published(spark, root, table)
     if not visible:
         return None
-    newest = visible[-1][1]
+    newest = visible[-1][1] if visible[-1][0] == "batch" else _reach(spark, root, visible[-1][1])
     current = resolve(spark, root, table, newest_by)
     origin = {"_file": "string", "_row": "bigint", "_pos": "int"}
     for c, type_ in origin.items():
         current = current.withColumn(c, F.lit(None).cast(type_))
     if cluster_by:
         current = current.sortWithinPartitions(*cluster_by)
-    publish(spark, root, newest, {table: current}, kind="base")
+    publish(spark, root, next_batch(spark, root), {table: current}, kind="base", reaches=newest)
     return newest
+
+
+def _reach(spark: SparkSession, root: str, base: int) -> int:
+    found = _published(spark, root).where((F.col("kind") == "base") & (F.col("batch") == base))
+    return found.agg(F.max(F.coalesce("reaches", "batch"))).first()[0]
+
+
+def drop_hidden(spark: SparkSession, root: str, table: str) -> list[str]:
+    """Delete the folders of a table that no reader of its present state needs; their paths."""
+    visible = published(spark, root, table)
+    keep = {_place(root, table, b, kind).rsplit("/", 1)[1] for kind, b in visible}
+    reach = next((_reach(spark, root, b) for kind, b in visible if kind == "base"), -1)
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{root}/{table}")
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    dropped = []
+    for status in store.listStatus(folder) if store.exists(folder) else []:
+        name = status.getPath().getName()
+        kind, _, number = name.partition("=")
+        covered = kind == "base" or (kind == "batch" and int(number) <= reach)
+        if covered and name not in keep:
+            store.delete(status.getPath(), True)
+            dropped.append(name)
+    return sorted(dropped)

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfmark.functions.text import tokens
 
@@ -28,28 +30,53 @@ def top_k(rows: DataFrame, by: str, k: int, tie: str) -> DataFrame:
     return rows.orderBy(F.desc_nulls_last(by), F.asc(tie)).limit(k)
 
 
-def hits(column: str, terms: Sequence[str]) -> Column:
-    """How many tokens of the text are one of the terms."""
-    wanted = [t.lower() for t in terms]
-    return F.size(F.filter(tokens(F.col(column)), lambda t: t.isin(*wanted)))
+def wanted_tokens(terms: Sequence[str]) -> Column:
+    """The different tokens of the terms, cut as texts are: a term of two words gives two."""
+    return F.array_distinct(F.flatten(F.array(*[tokens(F.lit(t)) for t in terms])))
 
 
 def keyword(
     rows: DataFrame, column: str, terms: Sequence[str], match: str = "all", rank: bool = False
 ) -> DataFrame:
-    """Rows whose text has all (or any) of the terms; ``rank`` adds the number of ``hits``."""
-    wanted = F.array(*[F.lit(t.lower()) for t in dict.fromkeys(terms)])
-    found = tokens(F.col(column))
-    kept = rows.where(_matches(found, wanted, match))
-    return kept.withColumn("hits", hits(column, terms)) if rank else kept
+    """Rows whose text has all (or any) of the terms' tokens; ``rank`` adds how many it has, ``hits``.
+
+    A text is cut once: the one-element explode keeps filter and count on the same tokens.
+    """
+    wanted = wanted_tokens(terms)
+    cut = rows.select("*", F.explode(F.array(tokens(F.col(column)))).alias("_tokens"))
+    kept = cut.where(_matches(F.col("_tokens"), wanted, match))
+    if rank:
+        hits = F.size(F.filter("_tokens", lambda t: F.array_contains(wanted, t)))
+        kept = kept.withColumn("hits", hits)
+    return kept.drop("_tokens")
 
 
 def contains(rows: DataFrame, column: str, values: Sequence, match: str = "all") -> DataFrame:
-    """Rows whose array column holds all (or any) of the values."""
+    """Rows whose column holds all (or any) of the values.
+
+    An array is asked for its elements. A VARIANT list is asked for elements that equal a value,
+    or are objects all of whose members given in the value (a dict) are equal.
+    """
+    if isinstance(rows.schema[column].dataType, T.VariantType):
+        items = F.try_variant_get(column, "$", "array<variant>")
+        held = [F.exists(items, lambda item, v=v: _holds(item, v)) for v in values]
+        if match not in ("all", "any"):
+            raise ValueError("match must be 'all' or 'any'")
+        return rows.where(reduce(Column.__and__ if match == "all" else Column.__or__, held))
     wanted = F.array(*[F.lit(v) for v in values])
     return rows.where(_matches(F.col(column), wanted, match))
 
 
+def _holds(item: Column, value) -> Column:
+    if isinstance(value, dict):
+        each = [_holds(F.try_variant_get(item, f'$["{k}"]', "variant"), v) for k, v in value.items()]
+        return reduce(Column.__and__, each)
+    type_ = {bool: "boolean", int: "bigint", float: "double", str: "string"}[type(value)]
+    kind = F.schema_of_variant(item)
+    same_kind = (kind == "STRING") if type_ == "string" else kind.isin("BOOLEAN") if type_ == "boolean" else ~kind.isin("STRING", "BOOLEAN")
+    return F.coalesce(same_kind & (F.try_variant_get(item, "$", type_) == F.lit(value)), F.lit(False))
+
+
 def _matches(held: Column, wanted: Column, match: str) -> Column:
     if match == "all":
         return held.isNotNull() & (F.size(F.array_except(wanted, held)) == 0)

@@ -40,8 +40,10 @@ def upsert(
     order: Sequence[str] = ARRIVAL,
     newest_by: str | None = None,
 ) -> DataFrame:
-    """Merge ``incoming`` into ``existing`` (unique by ``keys``).
+    """Merge ``incoming`` into ``existing`` with one fold.
 
+    ``existing`` is a table that is unique by ``keys``, or earlier arrivals that still have the
+    ``order`` columns: those need no fold of their own.
     ``last``: arrival order decides, whatever was there before is overwritten. ``first``: a row
     that is already there is never touched. ``newest_by`` compares that column before the
     arrival order, so an old version cannot overwrite a newer one.
@@ -55,7 +57,10 @@ def upsert(
         held = existing.select(
             *columns,
             F.lit(0).alias("_turn"),
-            *[F.lit(None).cast(types[f"_by_{c}"]).alias(f"_by_{c}") for c in order],
+            *[
+                (F.col(c) if c in existing.columns else F.lit(None).cast(types[f"_by_{c}"])).alias(f"_by_{c}")
+                for c in order
+            ],
         )
         arrivals = held.unionByName(arrivals)
     by = ["_turn", *[f"_by_{c}" for c in order]]

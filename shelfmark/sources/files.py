@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,17 +14,29 @@ LOG_TAIL = 50
 ERROR_MARK = "ERROR"
 
 
-def scan_csv(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+def scan_csv(spark: SparkSession, path: str, ddl: str, multi_line: bool = True) -> DataFrame:
     """The CSV files of a folder, columns matched by name and cast to the declared types.
 
-    A file whose header differs from the others fails the read; declared columns the files do
-    not have become NULL.
+    Every file is read by its own header; declared columns that a file does not have become NULL.
+    Files of one header are read together. ``multi_line`` allows line breaks inside quoted values, at
+    the price of one task a file; without such values turn it off.
     """
-    options = {"header": True, "quote": '"', "escape": '"', "multiLine": True,
-               "enforceSchema": False, "pathGlobFilter": "*.csv"}
-    rows = spark.read.options(**options).csv(path)
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line, "enforceSchema": False}
     wanted = T.StructType.fromDDL(ddl)
-    return rows.select(*[_typed(rows, f).alias(f.name) for f in wanted.fields])
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row"), "value",
+        F.col("_metadata.file_block_start").alias("block"),
+    )
+    # one row a file: names of files and their headers
+    first = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "row").alias("header")).collect()
+    headers: dict[str, list[str]] = {}
+    for r in first:
+        headers.setdefault(r.header, []).append(unquote(r.file))
+    parts = []
+    for header in sorted(headers):
+        rows = spark.read.options(**options).csv(sorted(headers[header]))
+        parts.append(rows.select(*[_typed(rows, f).alias(f.name) for f in wanted.fields]))
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], wanted)
 
 
 def _typed(rows: DataFrame, f: T.StructField):
@@ -44,8 +59,10 @@ def error_lines(lines: DataFrame, order: list[str], text: str = "value", n: int
     return last_lines(lines, order, n).where(F.col(text).contains(ERROR_MARK))
 
 
-def newest_file(files: DataFrame, at: str = "modified", name: str = "file") -> DataFrame:
-    return files.agg(F.max_by(name, F.struct(at, name)).alias(name)).where(F.col(name).isNotNull())
+def newest_file(files: DataFrame, at: str = "modified", name: str = "file", by: tuple[str, ...] = ()) -> DataFrame:
+    """The newest file, or that of each ``by``; of equally new ones the last by name."""
+    newest = files.groupBy(*by).agg(F.max_by(name, F.struct(at, name)).alias(name))
+    return newest.where(F.col(name).isNotNull())
 
 
 def scan_log(spark: SparkSession, path: str, tail: int = LOG_TAIL) -> DataFrame:

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark.functions.scalars import partition_date
 from shelfmark.operators.parse import parse_lines
-from shelfmark.session import spread
 
 PARTITION = "updated_date"
 GZ = "*.gz"
 
 
 def list_files(spark: SparkSession, path: str, entity: str, pattern: str = GZ) -> DataFrame:
-    """(entity, file, partition, bytes, modified) of the matching files; contents are not read."""
+    """(entity, file, partition, bytes, modified) of the matching files; contents are not read.
+
+    ``file`` is written as in the origin of lines and in the manifest: special characters escaped.
+    """
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
@@ -23,7 +27,7 @@ def list_files(spark: SparkSession, path: str, entity: str, pattern: str = GZ) -
         .load(path)
         .select(
             F.lit(entity).alias("entity"),
-            F.col("path").alias("file"),
+            F.col("_metadata.file_path").alias("file"),
             partition_date(F.col("path"), PARTITION).alias("partition"),
             F.col("length").alias("bytes"),
             F.col("modificationTime").alias("modified"),
@@ -56,7 +60,7 @@ def scan_lines(
 ) -> DataFrame:
     """Lines with their origin: ``_partition``, ``_file``, ``_row`` (rising within a file), ``value``.
 
-    ``files`` limits the scan to the given paths below ``path``, ``start`` and ``end`` to a
+    ``files`` limits the scan to the given paths below ``path`` (as listed by :func:`list_files`), ``start`` and ``end`` to a
     window of partitions. Both act on the file listing, before anything is read; a filter put
     on the result would come after the row numbers and read everything.
     """
@@ -64,7 +68,7 @@ def scan_lines(
     if files is None:
         lines = reader.option("pathGlobFilter", pattern).text(path)
     else:
-        lines = reader.text(files)
+        lines = reader.text([unquote(f) for f in files])
     lines = scan_window(lines, start, end, PARTITION)
     return lines.select(*_origin(lines.columns), "value")
 
@@ -80,7 +84,7 @@ def _origin(columns: list[str]) -> list[Column]:
 
 def scan_jsonl(spark: SparkSession, path: str, **limits) -> DataFrame:
     """Parsed lines; takes what :func:`scan_lines` takes."""
-    return parse_lines(spread(scan_lines(spark, path, **limits)))
+    return parse_lines(scan_lines(spark, path, **limits))
 
 
 def stream_lines(spark: SparkSession, path: str, files_per_trigger: int, pattern: str = GZ) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections import deque
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,15 +11,14 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from shelfmark.operators import manifest
 from shelfmark.operators.parse import parse_lines
-from shelfmark.operators.publish import publish
+from shelfmark.operators.publish import publish, remove
 from shelfmark.operators.quality import error_budget
 from shelfmark.operators.shred import cut_all, shape
 from shelfmark.plans.catalog import MAX_ERRORS, entity as find_entity
-from shelfmark.session import prepare, spread
+from shelfmark.session import prepare
 from shelfmark.sources.snapshot import stream_lines
 
 FILES_PER_TRIGGER = 1000
-_SEQ_STEP = 1_000_000
 
 
 def ingest_batch(
@@ -29,17 +29,18 @@ def ingest_batch(
     batch: int,
     mode: str = "lenient",
     max_errors: int = MAX_ERRORS,
-) -> None:
+) -> list[str]:
     """Load the files of one batch: parse once, judge each file, cut all tables, publish.
 
     The typed records are stored before anything is cut from them, so each line is parsed
-    once. Files over their error budget are left out as a whole. Everything written carries
-    the batch number, so running a batch again replaces what a failed run left behind.
+    once; they are removed when the tables are published. Files over their error budget are left
+    out as a whole: they are returned. Everything written carries the batch number, so running a
+    batch again replaces what a failed run left behind.
     """
     spec = find_entity(entity)
     stored = f"{root}/_records/{entity}/batch={batch:012d}"
     numbered = lines.withColumn("_row", F.monotonically_increasing_id())
-    shape(parse_lines(spread(numbered)), entity, mode).write.mode("overwrite").parquet(stored)
+    shape(parse_lines(numbered), entity, mode).write.mode("overwrite").parquet(stored)
     shaped = spark.read.parquet(stored)
 
     # one row per file, at most maxFilesPerTrigger of them
@@ -53,10 +54,10 @@ def ingest_batch(
     publish(spark, root, batch, tables)
 
     # the manifest follows the data: a file is done once its rows are visible
-    now = time.time()
+    now, first = time.time(), next_seq(len(verdicts))
     events = [
         (
-            batch * _SEQ_STEP + i,
+            first + i,
             entity,
             v["_file"],
             "done" if v["ok"] else "failed",
@@ -83,6 +84,23 @@ def ingest_batch(
         made.select(*names).coalesce(1).write.mode("overwrite").parquet(
             f"{root}/_manifest/{entity}-{batch:012d}"
         )
+    remove(spark, stored)
+    return sorted(failed)
+
+
+_newest_seq = 0
+
+
+def next_seq(n: int = 1) -> int:
+    """The first of ``n`` new event numbers: microseconds, and above all this driver gave before.
+
+    One order holds for all events of all entities, whoever writes them; a batch has far fewer
+    files than a write takes microseconds.
+    """
+    global _newest_seq
+    first = max(_newest_seq + 1, time.time_ns() // 1000)
+    _newest_seq = first + n - 1
+    return first
 
 
 def manifest_of(spark: SparkSession, root: str) -> DataFrame:
@@ -123,10 +141,10 @@ def ingest_stream(
 
 
 class Progress(StreamingQueryListener):
-    """Keeps (batch, input rows, rows per second) of the running streams."""
+    """Keeps (batch, input rows, rows per second) of the last batches of the running streams."""
 
-    def __init__(self):
-        self.rows: list[tuple[int, int, float]] = []
+    def __init__(self, kept: int = 10_000):
+        self.rows: deque[tuple[int, int, float]] = deque(maxlen=kept)
 
     def onQueryStarted(self, event):
         pass

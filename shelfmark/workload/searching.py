@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.text import positions_of, rebuild_text, tokens
 from shelfmark.operators import search
-from shelfmark.session import spread
 from shelfmark.workload import records as R
 from shelfmark.workload.registry import big, load, num, query
 
@@ -56,7 +55,7 @@ def q_topk_cited(spark, sf):
     return search.top_k(works, "cited_by_count", 50, "id").select("id", big("cited_by_count"))
 
 
-_TOKENS = "regexp_extract_all(lower(text), '[a-z]+')"
+_TOKENS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
 
 
 @query(
@@ -64,7 +63,7 @@ _TOKENS = "regexp_extract_all(lower(text), '[a-z]+')"
     f"SELECT doc_id, lang FROM documents WHERE list_has_all({_TOKENS}, ['the', 'of', 'atha'])",
 )
 def q_keyword_all(spark, sf):
-    docs = spread(load(spark, sf, "documents"))
+    docs = load(spark, sf, "documents")
     return search.keyword(docs, "text", ["the", "of", "atha"]).select("doc_id", "lang")
 
 
@@ -73,7 +72,7 @@ def q_keyword_all(spark, sf):
     f"SELECT doc_id, lang FROM documents WHERE list_has_any({_TOKENS}, ['aiaux', 'ananble', 'atha'])",
 )
 def q_keyword_any(spark, sf):
-    docs = spread(load(spark, sf, "documents"))
+    docs = load(spark, sf, "documents")
     return search.keyword(docs, "text", ["aiaux", "Ananble", "atha"], match="any").select("doc_id", "lang")
 
 
@@ -84,7 +83,7 @@ SELECT doc_id, CAST(len(list_filter({_TOKENS}, lambda t: t IN ('the', 'that')))
 FROM documents WHERE list_has_any({_TOKENS}, ['the', 'that']) ORDER BY 2 DESC, 1 LIMIT 100""",
 )
 def q_keyword_rank(spark, sf):
-    docs = spread(load(spark, sf, "documents").select("doc_id", "text"))
+    docs = load(spark, sf, "documents").select("doc_id", "text")
     found = search.keyword(docs, "text", ["the", "that"], match="any", rank=True)
     return search.top_k(found, "hits", 100, "doc_id").select("doc_id", big("hits"))
 
@@ -138,6 +137,29 @@ def _abstracts(spark, sf):
     return R.table_from(lines, "works", "works", ["id", "abstract_inverted_index"])
 
 
+@query(
+    "q_keyword_scripts",
+    f"SELECT doc_id, lang FROM documents WHERE list_has_any({_TOKENS}, ['für', 'für2021', '555', 'réeuxpa', 'ciónque', 'nicht'])",
+)
+def q_keyword_scripts(spark, sf):
+    """Terms with accents, digits and blanks are cut as the texts are."""
+    docs = load(spark, sf, "documents")
+    terms = ["FÜR", "für2021", "555", "Réeuxpa ciónque", "nicht!"]
+    return search.keyword(docs, "text", terms, match="any").select("doc_id", "lang")
+
+
+@query(
+    "q_contains_keywords",
+    """
+SELECT 'W' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey id
+FROM lineitem WHERE l_linenumber IN (2, 5)""",
+)
+def q_contains_keywords(spark, sf):
+    """Works that hold one of two keywords, in the JSON column."""
+    works = R.table_from(R.work_lines(spark, sf), "works", "works", ["id", "keywords"])
+    return search.contains(works, "keywords", [{"id": "K2"}, {"id": "K5"}], match="any").select("id")
+
+
 @query(
     "q_inverted_index",
     f"""

@@ -148,7 +148,9 @@ def q_error_tail(spark, sf):
 
 # Snapshots are named by the time of an event, some names are damaged.
 _NAMES = """
-WITH snap AS (SELECT CASE event_type WHEN 'error' THEN 'state_backup_' || event_id || '.json'
+WITH snap AS (SELECT CASE WHEN event_type = 'error' THEN 'state_backup_' || event_id || '.json'
+    WHEN event_id % 7 = 1 THEN 'state_backup_' || strftime(ts, '%Y%m%d_%H%M%S') || '9.json'
+    WHEN event_id % 7 = 2 THEN 'keep_' || strftime(ts, '%Y%m%d_%H%M%S') || '_manual.json'
     ELSE 'state_backup_' || strftime(ts, '%Y%m%d_%H%M%S') || '.json' END AS "name", event_id, event_type, ts FROM events)
 """
 
@@ -156,9 +158,11 @@ WITH snap AS (SELECT CASE event_type WHEN 'error' THEN 'state_backup_' || event_
 def _snapshots(spark, sf):
     plain = F.concat(F.lit("state_backup_"), F.col("event_id"), F.lit(".json"))
     stamped = F.concat(F.lit("state_backup_"), S.stamp(F.col("ts")), F.lit(".json"))
-    return load(spark, sf, "events").select(
-        F.when(F.col("event_type") == "error", plain).otherwise(stamped).alias("name"), "event_id"
-    )
+    longer = F.concat(F.lit("state_backup_"), S.stamp(F.col("ts")), F.lit("9.json"))
+    by_hand = F.concat(F.lit("keep_"), S.stamp(F.col("ts")), F.lit("_manual.json"))
+    seventh = F.col("event_id") % 7
+    name = F.when(F.col("event_type") == "error", plain).when(seventh == 1, longer).when(seventh == 2, by_hand)
+    return load(spark, sf, "events").select(name.otherwise(stamped).alias("name"), "event_id")
 
 
 @query(
@@ -174,7 +178,7 @@ def q_retention_newest(spark, sf):
     _NAMES
     + """
 SELECT event_id, "name" FROM snap
-WHERE event_type <> 'error' AND floor((epoch(TIMESTAMP '2024-02-10 12:00:00') - floor(epoch(ts))) / 86400) > 30""",
+WHERE event_type <> 'error' AND event_id % 7 NOT IN (1, 2) AND floor((epoch(TIMESTAMP '2024-02-10 12:00:00') - floor(epoch(ts))) / 86400) > 30""",
 )
 def q_retention_days(spark, sf):
     now = F.lit("2024-02-10 12:00:00").cast("timestamp")
@@ -245,9 +249,8 @@ def q_alerts(spark, sf):
 )
 def q_newest_per_source(spark, sf):
     docs = load(spark, sf, "documents")
-    return docs.groupBy("source").agg(
-        F.max("doc_id").alias("doc_id"), F.max_by("n_chars", "doc_id").alias("n_chars")
-    )
+    newest = FL.newest_file(docs, at="doc_id", name="doc_id", by=("source",))
+    return newest.join(docs, ["source", "doc_id"]).select("source", "doc_id", "n_chars")
 
 
 @query(

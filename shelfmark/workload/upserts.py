@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.operators.flatten import bulk_append
 from shelfmark.operators.hierarchy import compare_counts
-from shelfmark.operators.merges import audit_merges, follow, redirect
+from shelfmark.operators.merges import audit_merges, cycles, follow, redirect
 from shelfmark.operators.parse import parse_lines
 from shelfmark.operators.shred import cut, shape
 from shelfmark.operators.upsert import replace_children, upsert
@@ -49,7 +49,7 @@ def q_upsert_last(spark, sf):
     wanted = ["id", "title", "fwci", "cited_by_count", "publication_date"]
     works = cut(_versions(spark, sf, "works", columns=wanted), "works", columns=wanted)
     old, new = _loaded_and_new(works)
-    merged = upsert(upsert(None, old, ["id"]), new, ["id"])
+    merged = upsert(old, new, ["id"])
     return merged.select("id", "title", num("fwci"), big("cited_by_count"), "publication_date")
 
 
@@ -64,7 +64,7 @@ FROM v QUALIFY row_number() OVER (PARTITION BY k ORDER BY turn, "day", rw) = 1""
 def q_upsert_first(spark, sf):
     rows = cut(_versions(spark, sf, "works_open_access"), "works_open_access")
     old, new = _loaded_and_new(rows)
-    merged = upsert(upsert(None, old, ["work_id"], "first"), new, ["work_id"], "first")
+    merged = upsert(old, new, ["work_id"], "first")
     return merged.select("work_id", "is_oa", "oa_status")
 
 
@@ -83,7 +83,20 @@ def q_upsert_composite(spark, sf):
     shaped = _versions(spark, sf, "works_authorships", columns=wanted)
     old, new = _loaded_and_new(cut(shaped, "works_authorships", columns=wanted))
     key = ["work_id", "author_id"]
-    return upsert(upsert(None, old, key), new, key).select(*wanted)
+    return upsert(old, new, key).select(*wanted)
+
+
+@query(
+    "q_upsert_ids",
+    _V
+    + """
+SELECT 'W' || k work_id, CASE WHEN n % 3 <> 0 THEN 'W' || k END openalex, CASE WHEN n % 3 <> 0 THEN CAST(p AS VARCHAR) END mag
+FROM v QUALIFY row_number() OVER (PARTITION BY k ORDER BY turn DESC, "day" DESC, rw DESC) = 1""",
+)
+def q_upsert_ids(spark, sf):
+    """The ids of a work are replaced as a whole by its last version."""
+    old, new = _loaded_and_new(cut(_versions(spark, sf, "works_ids"), "works_ids"))
+    return upsert(old, new, ["work_id"]).select("work_id", "openalex", "mag")
 
 
 @query(
@@ -138,7 +151,7 @@ def q_replace_children(spark, sf):
     key = ["work_id", "concept_id"]
     old, new = _loaded_and_new(cut(shaped, "works_concepts", columns=wanted))
     _, parents = _loaded_and_new(cut(shaped, "works", columns=wanted))
-    return replace_children(upsert(None, old, key), new, parents, key, "work_id").select(*wanted)
+    return replace_children(old, new, parents, key, "work_id").select(*wanted)
 
 
 _COPIES = "(SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS keeper FROM documents)"
@@ -185,6 +198,40 @@ def q_merge_redirect(spark, sf):
     )
 
 
+@query(
+    "q_merge_repeated",
+    f"""
+SELECT 'D' || coalesce(keeper, l.doc_id) doc, count(*) n, CAST(sum(quality) AS BIGINT) quality
+FROM labels l LEFT JOIN {_COPIES} c ON l.doc_id = c.doc_id GROUP BY 1""",
+)
+def q_merge_repeated(spark, sf):
+    """Every merge listed twice, an older one to another target among them: no fact is multiplied."""
+    labels = load(spark, sf, "labels").select(F.concat(F.lit("D"), F.col("doc_id")).alias("doc"), "quality")
+    merged = _duplicate_documents(spark, sf)
+    older = merged.withColumn("merge_date", F.lit("2023-01-01").cast("date")).withColumn("merged_into_id", F.lit("D-gone"))
+    moved = redirect(labels, ["doc"], merged.unionByName(merged).unionByName(older))
+    return moved.groupBy("doc").agg(
+        F.count("*").alias("n"), F.sum("quality").cast("bigint").alias("quality")
+    )
+
+
+@query(
+    "q_merge_cycles",
+    """
+SELECT 'P' || p_partkey original_id, 'P' || (p_partkey - p_partkey % 3 + (p_partkey + 1) % 3) merged_into_id FROM part
+WHERE p_partkey // 3 % 2 = 0 AND p_partkey // 3 < (SELECT max(p_partkey) // 3 FROM part)
+  AND p_partkey // 3 > (SELECT min(p_partkey) // 3 FROM part)""",
+)
+def q_merge_cycles(spark, sf):
+    """Parts in threes of neighbouring keys: every other three is a ring, the rest are chains."""
+    parts = load(spark, sf, "part").select("p_partkey", F.expr("p_partkey div 3").alias("three"))
+    ring = F.expr("p_partkey - p_partkey % 3 + (p_partkey + 1) % 3")
+    edges = parts.agg(F.min("three").alias("lo"), F.max("three").alias("hi")).first()  # the outer threes are not whole
+    into = F.when(F.col("three") % 2 == 0, ring).otherwise(F.lit(-1))
+    inner = parts.where((F.col("three") > edges.lo) & (F.col("three") < edges.hi))
+    return cycles(inner.select(F.concat(F.lit("P"), "p_partkey").alias("original_id"), F.concat(F.lit("P"), into).alias("merged_into_id")))
+
+
 # Finished orders were merged into the order with half their id, which may be finished too.
 _CHAIN = """
 WITH RECURSIVE m AS (SELECT o_orderkey id, o_orderkey // 2 nxt FROM orders WHERE o_orderstatus = 'F' AND o_orderkey > 0),

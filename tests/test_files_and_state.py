@@ -12,6 +12,7 @@ from shelfmark.functions.text import rebuild_text, tokens
 from shelfmark.operators import manifest as M
 from shelfmark.operators import report, search
 from shelfmark.operators.flatten import flatten, write_csv
+from shelfmark.operators.merges import cycles, follow, redirect
 from shelfmark.operators.parse import parse_lines, records
 from shelfmark.operators.publish import resolve
 from shelfmark.operators.shred import shred
@@ -123,6 +124,66 @@ def test_run_over_all_entities(spark, authors, tmp_path):
     assert "topics" in [r.entity for r in M.resume(manifest_of(spark, root)).collect()]
 
 
+def test_runs_obey_their_state(spark, authors, tmp_path):
+    """Failed files are read again, reset ones too, finished ones are not; names may hold blanks."""
+    _write(tmp_path / "domains", "2024-01-01", "sp ace+%.gz", ['{"id":"D1","display_name":"x"}'])
+    root = str(tmp_path / "all")
+
+    def run():
+        state = run_entities(spark, str(tmp_path), root, ("authors", "domains"), max_errors=3, files_per_batch=2)
+        return {r.entity: r for r in state.collect()}
+
+    state = run()
+    assert state["authors"].status == "in_progress" and state["authors"].n_files == 2
+    assert state["domains"].status == "completed" and state["domains"].last_file.endswith("sp%20ace+%25.gz")
+    assert resolve(spark, root, "authors").where("id = 'A99'").isEmpty()
+    _write(authors, "2024-01-03", "c.gz", ['{"id":"A99"}'])  # mended in place
+    before = manifest_of(spark, root).where("event = 'done'").count()
+    state = run()
+    assert state["authors"].status == "completed" and state["authors"].n_files == 3
+    assert resolve(spark, root, "authors").where("id = 'A99'").count() == 1
+    assert manifest_of(spark, root).where("event = 'done'").count() == before + 1
+    note(spark, root, "domains", "reset")
+    _write(tmp_path / "domains", "2024-01-02", "more.gz", ['{"id":"D2"}'])
+    state = run()
+    assert state["domains"].n_files == 2 and state["domains"].status == "completed"
+    assert sorted(r.id for r in resolve(spark, root, "domains").collect()) == ["D1", "D2"]
+    log = manifest_of(spark, root)
+    assert log.where("event = 'in_progress'").count() == 3 + 1 + 1 + 2 and log.groupBy("seq").count().where("count > 1").isEmpty()
+
+
+def test_flat_route_clash(spark, tmp_path):
+    _write(tmp_path / "flat", "2024-01-01", "a.gz", ['{"a_b":1,"a":{"b":2}}', '{"a":{"b":3},"a_b":4}'])
+    rows = flat_load(spark, str(tmp_path / "flat"), str(tmp_path / "csv"), str(tmp_path / "table"), "a_b int")
+    assert sorted(r.a_b for r in rows.collect()) == [2, 4]
+
+
+def test_csv_files_with_different_headers(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    (folder / "one.csv").write_text('id,name\n1,"a\nb"\n2,c\n')
+    (folder / "two x.csv").write_text("extra,id\n0.5,3\n")
+    (folder / "three.csv").write_text("id,name\n4,d\n")
+    rows = scan_csv(spark, str(folder), "id int, name string, extra double").orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [(1, "a\nb", None), (2, "c", None), (3, None, 0.5), (4, "d", None)]
+
+
+def test_merges_are_unique(spark):
+    pairs = [("a", "b"), ("b", "c"), ("c", "d"), ("x", "y"), ("y", "x"), ("z", "x")] * 2
+    merged = spark.createDataFrame(pairs, "original_id string, merged_into_id string")
+    assert sorted(map(tuple, follow(merged).collect())) == [("a", "d"), ("b", "d"), ("c", "d")]
+    assert sorted(r.original_id for r in cycles(merged).collect()) == ["x", "y", "z"]
+    facts = spark.createDataFrame([("a", 1), (None, 2), ("q", 3)], "id string, n int")
+    assert sorted(map(str, redirect(facts, ["id"], merged).collect())) == sorted(["Row(id='d', n=1)", "Row(id=None, n=2)", "Row(id='q', n=3)"])
+
+
+def test_search_of_any_script(spark):
+    docs = spark.createDataFrame([(1, "Über naïve COVID19 2021 models of dark matter"), (2, "dark"), (3, "uber")], "id int, text string")
+    for terms, ids in ((["über"], [1]), (["NAÏVE"], [1]), (["covid19"], [1]), (["2021"], [1]), (["dark matter"], [1]), (["covid"], [])):
+        assert sorted(r.id for r in search.keyword(docs, "text", terms).collect()) == ids
+    assert sorted(r.id for r in search.keyword(docs, "text", ["dark matter"], "any").collect()) == [1, 2]
+
+
 def test_flat_route(spark, authors, tmp_path):
     table = str(tmp_path / "flat")
     rows = flat_load(spark, str(authors), str(tmp_path / "csv"), table, "id string, works_count int, gone string")
@@ -158,7 +219,10 @@ def test_state_folds(spark):
 
 
 def test_retention(spark):
-    names = ["state_backup_20240101_000000.json", "state_backup_20240201_120000.json", "junk"]
+    names = [
+        "state_backup_20240101_000000.json", "state_backup_20240201_120000.json", "junk",
+        "state_backup_20240101_0000009.json", "keep_20240101_000000_manual.json",
+    ]
     snaps = spark.createDataFrame([(n,) for n in names], "name string")
     now = F.lit("2024-02-01 00:00:00").cast("timestamp")
     assert [r.name for r in M.expired(snaps, now).collect()] == names[:1]

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.operators.merges import audit_merges, follow, redirect
-from shelfmark.operators.publish import compact, publish, published, resolve
+from shelfmark.operators.publish import compact, drop_hidden, publish, published, resolve
 from shelfmark.operators.quality import error_budget, orphans, validate, violations
 from shelfmark.operators.upsert import replace_children, upsert
 
@@ -119,8 +119,12 @@ def test_publish_resolve_compact(spark, tmp_path):
     got = resolve(spark, root, "works_biblio")
     assert [(r.work_id, r.volume) for r in got.collect()] == [("W1", "first")]  # first one wins
     assert compact(spark, root, "works_biblio", cluster_by=["volume"]) == 2
+    alone = resolve(spark, root, "works_biblio")
+    assert "Exchange" not in alone._jdf.queryExecution().executedPlan().toString()  # a lone base is read as it is
+    assert [(r.work_id, r.volume) for r in alone.collect()] == [("W1", "first")]
+    assert drop_hidden(spark, root, "works_biblio") == ["batch=000000000001", "batch=000000000002"]
     publish(spark, root, 4, {"works_biblio": biblio("W2", "x", 1)})
-    assert published(spark, root, "works_biblio") == [("base", 2), ("batch", 4)]
+    assert published(spark, root, "works_biblio") == [("base", 3), ("batch", 4)]
     got = resolve(spark, root, "works_biblio")
     assert _sorted(got.select("work_id", "volume")) == [("W1", "first"), ("W2", "x")]
 
