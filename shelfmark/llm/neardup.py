@@ -118,7 +118,10 @@ def super_minhash(sets: list[np.ndarray], size: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, plan: Plan, id_col: str, text_col: str) -> DataFrame:
-    """(key, id, mark, n, print, bands, sig): one row a document; ``key`` numbers rows, ``mark`` hashes texts."""
+    """(key, id, mark, n, print, bands, sig, marks): one row a document.
+
+    ``key`` numbers rows, ``mark`` hashes texts, ``print`` the sets; ``marks`` has the bands as bytes.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = TaskContext.get().partitionId() << 40
@@ -141,18 +144,19 @@ def signatures(docs: DataFrame, plan: Plan, id_col: str, text_col: str) -> DataF
                     pa.array(prints, pa.binary()),
                     pa.array([None if r is None else band[r] for r in rows], pa.list_(pa.int64())),
                     pa.array([None if r is None else sig[r].tobytes() for r in rows], pa.binary()),
+                    pa.array([None if r is None else band[r].tobytes() for r in rows], pa.binary()),
                 ],
-                names=["key", "id", "mark", "n", "print", "bands", "sig"],
+                names=["key", "id", "mark", "n", "print", "bands", "sig", "marks"],
             )
             key += len(sets)
 
     kind = docs.schema[id_col].dataType.simpleString()
     wanted = docs.select(docs[id_col].alias("i"), docs[text_col].alias("t"), F.xxhash64(docs[text_col]).alias("mark"))
-    return wanted.mapInArrow(run, f"key long, id {kind}, mark long, n long, print binary, bands array<long>, sig binary")
+    return wanted.mapInArrow(run, f"key long, id {kind}, mark long, n long, print binary, bands array<long>, sig binary, marks binary")
 
 
-def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, plan: Plan, id_col: str, text_col: str) -> DataFrame:
-    """Of the pairs (a, b) of classes, those whose full sets are similar enough."""
+def _elements(wanted: DataFrame, classes: DataFrame, docs: DataFrame, plan: Plan, id_col: str, text_col: str) -> DataFrame:
+    """(cls, elements): the full sets of the classes ``wanted`` (cls), cut from their texts again."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "t"):
@@ -162,38 +166,86 @@ def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, plan: Plan, id
             blobs = pa.array([found[i].tobytes() for i in same], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("cls").take(pa.array(same, pa.int64())), blobs], names=["cls", "elements"])
 
+    needed = wanted.distinct().join(classes.select("cls", "print", "low"), "cls")
+    texts = docs.select(docs[id_col].alias("i"), docs[text_col].alias("t"))
+    cut = needed.join(texts, texts["i"].eqNullSafe(needed["low"])).select("cls", "print", "t")
+    return stored(cut.mapInArrow(sets, "cls long, elements binary").dropDuplicates(["cls"]), "neardup-sets")
+
+
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets are similar enough."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    both = np.sort(np.concatenate([x, y]), kind="stable")
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
+def _verified(pairs: DataFrame, elements: DataFrame, plan: Plan) -> DataFrame:
+    """Of the pairs (a, b) of classes, those whose full sets are similar enough."""
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = batch.column("x"), batch.column("y")
-            keep = []
-            for i in range(batch.num_rows):
-                x, y = (np.frombuffer(c[i].as_buffer(), np.uint64) for c in (left, right))
-                both = np.sort(np.concatenate([x, y]))
-                common = int((both[1:] == both[:-1]).sum())
-                if 100 * common >= plan.percent * (len(x) + len(y) - common):
-                    keep.append(i)
+            sides = [[np.frombuffer(v.as_buffer(), np.uint64) for v in batch.column(c)] for c in ("x", "y")]
+            keep = [i for i, (x, y) in enumerate(zip(*sides, strict=True)) if _similar(x, y, plan.percent)]
             yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
-    needed = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct().join(reps.select("cls", "print", "low"), "cls")
-    texts = docs.select(docs[id_col].alias("i"), docs[text_col].alias("t"))
-    elements = stored(
-        needed.join(texts, texts["i"].eqNullSafe(needed["low"])).select("cls", "print", "t")
-        .mapInArrow(sets, "cls long, elements binary").dropDuplicates(["cls"]),
-        "neardup-sets",
-    )
     return (
         pairs.join(elements.toDF("a", "x"), "a").join(elements.toDF("b", "y"), "b")
         .select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
     )
 
 
+_GROUP = ["bucket", "t", "p"]
+
+
+def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of whole groups from batches that are sorted by group."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if rest is None else pa.concat_tables([rest, table])
+        if len(table):
+            same = [pc.equal(table[c], table[c][-1]) for c in _GROUP]
+            cut = len(table) - pc.sum(pc.and_(pc.and_(same[0], same[1]), same[2])).as_py()
+            rest = table.slice(cut)
+            if cut:
+                yield table.slice(0, cut)
+    if rest is not None and len(rest):
+        yield rest
+
+
+class _Cell:
+    """The rows of a group: targets, probes, and which of them are likely pairs."""
+
+    def __init__(self, table: pa.Table, plan: Plan) -> None:
+        self.cls, self.comp, self.probe = (table[c].to_numpy() for c in ("cls", "comp", "probe"))
+        self.sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint8).reshape(len(table), -1)
+        self.bands = np.frombuffer(b"".join(table["marks"].to_pylist()), np.int64).reshape(len(table), -1)
+        self.band = int(np.flatnonzero(self.bands[0] == table["bucket"][0].as_py())[0])
+        self.targets, self.least = np.flatnonzero(~self.probe), plan.size * plan.likely
+
+    def likely(self, i: int) -> np.ndarray:
+        """Targets of other components whose signatures are like the probe's, in no earlier bucket with it."""
+        to = self.targets[self.comp[self.targets] != self.comp[i]]
+        to = to[(self.sig[to] == self.sig[i]).sum(axis=1) >= self.least]
+        return to[(self.bands[to] == self.bands[i]).argmax(axis=1) == self.band]
+
+
+def _cells(table: pa.Table) -> Iterator[pa.Table]:
+    keys = [table[c].to_numpy() for c in _GROUP]
+    cuts = np.flatnonzero(np.any([np.diff(k) != 0 for k in keys], axis=0)) + 1
+    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(table)], strict=True):
+        yield table.slice(a, b - a).combine_chunks()
+
+
 def _crossing(members: DataFrame, plan: Plan, block: int = 1024) -> DataFrame:
-    """Likely pairs (a, b) of classes that share a bucket but not a component.
+    """Rows of groups in which likely pairs that share a bucket, but not a component, meet.
 
-    ``members`` is (bucket, cls, comp, sig). Buckets of one component are done. In another, the
+    ``members`` is (bucket, cls, comp, sig, marks). Buckets of one component are done. In another, the
     members outside the component of its least member probe all members. Targets are cut into
-    blocks and probes too, so that no group has much more than two blocks; only pairs whose
-    signatures are alike leave a task.
+    blocks and probes too, so that no group (bucket, t, p) has much more than two blocks. Rows
+    without a likely partner in their group are left out.
     """
     # one row a bucket: sizes of targets and probes
     first = members.groupBy("bucket").agg(F.min(F.struct("cls", "comp"))["comp"].alias("home"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"))
@@ -201,51 +253,61 @@ def _crossing(members: DataFrame, plan: Plan, block: int = 1024) -> DataFrame:
     open_ = members.join(first, "bucket").withColumn("h", F.xxhash64("cls"))
     spread = F.sequence(F.lit(0), F.col("blocks") - 1)
     mine = F.pmod("h", F.col("blocks")).cast("int")
-    targets = open_.select("bucket", mine.alias("t"), F.explode(spread).alias("p"), F.lit(False).alias("probe"), "cls", "comp", "sig")
-    probes = open_.where("comp <> home").select("bucket", F.explode(spread).alias("t"), mine.alias("p"), F.lit(True).alias("probe"), "cls", "comp", "sig")
+    rest = ["cls", "comp", "sig", "marks"]
+    targets = open_.select("bucket", mine.alias("t"), F.explode(spread).alias("p"), F.lit(False).alias("probe"), *rest)
+    probes = open_.where("comp <> home").select("bucket", F.explode(spread).alias("t"), mine.alias("p"), F.lit(True).alias("probe"), *rest)
     used = probes.select("bucket", "p").distinct()  # blocks without a probe need no targets
     targets = targets.join(used, ["bucket", "p"], "left_semi")
-    least = plan.size * plan.likely
 
-    def pairs(cls: np.ndarray, comp: np.ndarray, probe: np.ndarray, sig: np.ndarray) -> Iterator[np.ndarray]:
-        to = np.flatnonzero(~probe)
-        for i in np.flatnonzero(probe).tolist():
-            other = to[comp[to] != comp[i]]
-            other = other[(sig[other] == sig[i]).sum(axis=1) >= least]
-            if len(other):
-                yield np.stack([np.minimum(cls[i], cls[other]), np.maximum(cls[i], cls[other])])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in _grouped(batches):
+            for table in _cells(whole):
+                cell, used = _Cell(table, plan), np.zeros(len(table), bool)
+                for i in np.flatnonzero(cell.probe).tolist():
+                    found = cell.likely(i)
+                    used[found] = True
+                    used[i] = len(found) > 0
+                if used.any():
+                    yield from table.filter(pa.array(used)).to_batches()
+
+    groups = targets.unionByName(probes)
+    return _sorted(groups).mapInArrow(run, groups.schema)
+
+
+def _sorted(groups: DataFrame) -> DataFrame:
+    n = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return groups.repartition(n, *_GROUP).sortWithinPartitions(*_GROUP)
+
+
+def _bridges(rows: DataFrame, elements: DataFrame, plan: Plan) -> DataFrame:
+    """Links (a, b) between components, verified on full sets inside the groups of `_crossing`.
+
+    Each likely pair is compared in one group, unless links found there already join its components.
+    So a group passes on fewer links than it has rows, however many pairs it compares.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: pa.Table | None = None
-
-        def flush(table: pa.Table) -> pa.RecordBatch:
-            bucket, t, p, cls, comp = (table[c].to_numpy() for c in ("bucket", "t", "p", "cls", "comp"))
-            probe = table["probe"].to_numpy()
-            sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint8).reshape(len(cls), -1)
-            cuts = np.flatnonzero((np.diff(bucket) != 0) | (np.diff(t) != 0) | (np.diff(p) != 0)) + 1
-            found = []
-            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(cls)], strict=True):
-                found += pairs(cls[a:b], comp[a:b], probe[a:b], sig[a:b])
-            both = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.empty((2, 0), np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
-
-        for batch in batches:  # sorted; a group may reach over batches
-            table = pa.Table.from_batches([batch])
-            table = table if rest is None else pa.concat_tables([rest, table])
-            if not len(table):
-                continue
-            last = [table[c][-1] for c in ("bucket", "t", "p")]
-            tail = pc.and_(pc.and_(pc.equal(table["bucket"], last[0]), pc.equal(table["t"], last[1])), pc.equal(table["p"], last[2]))
-            cut = len(table) - pc.sum(tail).as_py()
-            rest = table.slice(cut)
-            if cut:
-                yield flush(table.slice(0, cut).combine_chunks())
-        if rest is not None and len(rest):
-            yield flush(rest.combine_chunks())
+        for whole in _grouped(batches):
+            links = []
+            for table in _cells(whole):
+                cell = _Cell(table, plan)
+                sets = [np.frombuffer(v, np.uint64) for v in table["elements"].to_pylist()]
+                up = {c: c for c in cell.comp.tolist()}
+
+                def root(x: int, up: dict[int, int] = up) -> int:
+                    while up[x] != x:
+                        up[x] = x = up[up[x]]
+                    return x
 
-    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    groups = targets.unionByName(probes).repartition(n, "bucket", "t", "p").sortWithinPartitions("bucket", "t", "p")
-    return groups.mapInArrow(run, "a long, b long").distinct()
+                for i in np.flatnonzero(cell.probe).tolist():
+                    for j in cell.likely(i).tolist():
+                        a, b = root(int(cell.comp[i])), root(int(cell.comp[j]))
+                        if a != b and _similar(sets[i], sets[j], plan.percent):
+                            up[a] = b
+                            links.append((int(cell.cls[i]), int(cell.cls[j])))
+            yield pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in links], schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+    return _sorted(rows.join(elements, "cls")).mapInArrow(run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -303,14 +365,14 @@ def groups(docs: DataFrame, plan: Plan, id_col: str = "doc_id", text_col: str =
 
     Equal sets become one class first. Classes that share a band are candidates. First each class
     is verified against the least member of those of its buckets that name it most often; then all
-    likely pairs within a bucket that are still in different components are. So a large group of
-    copies costs a link a member, and no likely pair is left out.
+    likely pairs within a bucket that are still in different components are compared inside tasks.
+    So a large group of copies costs a few rows a member, and no likely pair is left out.
     """
     sigs = stored(signatures(docs, plan, id_col, text_col), "neardup-sigs")
     classes = stored(
         sigs.where("n > 0").groupBy("print").agg(F.min("key").alias("cls"), F.min("id").alias("low")), "neardup-classes"
     )
-    reps = classes.join(sigs.select(F.col("key").alias("cls"), "bands", "sig"), "cls")
+    reps = classes.join(sigs.select(F.col("key").alias("cls"), "bands", "sig", "marks"), "cls")
     buckets = reps.select(F.explode("bands").alias("bucket"), "cls")
     centers = buckets.groupBy("bucket").agg(F.min("cls").alias("center"), F.count("*").alias("size")).where("size > 1")
     shared = stored(buckets.join(centers, "bucket").select("bucket", "cls", "center"), "neardup-buckets")
@@ -319,12 +381,17 @@ def groups(docs: DataFrame, plan: Plan, id_col: str = "doc_id", text_col: str =
         votes.groupBy("cls").agg(F.max_by("center", F.struct("n", -F.col("center"))).alias("center")).select(F.col("center").alias("a"), F.col("cls").alias("b")),
         "neardup-pairs",
     )
-    edges = stored(_verified(pairs, classes, docs, plan, id_col, text_col), "neardup-edges")
+    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b"))
+    edges = stored(_verified(pairs, _elements(wanted, classes, docs, plan, id_col, text_col), plan), "neardup-edges")
     comp = components(edges)
-    members = shared.join(comp, "cls", "left").join(reps.select("cls", "sig"), "cls").select("bucket", "cls", F.coalesce("comp", "cls").alias("comp"), "sig")
-    more = stored(_crossing(members, plan).join(pairs, ["a", "b"], "left_anti"), "neardup-pairs")
-    if not more.isEmpty():
-        edges = edges.union(stored(_verified(more, classes, docs, plan, id_col, text_col), "neardup-edges"))
+    members = (
+        shared.select("bucket", "cls").join(comp, "cls", "left").join(reps.select("cls", "sig", "marks"), "cls")
+        .select("bucket", "cls", F.coalesce("comp", "cls").alias("comp"), "sig", "marks")
+    )
+    rest = stored(_crossing(members, plan), "neardup-rest")
+    if not rest.isEmpty():
+        more = _bridges(rest, _elements(rest.select("cls"), classes, docs, plan, id_col, text_col), plan)
+        edges = edges.union(stored(more, "neardup-edges"))
         comp = components(edges)
     linked = classes.join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     least = linked.groupBy("comp").agg(F.min("low").alias("component_id"))
