@@ -59,7 +59,11 @@ def contains(rows: DataFrame, column: str, values: Sequence, match: str = "all")
     """
     if isinstance(rows.schema[column].dataType, T.VariantType):
         items = F.try_variant_get(column, "$", "array<variant>")
-        held = [F.exists(items, lambda item, v=v: _holds(item, v)) for v in values]
+
+        def some(value) -> Column:
+            return F.exists(items, lambda item: _holds(item, value))
+
+        held = [some(v) for v in values]
         if match not in ("all", "any"):
             raise ValueError("match must be 'all' or 'any'")
         return rows.where(reduce(Column.__and__ if match == "all" else Column.__or__, held))

@@ -216,6 +216,38 @@ def quarantine(shaped: DataFrame, entity: str) -> DataFrame:
     )
 
 
+def bad_values(shaped: DataFrame, entity: str) -> DataFrame:
+    """Values of a record that a column can't hold, as JSON text with table and column.
+
+    These are values other than lists where a list of names is wanted, and counts or flags of
+    another kind or with a fraction. The columns read NULL or the whole part; nothing else of the
+    record is affected.
+    """
+    held = set(shaped.schema["rec"].dataType.names)
+    found = []
+    for t in find_entity(entity).tables:
+        if t.rows not in ("one", "present") or (t.at and t.at not in held):
+            continue
+        place = shaped.schema["rec"].dataType[t.at].dataType if t.at else shaped.schema["rec"].dataType
+        base = f"rec.{t.at}" if t.at else "rec"
+        for f in t.fields:
+            if f.how not in ("list", "default") or "." in f.source or f.source not in place.names:
+                continue
+            here = F.col(f"{base}.{f.source}")
+            typed = _fill(f, base, None, "lenient")
+            lost = typed.isNull()
+            if f.type in ("int", "bigint"):
+                lost = lost | (F.try_variant_get(here, "$", "double") != typed)
+            present = here.isNotNull() & ~F.is_variant_null(here)
+            value = F.struct(F.lit(t.name).alias("table_name"), F.lit(f.name).alias("column_name"), F.to_json(here).alias("value"))
+            found.append(F.when(present & lost, value))
+    origin = [c for c in shaped.columns if c.startswith("_")]
+    rows = shaped.where(F.col("status") == OK)
+    if not found:
+        found = [F.lit(None).cast("struct<table_name:string,column_name:string,value:string>")]
+    return rows.select(*origin, "id", F.inline(F.array_compact(F.array(*found))))
+
+
 def quarantine_child(shaped: DataFrame, table: str, mode: str = "lenient") -> DataFrame:
     """Child rows that cannot be keyed, as JSON text."""
     rows = cut(shaped, table, mode, good_keys=False)

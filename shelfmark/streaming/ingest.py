@@ -13,7 +13,7 @@ from shelfmark.operators import manifest
 from shelfmark.operators.parse import parse_lines
 from shelfmark.operators.publish import publish, remove
 from shelfmark.operators.quality import error_budget
-from shelfmark.operators.shred import cut_all, shape
+from shelfmark.operators.shred import bad_values, cut_all, shape
 from shelfmark.plans.catalog import MAX_ERRORS, entity as find_entity
 from shelfmark.session import prepare
 from shelfmark.sources.snapshot import stream_lines
@@ -51,6 +51,7 @@ def ingest_batch(
     tables[f"quarantine_{entity}"] = tables.pop("quarantine")
     if "quarantine_child" in tables:
         tables[f"quarantine_child_{entity}"] = tables.pop("quarantine_child")
+    tables[f"quarantine_value_{entity}"] = bad_values(loaded, entity)
     publish(spark, root, batch, tables)
 
     # the manifest follows the data: a file is done once its rows are visible

@@ -8,7 +8,7 @@ from shelfmark.operators.flatten import bulk_append
 from shelfmark.operators.hierarchy import compare_counts
 from shelfmark.operators.merges import audit_merges, cycles, follow, redirect
 from shelfmark.operators.parse import parse_lines
-from shelfmark.operators.shred import cut, shape
+from shelfmark.operators.shred import bad_values, cut, shape
 from shelfmark.operators.upsert import replace_children, upsert
 from shelfmark.session import scratch, stored
 from shelfmark.workload import records as R
@@ -154,6 +154,25 @@ def q_replace_children(spark, sf):
     return replace_children(old, new, parents, key, "work_id").select(*wanted)
 
 
+@query(
+    "q_bad_values",
+    """
+SELECT 'A' || c_custkey id, 'authors' table_name, 'works_count' column_name, c_custkey || '.5' AS "value" FROM customer WHERE c_nationkey % 2 = 0
+UNION ALL SELECT 'A' || c_custkey, 'authors', 'display_name_alternatives', '"one name"' FROM customer WHERE c_nationkey % 3 = 0
+UNION ALL SELECT 'A' || c_custkey, 'authors', 'cited_by_count', '"many"' FROM customer WHERE c_nationkey % 5 = 0""",
+)
+def q_bad_values(spark, sf):
+    """Counts with fractions or as text, and a text where a list belongs."""
+    line = F.concat(
+        F.lit('{"id":"A'), "c_custkey", F.lit('","works_count":'), "c_custkey", F.when(F.col("c_nationkey") % 2 == 0, ".5").otherwise(""),
+        F.lit(',"display_name_alternatives":'), F.when(F.col("c_nationkey") % 3 == 0, '"one name"').otherwise('["a","b"]'),
+        F.lit(',"cited_by_count":'), F.when(F.col("c_nationkey") % 5 == 0, '"many"').otherwise("null"), F.lit("}"),
+    )
+    lines = load(spark, sf, "customer").select(F.col("c_custkey").alias("_row"), line.alias("value"))
+    found = bad_values(shape(parse_lines(lines), "authors"), "authors")
+    return found.select("id", "table_name", "column_name", "value")
+
+
 _COPIES = "(SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS keeper FROM documents)"
 
 
