@@ -49,7 +49,8 @@ def shape(
         FRAME,
         record_id.alias("id"),
         *_presence_flags(wanted, framed),
-        F.try_variant_get(framed, RECORD, reading_schema(wanted)).alias("rec"),
+        # the one-element explode keeps the cast from being repeated in what uses its result
+        F.explode(F.array(F.try_variant_get(framed, RECORD, reading_schema(wanted)))).alias("rec"),
     ).select(
         *origin,
         F.when((F.col("_status") == OK) & F.col("id").isNull(), NO_ID)

@@ -1,9 +1,11 @@
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from shelfmark import workload
 from shelfmark.operators.parse import parse_lines
 from shelfmark.operators.shred import cut, shape, shred
 
@@ -214,3 +216,9 @@ def test_shaped_form_survives_storage(spark, lines, tmp_path):
         assert cut(again, table).count() == cut(shaped, table).count()
     plan = cut(again, "works_mesh")._jdf.queryExecution().executedPlan().toString()
     assert "abstract_inverted_index" not in plan and "Python" not in plan
+
+
+@pytest.mark.parametrize("name", ["q_works", "q_authors", "q_contains", "q_topk_cited"])
+def test_records_are_cast_once(spark, small, name):
+    plan = workload.QUERIES[name](spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"try_variant_get\(framed#\d+, \$\[0\], StructField", plan)) == 1
