@@ -65,7 +65,7 @@ def _bounds(capacity: int) -> list[tuple[int, int, int]]:
 
     For the first `EXACT` ranges, no sequence holds more than n of them either.
     """
-    cuts = [capacity // k for k in range(1, EXACT + 1)]
+    cuts = [capacity // k for k in range(1, EXACT + 2)]
     while cuts[-1] > 64:
         cuts.append(cuts[-1] // 2)
     cuts = [*dict.fromkeys(c for c in cuts if c), 0]
