@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.operators import quality as Q
@@ -112,6 +115,26 @@ def q_fk_orphans(spark, sf):
     return Q.orphans(load(spark, sf, "lineitem"), "l_orderkey", parents, "o_orderkey")
 
 
+@query(
+    "q_fk_whole",
+    """
+SELECT 'orders' child, count(*) n_rows, count(*) FILTER (o_custkey NOT IN (SELECT c_custkey FROM customer)) n_orphans FROM orders
+UNION ALL SELECT 'lineitem', count(*), count(*) FILTER (l_orderkey NOT IN (SELECT o_orderkey FROM orders)) FROM lineitem
+UNION ALL SELECT 'labels', count(*), count(*) FILTER (doc_id NOT IN (SELECT doc_id FROM documents)) FROM labels""",
+)
+def q_fk_whole(spark, sf):
+    """References of whole tables, as they are."""
+    parts = []
+    for child, key, parent, parent_key in (
+        ("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_orderkey", "orders", "o_orderkey"), ("labels", "doc_id", "documents", "doc_id"),
+    ):
+        rows = load(spark, sf, child)
+        bad = Q.orphans(rows, key, load(spark, sf, parent), parent_key).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_orphans"))
+        both = rows.agg(F.count("*").alias("n_rows")).unionByName(bad, allowMissingColumns=True)
+        parts.append(both.agg(F.max("n_rows").alias("n_rows"), F.max("n_orphans").alias("n_orphans")).select(F.lit(child).alias("child"), "n_rows", "n_orphans"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query(
     "q_check",
     """

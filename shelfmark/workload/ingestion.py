@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from shelfmark.operators.flatten import flatten, write_csv
 from shelfmark.operators.parse import FRAME, RECORD, parse_lines, records
+from shelfmark.operators import manifest
 from shelfmark.operators.publish import resolve
-from shelfmark.session import scratch, spread
+from shelfmark.session import scratch, spread, stored
 from shelfmark.sources import snapshot
 from shelfmark.sources.files import scan_csv
 from shelfmark.streaming.ingest import ingest_stream
+from shelfmark.streaming.runs import log_of, note, run_entities
 from shelfmark.workload import records as R
 from shelfmark.workload.registry import big, load, num, query, shown
 
@@ -176,3 +178,102 @@ def q_stream_upsert(spark, sf):
     ingest_stream(spark, path, "authors", root, f"{root}/_stream", files_per_trigger=100).awaitTermination()
     current = resolve(spark, root, "authors", newest_by="updated_date")
     return current.select("id", F.date_format("updated_date", "yyyy-MM-dd").alias("day"), big("works_count"))
+
+
+def _daily_authors(spark, sf):
+    """Customers as author records of four days."""
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.hash("_row"), F.lit(4)))
+    return R.author_lines(spark, sf).select(day.cast("string").alias("day"), "value")
+
+
+def _snapshot_of(spark, **entities):
+    """Write the records (``day``, ``value``) of some entities as one snapshot; its folder."""
+    path = scratch(spark, "snapshot")
+    for entity, lines in entities.items():
+        _write_days(lines, f"{path}/{entity}")
+    return path
+
+
+def _write_days(lines, path):
+    named = lines.select(F.col("day").alias(snapshot.PARTITION), "value")
+    named.write.mode("append").partitionBy(snapshot.PARTITION).option("compression", "gzip").text(path)
+
+
+@query(
+    "q_run_retry",
+    """
+SELECT 'A' || c_custkey id, c_name display_name, 'in_progress' before, 'completed' after FROM customer""",
+)
+def q_run_retry(spark, sf):
+    """One day comes damaged: its files fail and are left out. Sent again, the next run reads them."""
+    lines = stored(_daily_authors(spark, sf), "authors")
+    late = F.col("day") == "2024-01-04"
+    path = _snapshot_of(spark, authors=lines.where(~late))
+    _write_days(lines.where(late).withColumn("value", F.concat("value", F.lit("}"))), f"{path}/authors")
+    root = scratch(spark, "tables")
+    before = run_entities(spark, path, root, ("authors",), max_errors=1).first()
+    lines.where(late).select("value").write.mode("overwrite").option("compression", "gzip").text(
+        f"{path}/authors/{snapshot.PARTITION}=2024-01-04"
+    )
+    after = run_entities(spark, path, root, ("authors",), max_errors=1).first()
+    authors = resolve(spark, root, "authors").select("id", "display_name")
+    return authors.select("*", F.lit(before.status).alias("before"), F.lit(after.status).alias("after"))
+
+
+@query(
+    "q_run_reset",
+    """
+SELECT 'authors' entity, 'completed' status, TRUE has_last, count(*) n_rows, 2 * count(*) n_read, count(*) n_authors FROM customer""",
+)
+def q_run_reset(spark, sf):
+    """An entity that is reset is read again as a whole, and its tables stay the same."""
+    path, root = _snapshot_of(spark, authors=_daily_authors(spark, sf)), scratch(spark, "tables")
+    run_entities(spark, path, root, ("authors",))
+    note(spark, root, "authors", "reset")
+    state = run_entities(spark, path, root, ("authors",))
+    read = log_of(spark, root).where("event = 'done'").agg(F.sum("n_rows")).first()[0]
+    return state.select(
+        "entity", "status", F.col("last_file").isNotNull().alias("has_last"), "n_rows", F.lit(read).alias("n_read"),
+        F.lit(resolve(spark, root, "authors").count()).cast("bigint").alias("n_authors"),
+    )
+
+
+@query(
+    "q_run_resume",
+    """
+SELECT unnest(['authors', 'domains']) entity, unnest(['in_progress', 'completed']) status, unnest([count(*), 5]) n_rows
+FROM customer WHERE c_custkey % 2 = 0""",
+)
+def q_run_resume(spark, sf):
+    """A run stops after some files of the first entity: the next one reads the rest and goes on.
+
+    Half of the customers came before the stop; the others are damaged, so their files fail again.
+    """
+    halves = R.author_lines(spark, sf).withColumn("late", F.col("_row") % 2 == 1)
+    day = F.when(F.col("late"), "2024-01-02").otherwise("2024-01-01").alias("day")
+    value = F.when(F.col("late"), F.concat("value", F.lit("}"))).otherwise(F.col("value")).alias("value")
+    regions = load(spark, sf, "region").select(
+        F.lit("2024-01-01").alias("day"),
+        F.to_json(F.struct(F.concat(F.lit("D"), "r_regionkey").alias("id"), F.col("r_name").alias("display_name"))).alias("value"),
+    )
+    path = _snapshot_of(spark, authors=halves.select(day, value), domains=regions)
+    root = scratch(spark, "tables")
+    run_entities(spark, path, root, ("authors",), max_errors=1)
+    state = run_entities(spark, path, root, ("authors", "domains"), max_errors=1)
+    todo = manifest.resume(log_of(spark, root), ("authors", "domains")).first()
+    return state.where(F.lit(todo.entity == "authors")).select("entity", "status", "n_rows")
+
+
+@query(
+    "q_csv_mixed",
+    """
+SELECT c_custkey AS "key", c_name AS "name", CASE WHEN c_nationkey % 2 = 0 THEN ROUND(c_acctbal, 2) END balance FROM customer""",
+)
+def q_csv_mixed(spark, sf):
+    """Files with different headers in one folder: each is read by its own."""
+    path = scratch(spark, "csv")
+    rows = load(spark, sf, "customer").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"), "c_nationkey")
+    even = F.col("c_nationkey") % 2 == 0
+    write_csv(rows.where(even).select("balance", "key", "name"), path)
+    write_csv(rows.where(~even).select("key", "name"), path, mode="append")
+    return scan_csv(spark, path, "key bigint, name string, balance double").select("key", "name", num("balance", digits=2))
