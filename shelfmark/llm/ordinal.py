@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import by_bytes, offsets
+from shelfmark.session import stored
 
 #: Hashed features: 2 to the power of this.
 BITS = 20
@@ -121,35 +122,18 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(x / 2))
 
 
-def fit(doc: np.ndarray, column: np.ndarray, value: np.ndarray, grade: np.ndarray, keep: int = 256, least_z: float = 6.0, least_docs: float = 0.01, ridge: float = 1e-4, steps: int = 400) -> Model:
-    """Fit a model on sparse features of ``len(grade)`` documents.
+def fit(columns: np.ndarray, x: np.ndarray, grade: np.ndarray, ridge: float = 1e-4, steps: int = 400) -> Model:
+    """A model of the features ``columns``, whose values for each text are a row of ``x``.
 
-    ``keep`` features at most, those whose correlation with the grade is farthest from chance,
-    share one weight over all thresholds; those of fewer than 5 documents or ``least_docs`` of all
-    are left out. Quasi-Newton (BFGS) steps on the ridge-penalised likelihood; thresholds stay in
-    order because only their log distances are free.
+    All thresholds share one weight a feature. Quasi-Newton (BFGS) steps on the ridge-penalised
+    likelihood; thresholds stay in order because only their log distances are free.
     """
     n, top = len(grade), int(grade.max(initial=1))
-    used, at = np.unique(column, return_inverse=True)
-    y = grade - grade.mean() if n else grade
-    docs = np.bincount(at, minlength=len(used))
-    total = np.bincount(at, weights=value, minlength=len(used))
-    square = np.bincount(at, weights=value * value, minlength=len(used))
-    cross = np.bincount(at, weights=value * y[doc], minlength=len(used)) if n else total
-    spread = np.sqrt(np.maximum((square - total * total / max(n, 1)) * (y @ y), 1e-12))
-    z = np.where(docs >= max(5, least_docs * n), np.abs(cross / spread) * np.sqrt(n), 0.0)
-    chosen = np.sort(np.argsort(-z, kind="stable")[:keep])
-    chosen = chosen[z[chosen] >= least_z]
-    place = np.full(len(used), -1)
-    place[chosen] = np.arange(len(chosen))
-    mine = place[at] >= 0
-    x = np.zeros((n, len(chosen)))
-    x[doc[mine], place[at[mine]]] = value[mine]
-    mean, scale = (x.mean(axis=0), x.std(axis=0) + 1e-9) if n else (np.zeros(0), np.ones(0))
+    mean, scale = (x.mean(axis=0), x.std(axis=0) + 1e-9) if n else (np.zeros(len(columns)), np.ones(len(columns)))
     x = (x - mean) / scale
     share = np.clip([(grade > k).mean() if n else 0.5 for k in range(top)], 1e-3, 1 - 1e-3)
     start = np.maximum.accumulate(-np.log(share / (1 - share)) + 1e-2 * np.arange(top))
-    theta = np.concatenate([start[:1], np.log(np.maximum(np.diff(start), 1e-2)), np.zeros(len(chosen))])
+    theta = np.concatenate([start[:1], np.log(np.maximum(np.diff(start), 1e-2)), np.zeros(len(columns))])
 
     def cuts(t: np.ndarray) -> np.ndarray:
         return np.cumsum(np.concatenate([t[:1], np.exp(t[1:top])]))
@@ -169,7 +153,7 @@ def fit(doc: np.ndarray, column: np.ndarray, value: np.ndarray, grade: np.ndarra
     if n:
         theta = _bfgs(loss, theta, steps)
     weights = theta[top:] / scale
-    return Model(used[chosen], weights, cuts(theta) + mean @ weights)
+    return Model(columns, weights, cuts(theta) + mean @ weights)
 
 
 def _bfgs(loss, theta: np.ndarray, steps: int) -> np.ndarray:
@@ -198,17 +182,64 @@ def _bfgs(loss, theta: np.ndarray, steps: int) -> np.ndarray:
     return theta
 
 
-def sample(docs: DataFrame, labels: DataFrame, grade: Column, limit: int, id_col: str = "doc_id", text_col: str = "text") -> tuple[pa.Array, np.ndarray]:
-    """(texts, grades) of ``limit`` labelled documents at most, the same ones in every run.
+def sample(docs: DataFrame, labels: DataFrame, grade: Column, limit: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(i, t, g): ``limit`` labelled documents at most, the same ones in every run.
 
     The labels with the least hashes of their ids are taken; that many rows are small enough for
-    every join strategy. Null ids and null grades are left out.
+    every join strategy. Null ids and null grades are left out, the highest grade of an id counts.
     """
     some = labels.select(F.col(id_col).alias("i"), grade.cast("int").alias("g")).where("i is not null and g is not null")
     some = some.groupBy("i").agg(F.max("g").alias("g")).orderBy(F.xxhash64("i"), "i").limit(limit)
     texts = docs.select(docs[id_col].alias("i"), docs[text_col].alias("t")).where("t is not null")
-    rows = texts.join(F.broadcast(some), "i").dropDuplicates(["i"]).select("i", "t", "g").toArrow().sort_by("i")
-    return rows["t"].combine_chunks(), rows["g"].to_numpy().astype(np.int64)
+    return stored(texts.join(F.broadcast(some), "i").dropDuplicates(["i"]).select("i", "t", "g"), "labelled")
+
+
+def design(rows: DataFrame, keep: int = 256, least_z: float = 6.0, least_docs: float = 0.01) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(columns, values, grades) of labelled texts (i, t, g).
+
+    ``keep`` features at most, those whose correlation with the grade is farthest from chance, and
+    the three of `Words.general`; features of fewer than 5 documents or ``least_docs`` of all are left
+    out. Texts stay on the executors: the driver gets one row a document with the chosen values.
+    """
+
+    def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_bytes(batches, "t"):
+            doc, column, value = features(batch.column("t"))
+            grade = batch.column("g").to_numpy(zero_copy_only=False).astype(np.float64)
+            yield pa.RecordBatch.from_arrays([pa.array(column), pa.array(value), pa.array(grade[doc])], names=["column", "v", "g"])
+
+    n, total, square = rows.agg(F.count("*"), F.coalesce(F.sum("g"), F.lit(0)), F.coalesce(F.sum(F.col("g") * F.col("g")), F.lit(0))).first()
+    mean = total / max(n, 1)
+    sums = rows.mapInArrow(every, "column long, v double, g double").where("column >= 3").groupBy("column").agg(
+        F.count("*").alias("n"), F.sum("v").alias("s"), F.sum(F.col("v") * F.col("v")).alias("q"), F.sum(F.col("v") * F.col("g")).alias("c")
+    )
+    spread = F.sqrt(F.greatest((F.col("q") - F.col("s") * F.col("s") / max(n, 1)) * F.lit(float(square - total * mean)), F.lit(1e-12)))
+    z = F.abs((F.col("c") - mean * F.col("s")) / spread) * float(np.sqrt(n))
+    best = sums.where(F.col("n") >= max(5.0, least_docs * n)).withColumn("z", z).where(F.col("z") >= least_z)
+    chosen = best.orderBy(F.desc("z"), "column").limit(keep).select("column").toArrow()["column"].to_numpy()
+    columns = np.sort(np.concatenate([np.arange(3), chosen]))
+
+    def few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_bytes(batches, "t"):
+            x = dense(batch.column("t"), columns)
+            bounds = pa.array(np.arange(len(x) + 1, dtype=np.int32) * len(columns))
+            lists = pa.ListArray.from_arrays(bounds, pa.array(x.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column("i"), batch.column("g"), lists], names=["i", "g", "x"])
+
+    kind = rows.schema["i"].dataType.simpleString()
+    got = rows.mapInArrow(few, f"i {kind}, g int, x array<double>").toArrow().sort_by("i")
+    values = got["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False) if len(got) else np.empty(0)
+    return columns, values.reshape(len(got), len(columns)), got["g"].to_numpy().astype(np.int64)
+
+
+def dense(texts: pa.Array, columns: np.ndarray) -> np.ndarray:
+    """The values of the features ``columns`` (sorted), one row a text."""
+    doc, column, value = features(texts)
+    at = np.minimum(np.searchsorted(columns, column), len(columns) - 1)
+    mine = columns[at] == column
+    x = np.zeros((len(texts), len(columns)))
+    x[doc[mine], at[mine]] = value[mine]
+    return x
 
 
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

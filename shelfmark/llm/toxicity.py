@@ -14,15 +14,15 @@ SAMPLE = 4_000
 STEPS = (3, 6)
 
 
-def severities(column: np.ndarray, doc: np.ndarray, value: np.ndarray, toxic: np.ndarray, steps: tuple[int, ...] = STEPS) -> np.ndarray:
+def severities(columns: np.ndarray, x: np.ndarray, toxic: np.ndarray, steps: tuple[int, ...] = STEPS) -> np.ndarray:
     """Grades of labelled texts: 0 for those not toxic, 1 and up for toxic ones.
 
     Words typical of toxic texts are those that a first model of two grades gives a positive
     weight; a toxic text is graded by how many of them it has.
     """
-    first = ordinal.fit(doc, column, value, toxic)
-    typical = first.columns[(first.weights > 0) & (first.columns >= 3) & (first.columns < 3 + (1 << ordinal.BITS))]
-    hits = np.bincount(doc[np.isin(column, typical)], minlength=len(toxic))
+    first = ordinal.fit(columns, x, toxic)
+    typical = (first.weights > 0) & (columns >= 3) & (columns < 3 + (1 << ordinal.BITS))
+    hits = (x[:, typical] > 0).sum(axis=1)
     return np.where(toxic > 0, 1 + sum((hits >= s).astype(int) for s in steps), 0)
 
 
@@ -31,9 +31,8 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> ordinal.Mo
 
     Without labels the model gives every text even odds, which is not toxic.
     """
-    texts, toxic = ordinal.sample(docs, labels, F.col("toxic"), limit)
-    doc, column, value = ordinal.features(texts)
-    return ordinal.fit(doc, column, value, severities(column, doc, value, (toxic > 0).astype(np.int64)))
+    columns, x, toxic = ordinal.design(ordinal.sample(docs, labels, F.col("toxic"), limit))
+    return ordinal.fit(columns, x, severities(columns, x, (toxic > 0).astype(np.int64)))
 
 
 def clean(tails: np.ndarray) -> np.ndarray:

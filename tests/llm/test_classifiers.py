@@ -35,19 +35,31 @@ def test_thresholds_are_ordered_and_weights_shared():
     pick = np.random.default_rng(3)
     grade = pick.integers(0, 4, 600)
     texts = pa.array([" ".join(["mild"] * (g >= 1) + ["bad"] * (g >= 2) + ["worst"] * (g >= 3) + [f"w{k}" for k in pick.integers(0, 90, 12)]) for g in grade.tolist()])
-    model = ordinal.fit(*ordinal.features(texts), grade)
+    columns = np.unique(ordinal.features(texts)[1])
+    model = ordinal.fit(columns, ordinal.dense(texts, columns), grade)
     tails = model.scores(texts)
     assert (np.diff(model.thresholds) > 0).all() and (np.diff(tails, axis=1) <= 0).all()
     assert (np.round(tails.sum(axis=1)) == grade).mean() > 0.95
 
 
+def test_design_takes_what_goes_with_the_grade(rows):
+    """The words that tell grades apart are found, with the general columns; values are the texts'."""
+    pick = np.random.default_rng(4)
+    pairs = [(i, " ".join(["sign"] * (i % 2) + [f"w{k}" for k in pick.integers(0, 50, 20)])) for i in range(300)]
+    labelled = rows(pairs).selectExpr("doc_id AS i", "text AS t", "CAST(doc_id % 2 AS INT) AS g")
+    columns, x, grade = ordinal.design(labelled)
+    sign = int(ordinal.split(pa.array(["sign"])).word[0])
+    assert {0, 1, 2, sign} <= set(columns.tolist()) and len(columns) < 20
+    assert (x[:, columns.tolist().index(sign)] == grade).all() and (grade == np.arange(300) % 2).all()
+    assert (x == ordinal.dense(pa.array([t for _, t in pairs]), columns)).all()
+
+
 def test_fit_follows_its_likelihood():
     """The gradient is that of the likelihood: the fitted value can't be bettered nearby."""
     pick = np.random.default_rng(8)
     x = pick.normal(size=(400, 2))
     grade = np.digitize(x @ [1.0, -0.5] + pick.logistic(size=400), [-1.0, 1.0])
-    doc = np.repeat(np.arange(400), 2)
-    model = ordinal.fit(doc, np.tile([3, 4], 400), x.ravel(), grade, ridge=0.0, least_z=0.0)
+    model = ordinal.fit(np.array([3, 4]), x, grade, ridge=0.0)
 
     def loss(w, b):
         s = x @ w
