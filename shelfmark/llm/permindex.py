@@ -15,8 +15,9 @@ from shelfmark.session import stored
 
 #: Pivots, and how many of the nearest ones a vector is known by.
 PIVOTS, PREFIX = 256, 64
-#: Part of a shard's vectors that is reranked, and how many at least.
-RERANK, LEAST = 0.15, 256
+#: Part of a shard's vectors that is reranked, and how many at least. Where a third of all vectors lie close
+#: together, places among them are mostly noise: 0.15 finds 0.86 of the true neighbours there, 0.3 0.97.
+RERANK, LEAST = 0.3, 256
 
 
 def _scaled(vectors: np.ndarray) -> np.ndarray:
