@@ -93,9 +93,10 @@ def candidates(postings: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
 
 
 def scan(
-    docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()
-) -> DataFrame:
-    """(id, text, spans, kept columns): every row with its spans, by start and then by rule.
+    docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text",
+    keep: tuple[str, ...] = (), out: str = "spans",
+) -> DataFrame:
+    """(id, text, ``out``, kept columns): every row with its spans, by start and then by rule.
 
     A span is (start, kind, end): code points, the end not included, the rule's number. Spans of
     different rules may overlap. Null texts count as empty and have none. Rows may repeat and ids
@@ -113,7 +114,7 @@ def scan(
         if trigrams.query(rule.pattern) is not None:
             found = F.when(F.array_contains("kinds", n), found).otherwise(F.array().cast(_SPAN))
         parts.append(found)
-    spans = F.array_sort(F.concat(*parts)).alias("spans")
+    spans = F.array_sort(F.concat(*parts)).alias(out)
     return rows.select(F.col("i").alias(id_col), F.col("t").alias(text_col), spans, *(F.col(f"keep_{c}").alias(c) for c in keep))
 
 

@@ -66,7 +66,7 @@ def test_odd_rows(rows):
     }
     kept = neardup.one_of_each(rows(pairs), neardup.Plan(3, 85)).collect()
     assert sorted(str(r.doc_id) for r in kept) == sorted(map(str, [1, 7, 8, 9, 10, 12, 13]))
-    assert all(r.spans == 4 and r.key == "x" for r in kept)
+    assert all(r.spans == 4 and r.t == "x" for r in kept)
     assert neardup.groups(rows([]), neardup.Plan()).collect() == []
     assert neardup.one_of_each(rows([]), neardup.Plan()).collect() == []
 
