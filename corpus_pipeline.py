@@ -33,9 +33,10 @@ def different(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets in their texts replaced; ``n_chars`` counts the new texts."""
     others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    found = secrets.scan(docs, keep=others)
-    text = F.when(F.size("spans") > 0, secrets.redacted(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
-    rows = found.withColumn("text", text).drop("spans")
+    spans = "spans" + "_" * (1 + max(map(len, docs.columns)))  # a name that no column has
+    found = secrets.scan(docs, keep=others, out=spans)
+    text = F.when(F.size(spans) > 0, secrets.redacted(F.col("text"), F.col(spans))).otherwise(F.col("text"))
+    rows = found.withColumn("text", text).drop(spans)
     if "n_chars" in others:
         rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return rows.select(*docs.columns)
