@@ -136,10 +136,10 @@ def test_packing_of_documents(vocab, documents, texts):
     assert _check_packing(got, 512) <= 1.02 * _best_fit([w[3] for w in want], 512) + 1
 
 
-@pytest.mark.parametrize("capacity", [1, 2, 5, 64, 2048])
+@pytest.mark.parametrize("capacity", [1, 5, 2048])
 def test_packing_of_any_lengths(spark, capacity):
     pick = np.random.default_rng(capacity)
-    for lengths in (pick.integers(1, capacity + 1, 300), np.full(100, max(1, capacity // 3)), np.ones(700, int), []):
+    for lengths in (np.concatenate([pick.integers(1, capacity + 1, 300), np.full(100, max(1, capacity // 3)), np.ones(700, int)]), []):
         items = spark.createDataFrame([(k, int(n)) for k, n in enumerate(lengths)], "key long, length long")
         placed = packing.pack(items, capacity).join(items, "key").collect()
         assert sorted(r.key for r in placed) == list(range(len(lengths)))
