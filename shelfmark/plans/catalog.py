@@ -147,6 +147,7 @@ WORKS = Entity(
             rows="many",
             at="locations",
             fallback="primary_location",
+            policy="first",
         ),
         _table(
             "works_open_access",

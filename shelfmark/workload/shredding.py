@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions import variants as V
@@ -38,7 +41,12 @@ SELECT id, CASE WHEN n % 2 = 0 THEN 'doi/' || p END doi, 'line ' || rf || ls tit
        CAST(CASE WHEN n % 4 = 0 THEN 0 ELSE 3 END AS BIGINT) referenced_works_count,
        CAST(CASE WHEN n % 4 = 0 THEN 0 ELSE 3 END AS BIGINT) n_referenced,
        'W' || (p + 1) first_related, ls || '|' || rf indexed_in, 'K' || n keyword_id,
-       ROUND(ep, 4) fwci, ROUND(q, 4) apc_list, "day" created_date, "day" || ' 01:02:03' updated_date
+       ROUND(ep, 4) fwci, ROUND(q, 4) apc_list, "day" created_date, "day" || ' 01:02:03' updated_date,
+       NULL doi_registration_agency, NULL display_name, NULL type_crossref, NULL type_id, NULL language_id, NULL cited_by_api_url,
+       NULL abstract_inverted_index, NULL cited_by_percentile_year, FALSE has_fulltext, 'W' || (p + 1) related_works,
+       'P' || s primary_source, 'pdf/' || p primary_pdf, NULL best_oa_location, NULL locations_count, NULL primary_topic,
+       '[]' sustainable_development_goals, NULL citation_normalized_percentile, '[]' grants, NULL apc_paid,
+       CASE WHEN n % 4 <> 0 THEN 'W' || p || '|W' || s || '|W' || p ELSE '' END referenced_works, CAST(1 AS BIGINT) n_keywords
 FROM l""",
 )
 def q_works(spark, sf):
@@ -52,6 +60,16 @@ def q_works(spark, sf):
         F.array_join("indexed_in", "|").alias("indexed_in"),
         F.try_variant_get("keywords", "$[0].id", "string").alias("keyword_id"),
         num("fwci"), num("apc_list"), shown("created_date"), shown("updated_date"),
+        "doi_registration_agency", "display_name", "type_crossref", "type_id", "language_id", "cited_by_api_url",
+        *[F.to_json(c).alias(c) for c in (
+            "abstract_inverted_index", "cited_by_percentile_year", "best_oa_location", "primary_topic",
+            "sustainable_development_goals", "citation_normalized_percentile", "grants",
+        )],
+        "has_fulltext", F.array_join("related_works", "|").alias("related_works"),
+        F.try_variant_get("primary_location", "$.source.id", "string").alias("primary_source"),
+        F.try_variant_get("primary_location", "$.pdf_url", "string").alias("primary_pdf"),
+        big("locations_count"), num("apc_paid"), F.array_join("referenced_works", "|").alias("referenced_works"),
+        F.size(F.try_variant_get("keywords", "$", "array<variant>")).cast("bigint").alias("n_keywords"),
     )
 
 
@@ -505,14 +523,21 @@ def q_taxonomy(spark, sf):
 @query(
     "q_taxonomy_counts",
     """
-SELECT subfield_id, CAST(2000 + yr AS BIGINT) AS "year", CAST(yr AS BIGINT) works_count, CAST(cited AS BIGINT) cited_by_count FROM (
-  SELECT 'SF' || p_type || p_size subfield_id, p_size yr, arg_max(p_partkey % 13, p_partkey) cited FROM part GROUP BY 1, 2)""",
+SELECT level, id, CAST(2000 + yr AS BIGINT) AS "year", CAST(yr AS BIGINT) works_count, CAST(cited AS BIGINT) cited_by_count FROM (
+  SELECT level, id, p_size yr, arg_max(p_partkey % 13, p_partkey) cited FROM (
+    SELECT 'domains' AS level, 'D' || (length(p_type) % 4) id, * FROM part UNION ALL SELECT 'fields', 'F' || p_type, * FROM part
+    UNION ALL SELECT 'subfields', 'SF' || p_type || p_size, * FROM part UNION ALL SELECT 'topics', 'T' || p_partkey, * FROM part)
+  GROUP BY 1, 2, 3)""",
 )
 def q_taxonomy_counts(spark, sf):
-    rows = R.table_from(R.taxonomy_lines(spark, sf, "subfields"), "subfields", "subfields_counts_by_year")
-    return fold(rows, ["subfield_id", "year"], "last", ARRIVAL).select(
-        "subfield_id", big("year"), big("works_count"), big("cited_by_count")
-    )
+    """Yearly counts of all four levels."""
+    parts = []
+    for level in TAXONOMY:
+        key = f"{level[:-1]}_id"
+        rows = R.table_from(R.taxonomy_lines(spark, sf, level), level, f"{level}_counts_by_year")
+        last = fold(rows, [key, "year"], "last", ARRIVAL)
+        parts.append(last.select(F.lit(level).alias("level"), F.col(key).alias("id"), big("year"), big("works_count"), big("cited_by_count")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query(
