@@ -16,11 +16,19 @@ SLICE_BYTES = 8 << 20
 BATCH_BYTES = 16 << 20
 
 
-def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A test table of ``sf_dir``; Arrow batches are bounded by bytes, as rows may be very long."""
-    # Python workers on this machine find the package where the driver did; clusters get it by --py-files
+def prepare(spark: SparkSession) -> SparkSession:
+    """Bound Arrow batches by bytes, as rows may be very long, and let Python workers find the package.
+
+    Workers on this machine find it where the driver did; clusters get it by --py-files.
+    """
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return spark
+
+
+def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A test table of ``sf_dir``."""
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
