@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm import neardup, packing, quality, secrets, toxicity
-from shelfmark.llm.common import read
+from shelfmark.llm.common import prepare, read
 from shelfmark.llm.queries import tokenizer
 from shelfmark.session import stored
 
@@ -27,11 +27,13 @@ def civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def different(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: five-word shingles, similarity of 0.8 or more."""
+    prepare(spark)
     return neardup.one_of_each(docs, neardup.Plan(shingle=5, percent=80))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets in their texts replaced; ``n_chars`` counts the new texts."""
+    prepare(spark)
     others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
     spans = "spans" + "_" * (1 + max(map(len, docs.columns)))  # a name that no column has
     found = secrets.scan(docs, keep=others, out=spans)
@@ -44,6 +46,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' pieces and their places in sequences of 2048 tokens."""
+    prepare(spark)
     return packing.packed(docs, tokenizer("byte_bpe_50k.json"), end_id=0, capacity=2048)
 
 
