@@ -89,7 +89,7 @@ class ChunkEncoder:
     is bounded by ``limit`` entries and lives as long as the Python worker.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Ids], limit: int = 400_000) -> None:
+    def __init__(self, encode: Callable[[list[str]], Ids], limit: int = 300_000) -> None:
         self._encode, self._known = encode, Known(limit)
 
     def texts(self, texts: pa.Array) -> Ids:

@@ -11,9 +11,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text or vectors that a Python worker handles at once.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 #: Bytes of one Arrow batch between the JVM and a Python worker.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
+#: Settings of Python workers: large arrays go back to the system when they are freed, so that what one
+#: stage needed doesn't stay with the worker while others run.
+WORKER = {
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+    "MALLOC_ARENA_MAX": "2",
+    "MALLOC_MMAP_THRESHOLD_": str(2 << 20),
+    "MALLOC_TRIM_THRESHOLD_": str(4 << 20),
+}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -21,7 +29,9 @@ def prepare(spark: SparkSession) -> SparkSession:
 
     Workers on this machine find it where the driver did; clusters get it by --py-files.
     """
-    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+    settings = {**WORKER, "PYTHONPATH": str(Path(__file__).resolve().parents[2])}
+    for name, value in settings.items():
+        spark.sparkContext.environment.setdefault(name, value)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 

@@ -25,7 +25,7 @@ class LibraryEncoder:
     other chunk as a whole; both give the library's own ids of the text.
     """
 
-    def __init__(self, path: str, limit: int = 1_000_000) -> None:
+    def __init__(self, path: str, limit: int = 600_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker for each core
         self._library = Tokenizer.from_file(path)
         self._library.no_truncation()
@@ -33,7 +33,7 @@ class LibraryEncoder:
         self._folds = self._library.normalizer is not None and self._probe("  Ab") == self._probe("ab")
         self._blanks = self._probe(" ab") != self._probe("ab")
         self._known = Known(limit)
-        self._encoder = ChunkEncoder(self._encode, min(limit, 400_000))
+        self._encoder = ChunkEncoder(self._encode, min(limit, 300_000))
 
     def _probe(self, text: str) -> list[int]:
         return self._library.encode(text, add_special_tokens=False).ids
