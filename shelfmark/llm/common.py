@@ -59,6 +59,22 @@ def by_bytes(
             start = stop
 
 
+def ascii_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(all words one after another, bounds of each text's): runs of other than ASCII white space.
+
+    Null texts have none. (Arrow's own split at white space reads beyond the end of its input.)
+    """
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    for blank in "\t\n\x0b\x0c\r":
+        if pc.any(pc.match_substring(texts, blank)).as_py():
+            texts = pc.replace_substring(texts, blank, " ")
+    pieces = pc.split_pattern(texts, " ")
+    bounds = pieces.offsets.to_numpy().astype(np.int64)
+    flat = pieces.flatten()
+    real = pc.greater(pc.binary_length(flat), 0)
+    return flat.filter(real), offsets(real.to_numpy(zero_copy_only=False))[bounds - bounds[0]]
+
+
 def gather(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """The runs ``flat[starts[i]:starts[i] + lens[i]]`` one after another."""
     total = int(lens.sum())

@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import by_bytes, offsets
+from shelfmark.llm.common import ascii_words, by_bytes
 from shelfmark.session import stored
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -58,13 +58,8 @@ def shingle_sets(texts: pa.Array, shingle: int) -> list[np.ndarray]:
     Words are runs of characters other than ASCII white space, A-Z lower-cased. A text of fewer
     words than ``shingle`` is one shingle as a whole; one without words, or null, has none.
     """
-    words = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
-    bounds = words.offsets.to_numpy().astype(np.int64)
-    bounds -= bounds[0]
-    flat = words.flatten()
-    real = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
-    bounds = offsets(real)[bounds]
-    codes = pc.dictionary_encode(flat.filter(pa.array(real)).cast(pa.large_binary()))
+    words, bounds = ascii_words(pc.ascii_lower(texts))
+    codes = pc.dictionary_encode(words.cast(pa.large_binary()))
     hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in codes.dictionary.to_pylist()), np.uint64, len(codes.dictionary))
     w = hashes[codes.indices.to_numpy(zero_copy_only=False)] if len(codes) else hashes
     rolled = w

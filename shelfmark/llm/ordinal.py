@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import by_bytes, offsets
+from shelfmark.llm.common import ascii_words, by_bytes
 from shelfmark.session import stored
 
 #: Hashed features: 2 to the power of this.
@@ -54,13 +54,9 @@ def split(texts: pa.Array) -> Words:
     (runs of capitals, letters and digits each as one sign, marks as they are) into columns after
     those.
     """
-    words = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
-    bounds = words.offsets.to_numpy().astype(np.int64)
-    bounds -= bounds[0]
-    flat = words.flatten()
-    real = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
-    count = np.diff(offsets(real)[bounds])
-    coded = pc.dictionary_encode(flat.filter(pa.array(real)))
+    words, bounds = ascii_words(texts)
+    count = np.diff(bounds)
+    coded = pc.dictionary_encode(words)
     shape = coded.dictionary
     for pattern, sign in _RUNS:
         shape = pc.replace_substring_regex(shape, pattern, sign)
