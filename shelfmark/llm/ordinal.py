@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import deque
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import ascii_words, by_bytes
+from shelfmark.llm.common import ascii_words, by_bytes, offsets
 from shelfmark.session import stored
 
 #: Hashed features: 2 to the power of this.
@@ -118,15 +118,51 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(x / 2))
 
 
-def fit(columns: np.ndarray, x: np.ndarray, grade: np.ndarray, ridge: float = 1e-4, steps: int = 400) -> Model:
+@dataclass(frozen=True)
+class Sparse:
+    """Values other than zero of texts (rows) for some features (columns)."""
+
+    row: np.ndarray
+    at: np.ndarray
+    value: np.ndarray
+    shape: tuple[int, int]
+
+    @classmethod
+    def of(cls, x: np.ndarray) -> Sparse:
+        row, at = np.nonzero(x)
+        return cls(row, at, x[row, at], x.shape)
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        """A sum for each text."""
+        return np.bincount(self.row, weights=self.value * w[self.at], minlength=self.shape[0])
+
+    def sums(self, of: np.ndarray) -> np.ndarray:
+        """A sum for each feature of its values times those ``of`` their texts."""
+        return np.bincount(self.at, weights=self.value * of[self.row], minlength=self.shape[1])
+
+    def column(self, at: int) -> np.ndarray:
+        mine = self.at == at
+        return np.bincount(self.row[mine], weights=self.value[mine], minlength=self.shape[0])
+
+    def dense(self) -> np.ndarray:
+        x = np.zeros(self.shape)
+        x[self.row, self.at] = self.value
+        return x
+
+
+def fit(columns: np.ndarray, x: Sparse | np.ndarray, grade: np.ndarray, ridge: float = 1e-4, steps: int = 400) -> Model:
     """A model of the features ``columns``, whose values for each text are a row of ``x``.
 
-    All thresholds share one weight a feature. Quasi-Newton (BFGS) steps on the ridge-penalised
-    likelihood; thresholds stay in order because only their log distances are free.
+    All thresholds share one weight a feature. Quasi-Newton (limited-memory BFGS) steps on the
+    ridge-penalised likelihood; thresholds stay in order because only their log distances are free.
+    Features count by their distance from the mean, scaled, but ``x`` stays sparse.
     """
+    x = x if isinstance(x, Sparse) else Sparse.of(x)
     n, top = len(grade), int(grade.max(initial=1))
-    mean, scale = (x.mean(axis=0), x.std(axis=0) + 1e-9) if n else (np.zeros(len(columns)), np.ones(len(columns)))
-    x = (x - mean) / scale
+    mean = x.sums(np.full(n, 1 / max(n, 1)))
+    held = np.bincount(x.at, minlength=len(columns))
+    squares = np.bincount(x.at, weights=(x.value - mean[x.at]) ** 2, minlength=len(columns)) + (n - held) * mean**2
+    scale = np.sqrt(squares / n) + 1e-9 if n else np.ones(len(columns))
     share = np.clip([(grade > k).mean() if n else 0.5 for k in range(top)], 1e-3, 1 - 1e-3)
     start = np.maximum.accumulate(-np.log(share / (1 - share)) + 1e-2 * np.arange(top))
     theta = np.concatenate([start[:1], np.log(np.maximum(np.diff(start), 1e-2)), np.zeros(len(columns))])
@@ -136,7 +172,7 @@ def fit(columns: np.ndarray, x: np.ndarray, grade: np.ndarray, ridge: float = 1e
 
     def loss(t: np.ndarray) -> tuple[float, np.ndarray]:
         b, w = cuts(t), t[top:]
-        s = x @ w
+        s = x.times(w / scale) - mean @ (w / scale)
         edge = np.concatenate([[-np.inf], b, [np.inf]])
         f_lo, f_hi = _logistic(edge[grade] - s), _logistic(edge[grade + 1] - s)
         p = np.maximum(f_hi - f_lo, 1e-12)
@@ -144,7 +180,8 @@ def fit(columns: np.ndarray, x: np.ndarray, grade: np.ndarray, ridge: float = 1e
         by_cut = np.array([(d_lo[grade == k + 1].sum() - d_hi[grade == k].sum()) / n for k in range(top)])
         by_theta = np.cumsum(by_cut[::-1])[::-1] * np.concatenate([[1.0], np.exp(t[1:top])])
         value = -np.log(p).mean() + 0.5 * ridge * (w @ w)
-        return value, np.concatenate([by_theta, x.T @ (d_hi - d_lo) / n + ridge * w])
+        by_text = (d_hi - d_lo) / n
+        return value, np.concatenate([by_theta, (x.sums(by_text) - mean * by_text.sum()) / scale + ridge * w])
 
     if n:
         theta = _bfgs(loss, theta, steps)
@@ -152,13 +189,14 @@ def fit(columns: np.ndarray, x: np.ndarray, grade: np.ndarray, ridge: float = 1e
     return Model(columns, weights, cuts(theta) + mean @ weights)
 
 
-def _bfgs(loss, theta: np.ndarray, steps: int) -> np.ndarray:
+def _bfgs(loss, theta: np.ndarray, steps: int, memory: int = 30) -> np.ndarray:
     value, slope = loss(theta)
-    inverse = np.eye(len(theta))
+    past: deque[tuple[np.ndarray, np.ndarray, float]] = deque(maxlen=memory)  # (step, change of slope, their product)
     for _ in range(steps):
-        move = -inverse @ slope
+        move = -_inverse_times(past, slope)
         if (drop := move @ slope) >= 0:
-            inverse, move = np.eye(len(theta)), -slope
+            past.clear()
+            move = -slope
             drop = move @ slope
         size = 1.0
         while size > 1e-8:
@@ -173,11 +211,24 @@ def _bfgs(loss, theta: np.ndarray, steps: int) -> np.ndarray:
         if np.abs(slope).max() < 1e-6:
             break
         if (curve := step @ change) > 1e-14:
-            hs = inverse @ change
-            inverse += ((curve + change @ hs) / curve**2) * np.outer(step, step) - (np.outer(hs, step) + np.outer(step, hs)) / curve
+            past.append((step, change, curve))
     return theta
 
 
+def _inverse_times(past: deque[tuple[np.ndarray, np.ndarray, float]], slope: np.ndarray) -> np.ndarray:
+    """``slope`` times the inverse curvature that the past steps show."""
+    out, parts = slope.copy(), []
+    for step, change, curve in reversed(past):
+        parts.append(step @ out / curve)
+        out -= parts[-1] * change
+    if past:
+        _, change, curve = past[-1]
+        out *= curve / (change @ change)
+    for (step, change, curve), part in zip(past, reversed(parts), strict=True):
+        out += (part - change @ out / curve) * step
+    return out
+
+
 def sample(docs: DataFrame, labels: DataFrame, grade: Column, limit: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(i, t, g): ``limit`` labelled documents at most, the same ones in every run.
 
@@ -190,52 +241,66 @@ def sample(docs: DataFrame, labels: DataFrame, grade: Column, limit: int, id_col
     return stored(texts.join(F.broadcast(some), "i").dropDuplicates(["i"]).select("i", "t", "g"), "labelled")
 
 
-def design(rows: DataFrame, keep: int = 256, least_z: float = 6.0, least_docs: float = 0.01) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def design(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(columns, values, grades) as `sparse_design` has them, the values as an array."""
+    columns, x, grade = sparse_design(rows)
+    return columns, x.dense(), grade
+
+
+def sparse_design(rows: DataFrame, least_z: float = 6.0, least_texts: int = 5) -> tuple[np.ndarray, Sparse, np.ndarray]:
     """(columns, values, grades) of labelled texts (i, t, g).
 
-    ``keep`` features at most, those whose correlation with the grade is farthest from chance, and
-    the three of `Words.general`; features of fewer than 5 documents or ``least_docs`` of all are left
-    out. Texts stay on the executors: the driver gets one row a document with the chosen values.
+    All features whose correlation with the grade is ``least_z`` deviations or more from chance,
+    however rare, and the three of `Words.general`; those of fewer than ``least_texts`` different
+    texts are left out, so that copies of one text count once. Texts stay on the executors: the
+    driver gets the chosen values other than zero.
     """
 
     def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "t"):
             doc, column, value = features(batch.column("t"))
-            grade = batch.column("g").to_numpy(zero_copy_only=False).astype(np.float64)
-            yield pa.RecordBatch.from_arrays([pa.array(column), pa.array(value), pa.array(grade[doc])], names=["column", "v", "g"])
+            grade, text = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("g", "h"))
+            yield pa.RecordBatch.from_arrays([pa.array(column), pa.array(value), pa.array(grade[doc].astype(np.float64)), pa.array(text[doc])], names=["column", "v", "g", "h"])
 
     n, total, square = rows.agg(F.count("*"), F.coalesce(F.sum("g"), F.lit(0)), F.coalesce(F.sum(F.col("g") * F.col("g")), F.lit(0))).first()
     mean = total / max(n, 1)
-    sums = rows.mapInArrow(every, "column long, v double, g double").where("column >= 3").groupBy("column").agg(
-        F.count("*").alias("n"), F.sum("v").alias("s"), F.sum(F.col("v") * F.col("v")).alias("q"), F.sum(F.col("v") * F.col("g")).alias("c")
+    found = rows.select("t", "g", F.xxhash64("t").alias("h")).mapInArrow(every, "column long, v double, g double, h long")
+    by_text = found.where("column >= 3").groupBy("column", "h").agg(
+        F.sum("v").alias("s"), F.sum(F.col("v") * F.col("v")).alias("q"), F.sum(F.col("v") * F.col("g")).alias("c")
     )
+    sums = by_text.groupBy("column").agg(F.count("*").alias("texts"), *(F.sum(x).alias(x) for x in "sqc"))
     spread = F.sqrt(F.greatest((F.col("q") - F.col("s") * F.col("s") / max(n, 1)) * F.lit(float(square - total * mean)), F.lit(1e-12)))
     z = F.abs((F.col("c") - mean * F.col("s")) / spread) * float(np.sqrt(n))
-    best = sums.where(F.col("n") >= max(5.0, least_docs * n)).withColumn("z", z).where(F.col("z") >= least_z)
-    chosen = best.orderBy(F.desc("z"), "column").limit(keep).select("column").toArrow()["column"].to_numpy()
+    chosen = sums.where(F.col("texts") >= least_texts).where(z >= least_z).select("column").toArrow()["column"].to_numpy()
     columns = np.sort(np.concatenate([np.arange(3), chosen]))
 
     def few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "t"):
-            x = dense(batch.column("t"), columns)
-            bounds = pa.array(np.arange(len(x) + 1, dtype=np.int32) * len(columns))
-            lists = pa.ListArray.from_arrays(bounds, pa.array(x.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column("i"), batch.column("g"), lists], names=["i", "g", "x"])
+            x = chosen_values(batch.column("t"), columns)
+            order = np.argsort(x.row, kind="stable")
+            bounds = pa.array(offsets(np.bincount(x.row, minlength=len(batch))).astype(np.int32))
+            ats, values = (pa.ListArray.from_arrays(bounds, pa.array(c[order])) for c in (x.at.astype(np.int32), x.value))
+            yield pa.RecordBatch.from_arrays([batch.column("i"), batch.column("g"), ats, values], names=["i", "g", "at", "x"])
 
     kind = rows.schema["i"].dataType.simpleString()
-    got = rows.mapInArrow(few, f"i {kind}, g int, x array<double>").toArrow().sort_by("i")
-    values = got["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False) if len(got) else np.empty(0)
-    return columns, values.reshape(len(got), len(columns)), got["g"].to_numpy().astype(np.int64)
+    got = rows.mapInArrow(few, f"i {kind}, g int, at array<int>, x array<double>").toArrow().sort_by("i")
+    lens = pc.list_value_length(got["at"]).to_numpy().astype(np.int64)
+    at, value = (pc.list_flatten(got[c]).to_numpy() for c in ("at", "x"))
+    x = Sparse(np.repeat(np.arange(len(got)), lens), at.astype(np.int64), value.astype(np.float64), (len(got), len(columns)))
+    return columns, x, got["g"].to_numpy().astype(np.int64)
 
 
-def dense(texts: pa.Array, columns: np.ndarray) -> np.ndarray:
+def chosen_values(texts: pa.Array, columns: np.ndarray) -> Sparse:
     """The values of the features ``columns`` (sorted), one row a text."""
     doc, column, value = features(texts)
     at = np.minimum(np.searchsorted(columns, column), len(columns) - 1)
     mine = columns[at] == column
-    x = np.zeros((len(texts), len(columns)))
-    x[doc[mine], at[mine]] = value[mine]
-    return x
+    return Sparse(doc[mine], at[mine], value[mine], (len(texts), len(columns)))
+
+
+def dense(texts: pa.Array, columns: np.ndarray) -> np.ndarray:
+    """The values of the features ``columns`` (sorted), one row a text."""
+    return chosen_values(texts, columns).dense()
 
 
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -18,8 +18,8 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE, thin: int = T
     Fitted on ``limit`` labelled documents at most (`ordinal.sample`). Without labels the model
     gives every text even odds.
     """
-    columns, x, good = ordinal.design(ordinal.sample(docs, labels, F.col("quality"), limit))
-    thin_texts = x[:, 2] < np.log1p(thin) / 10 - 1e-12  # column 2 is the log length
+    columns, x, good = ordinal.sparse_design(ordinal.sample(docs, labels, F.col("quality"), limit))
+    thin_texts = x.column(2) < np.log1p(thin) / 10 - 1e-12  # column 2 is the log length
     return ordinal.fit(columns, x, np.where(good > 0, np.where(thin_texts, 1, 2), 0))
 
 

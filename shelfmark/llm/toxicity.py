@@ -14,7 +14,7 @@ SAMPLE = 4_000
 STEPS = (3, 6)
 
 
-def severities(columns: np.ndarray, x: np.ndarray, toxic: np.ndarray, steps: tuple[int, ...] = STEPS) -> np.ndarray:
+def severities(columns: np.ndarray, x: ordinal.Sparse, toxic: np.ndarray, steps: tuple[int, ...] = STEPS) -> np.ndarray:
     """Grades of labelled texts: 0 for those not toxic, 1 and up for toxic ones.
 
     Words typical of toxic texts are those that a first model of two grades gives a positive
@@ -22,7 +22,7 @@ def severities(columns: np.ndarray, x: np.ndarray, toxic: np.ndarray, steps: tup
     """
     first = ordinal.fit(columns, x, toxic)
     typical = (first.weights > 0) & (columns >= 3) & (columns < 3 + (1 << ordinal.BITS))
-    hits = (x[:, typical] > 0).sum(axis=1)
+    hits = np.bincount(x.row[typical[x.at]], minlength=x.shape[0])
     return np.where(toxic > 0, 1 + sum((hits >= s).astype(int) for s in steps), 0)
 
 
@@ -31,7 +31,7 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> ordinal.Mo
 
     Without labels the model gives every text even odds, which is not toxic.
     """
-    columns, x, toxic = ordinal.design(ordinal.sample(docs, labels, F.col("toxic"), limit))
+    columns, x, toxic = ordinal.sparse_design(ordinal.sample(docs, labels, F.col("toxic"), limit))
     return ordinal.fit(columns, x, severities(columns, x, (toxic > 0).astype(np.int64)))
 
 

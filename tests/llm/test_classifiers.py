@@ -1,6 +1,7 @@
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from shelfmark.llm import common, ordinal, quality, toxicity
 
@@ -54,6 +55,33 @@ def test_design_takes_what_goes_with_the_grade(rows):
     assert (x == ordinal.dense(pa.array([t for _, t in pairs]), columns)).all()
 
 
+def test_design_keeps_rare_and_many_words(rows):
+    """Words of few texts that go with the grade are found, and more than 256; copies of one text count once."""
+    pick = np.random.default_rng(5)
+    texts = [" ".join(f"w{k}" for k in pick.integers(0, 50, 20)) for _ in range(1000)]
+    rare = [f"rare{k}" for k in range(300)]
+    for n in range(6):
+        texts[n] += " " + " ".join(rare)
+    texts[6:16] = ["only here " + texts[6]] * 10
+    pairs = list(enumerate(texts))
+    labelled = rows(pairs).selectExpr("doc_id AS i", "text AS t", "CAST(doc_id < 16 AS INT) AS g")
+    columns, x, grade = ordinal.design(labelled)
+    assert set(ordinal.split(pa.array(rare)).word.tolist()) <= set(columns.tolist())
+    assert not set(ordinal.split(pa.array(["only", "here"])).word.tolist()) & set(columns.tolist())
+    assert (x == ordinal.dense(pa.array(texts), columns)).all()
+
+
+def test_toxicity_in_every_language(spark):
+    """Recall by the labels: models of half of the different texts of sf0.1 find toxic texts of each language."""
+    docs, labels = (common.read(spark, "/root/testdata/sf0.1", t) for t in ("documents", "labels"))
+    rest = docs.join(labels, "doc_id").where("hash(text) % 2 <> 0").dropDuplicates(["text"])
+    model = toxicity.train(docs.where("hash(text) % 2 = 0"), labels)
+    got = toxicity.grade(rest, model).join(rest.select("doc_id", "lang", F.col("toxic").alias("label")), "doc_id").collect()
+    for lang, least in (("en", 0.9), ("de", 0.6), ("fr", 0.8), ("es", 0.2)):
+        assert np.mean([r.toxic for r in got if r.lang == lang and r.label == 1]) > least, lang
+        assert np.mean([r.toxic for r in got if r.lang == lang and r.label == 0]) < 0.05, lang
+
+
 def test_fit_follows_its_likelihood():
     """The gradient is that of the likelihood: the fitted value can't be bettered nearby."""
     pick = np.random.default_rng(8)
