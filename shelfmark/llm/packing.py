@@ -111,11 +111,13 @@ def _match(items: DataFrame, slots: DataFrame, salts: int) -> DataFrame:
 def pack(items: DataFrame, capacity: int) -> DataFrame:
     """(key, sequence_id, offset): a place for every (key, length) in few sequences of ``capacity``.
 
-    Rounds go from large to small sizes. In each, open gaps offer slots, items and slots are
-    matched best-fit (`_match`), gaps shrink by what they took, and items that no gap holds open
-    new sequences, in which the next round places them. State is written to the shared folder
-    after each round. Keys must be unique, lengths between 1 and ``capacity``. An empty table
-    gives an empty result.
+    Rounds go from large to small ranges of sizes, and go on in a range until all its items are
+    placed. In each, open gaps offer as many slots as they hold of the largest item left, items
+    and slots are matched best-fit (`_match`), and gaps shrink by what they took. New sequences
+    open only if no gap holds the smallest item left, or for tokens beyond all that open gaps
+    hold. A round places an item at least. State is written to the shared folder after each
+    round. Keys must be unique, lengths between 1 and ``capacity``. An empty table gives an empty
+    result.
     """
     spark = items.sparkSession
     salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -129,20 +131,24 @@ def pack(items: DataFrame, capacity: int) -> DataFrame:
             continue
         exact = k < EXACT
         left = items.where((F.col("length") > lo) & (F.col("length") <= hi)).select("key", "length")
-        fresh = k == min(present)
         while True:
-            n, total = left.agg(F.count("*"), F.sum("length")).first()
+            n, total, least, most = left.agg(F.count("*"), F.sum("length"), F.min("length"), F.max("length")).first()
             if not n:
                 break
-            if fresh:
-                more = -(-n // each) if exact else -(-total // capacity)
+            n_open, free = bins.where(F.col("gap") >= least).agg(F.count("*"), F.coalesce(F.sum("gap"), F.lit(0))).first()
+            more = 0
+            if not exact:
+                more = -(-max(total - free, 0) // capacity)
+            elif not n_open:
+                more = -(-n // each)
+            if more:
                 new = spark.range(opened, opened + more).select(F.col("id").alias("bin"), F.lit(capacity).cast("long").alias("gap"))
                 opened += more
                 bins = bins.unionByName(new)
-            fresh = True
-            held = F.greatest(F.lit(1), (F.col("gap") / hi).cast("int"))
-            last = F.when(F.col("i") == held, F.col("gap") - (held - 1) * hi).otherwise(F.lit(hi))
-            slots = bins.where(F.col("gap") > lo).withColumn("i", F.explode(F.sequence(F.lit(1), held))).select("bin", last.cast("long").alias("size"))
+            enough = 1 - (-2 * n // (n_open + more))  # slots of a bin, so that slots grow with items and bins only
+            held = F.least(F.greatest(F.lit(1), (F.col("gap") / most).cast("int")), F.lit(enough).cast("int"))
+            last = F.when(F.col("i") == held, F.col("gap") - (held - 1) * most).otherwise(F.lit(most))
+            slots = bins.where(F.col("gap") >= least).withColumn("i", F.explode(F.sequence(F.lit(1), held))).select("bin", last.cast("long").alias("size"))
             found = stored(_match(left, slots, salts), "pack-match")
             took = found.where("bin is not null")
             before = Window.partitionBy("bin").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)

@@ -147,6 +147,24 @@ def test_packing_of_any_lengths(spark, capacity):
             assert _check_packing(placed, capacity) <= 1.1 * _best_fit(list(lengths), capacity) + 1
 
 
+def _mostly_empty(pick):
+    return np.concatenate([np.ones(20_000, int), pick.integers(1, 2049, 20)])
+
+
+@pytest.mark.parametrize(
+    "lengths",
+    [_mostly_empty, lambda pick: np.ones(20_000, int), lambda pick: pick.integers(1, 33, 10_000), lambda pick: pick.integers(257, 513, 2_000)],
+    ids=["mostly empty", "empty", "short", "one range"],
+)
+def test_packing_fills_open_gaps(spark, lengths):
+    """Small items and those of one range take about as many sequences as best-fit decreasing."""
+    sizes = lengths(np.random.default_rng(6))
+    items = spark.createDataFrame([(k, int(n)) for k, n in enumerate(sizes)], "key long, length long")
+    placed = packing.pack(items, 2048).join(items, "key").collect()
+    assert sorted(r.key for r in placed) == list(range(len(sizes)))
+    assert _check_packing(placed, 2048) <= 1.02 * _best_fit(sizes.tolist(), 2048) + 1
+
+
 def test_packing_odd_rows(vocab, rows):
     pairs = [(1, None), (1, None), (None, ""), (2, "long " * 3000)]
     got = packing.packed(rows(pairs), vocab("byte_bpe_50k.json"), 0, 2048).collect()
