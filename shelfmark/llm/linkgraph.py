@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from shelfmark.session import stored
 
-#: Part of a host's score that follows links, rounds, and the share of distrust that blocks a host.
+#: Part of a host's score that follows links, rounds of the SQL, and the share of distrust that blocks a host.
 DAMPING, ROUNDS, LIMIT = 0.85, 12, 0.5
+#: Rankings go on until the scores of all hosts together change by less than this in a round.
+TOLERANCE = 1e-6
 _LINK = r"""(?i)href\s*=\s*["']?(?:https?:)?//([^/?#"'>\s]+)"""
 
 
@@ -73,12 +75,13 @@ def host_links(pages: DataFrame) -> DataFrame:
     return links.groupBy("source", "target").agg(F.count("*").alias("n"))
 
 
-def spread(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def spread(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """(kind, host, score): personalised PageRank from the seeds, trust along links, distrust against.
 
     ``seeds`` is (kind, host, share): kind 0 trusted, 1 blocked; shares of a kind add up to 1. In each
     round a host passes on ``damping`` of its score in proportion to its links, or to the seeds if it
-    has none, and the seeds get the rest. State is written to the shared folder each round.
+    has none, and the seeds get the rest. Rounds go on until no new host is reached and the summed
+    change of scores is under ``tolerance``. State is written to the shared folder each round.
     """
     ways = links.select(F.lit(0).alias("kind"), F.col("source").alias("host"), F.col("target").alias("to"), "n").union(
         links.select(F.lit(1), F.col("target"), F.col("source"), "n")
@@ -88,14 +91,18 @@ def spread(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds:
     if ways.isEmpty():  # every score goes back to the seeds
         return seeds.withColumnRenamed("share", "score")
     score = seeds.withColumnRenamed("share", "score")
-    for _ in range(rounds):
+    while True:
         passed = score.join(ways, ["kind", "host"]).select("kind", F.col("to").alias("host"), (damping * F.col("score") * F.col("part")).alias("score"))
         kept = passed.groupBy("kind").agg(F.sum("score").alias("kept"))  # a row a kind
         back = seeds.join(kept, "kind", "left").select(
             "kind", "host", (F.col("share") * (1 - F.coalesce("kept", F.lit(0.0)))).alias("score")
         )
-        score = stored(passed.union(back).groupBy("kind", "host").agg(F.sum("score").alias("score")), "host-scores")
-    return score
+        former, score = score, stored(passed.union(back).groupBy("kind", "host").agg(F.sum("score").alias("score")), "host-scores")
+        both = score.select("kind", "host", "score", F.lit(0).alias("known")).union(former.select("kind", "host", -F.col("score"), F.lit(1)))
+        moved = both.groupBy("kind", "host").agg(F.abs(F.sum("score")).alias("change"), F.max("known").alias("known"))
+        change, known = moved.agg(F.coalesce(F.sum("change"), F.lit(0.0)), F.coalesce(F.min("known"), F.lit(1))).first()
+        if known and change < tolerance:
+            return score
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, limit: float = LIMIT, id_col: str = "page_id") -> DataFrame:
@@ -120,7 +127,7 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, limit: float = LIMI
     scores = spread(host_links(rows.select("host", "html")), seeds)
     trust = F.sum(F.when(F.col("kind") == 0, F.col("score")).otherwise(0.0))
     distrust = F.sum(F.when(F.col("kind") == 1, F.col("score")).otherwise(0.0))
-    hosts = scores.groupBy("host").agg((distrust / (trust + distrust)).alias("distrust"))
+    hosts = scores.groupBy("host").agg(F.try_divide(distrust, trust + distrust).alias("distrust"))
     by_host = F.when(F.col("distrust") > limit, "block").otherwise("allow")
     return rows.drop("html").join(hosts, "host", "left").select(
         F.col("i").alias(id_col), "host", "path", "rule", F.coalesce("ruled", by_host).alias("verdict"), "distrust"

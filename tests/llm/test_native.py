@@ -179,6 +179,31 @@ def test_links_decide_pages_without_a_rule(pages):
     assert got[3].verdict == "allow" and got[7].verdict == "block" and got[5].verdict == "allow"
 
 
+def _solved(links, seeds):
+    """Dense personalised PageRank, until nothing changes."""
+    out, score = {}, dict(seeds)
+    for (a, _), n in links.items():
+        out[a] = out.get(a, 0) + n
+    for _ in range(2000):
+        new = {}
+        for (a, b), n in links.items():
+            new[b] = new.get(b, 0) + linkgraph.DAMPING * score.get(a, 0) * n / out[a]
+        kept = sum(new.values())
+        for h, s in seeds.items():
+            new[h] = new.get(h, 0) + s * (1 - kept)
+        score = new
+    return score
+
+
+def test_long_chains_reach_a_blocked_host(pages):
+    """The only way of a host's links leads over 16 others to a blocked one."""
+    names = ["bad.net", *(f"h{k}.com" for k in range(17))]
+    rows = [(f"http://{names[0]}/", None), *((f"http://{a}/", f"<a href='http://{b}/'>") for b, a in zip(names[:-1], names[1:], strict=True))]
+    got = {r.page_id: r for r in linkgraph.judge(pages(rows)).collect()}
+    want = _solved({(b, a): 1 for b, a in zip(names[:-1], names[1:], strict=True)}, {"bad.net": 1.0})
+    assert all(r.verdict == "block" and r.distrust == 1.0 for r in got.values()) and set(want) == {r.host for r in got.values()}
+
+
 def test_all_pages(spark, small):
     table = common.read(spark, small, "pages")
     got = {r.page_id: r for r in linkgraph.judge(table).collect()}
