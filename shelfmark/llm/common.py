@@ -91,3 +91,23 @@ def offsets(lens: np.ndarray) -> np.ndarray:
     out = np.zeros(len(lens) + 1, np.int64)
     np.cumsum(lens, out=out[1:])
     return out
+
+
+def decimals(numbers: np.ndarray, ends: np.ndarray, bounds: np.ndarray) -> tuple[bytes, list[int]]:
+    """(decimal spelling of all ``numbers``, where each run between ``bounds`` starts in it).
+
+    Each number is followed by its character of ``ends`` (uint8; 0 for none).
+    """
+    if not len(numbers):
+        return b"", [0] * len(bounds)
+    top = int(numbers.max()) + 1
+    width = len(str(top))
+    spelled = np.zeros((len(numbers), width + 1), np.uint8)
+    table = np.array([str(n) for n in range(top)], f"S{width}").view(np.uint8).reshape(top, width) if top < 1 << 17 else None
+    if table is None:
+        table, numbers = np.array([str(n) for n in numbers.tolist()], f"S{width}").view(np.uint8).reshape(len(numbers), width), np.arange(len(numbers))
+    spelled[:, :width] = table[numbers]
+    lens = np.count_nonzero(table, axis=1)[numbers]
+    spelled[np.arange(len(numbers)), lens] = ends
+    starts = offsets(lens + (ends > 0))[bounds]
+    return spelled[spelled > 0].tobytes(), starts.tolist()

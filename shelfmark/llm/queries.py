@@ -5,21 +5,23 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import bpe, linkgraph, neardup, packing, permindex, quality, secrets, token_files, topk, toxicity
+from shelfmark.llm import bpe, linkgraph, neardup, packing, permindex, quality, secrets, sentences, token_files, topk, toxicity
 from shelfmark.llm.common import read
 from shelfmark.llm.oracles import linkgraph_sql, secrets_sql
 from shelfmark.session import scratch
 
-#: Folder of the public vocabulary files; every executor must see it.
-TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
-
 
 def tokenizer(name: str) -> str:
-    """The path of a vocabulary file."""
-    return f"{TOKENIZERS}/{name}"
+    """The path of a public vocabulary file; every executor must see it.
+
+    ``TOKENIZERS_DIR`` names another folder where executors hold them elsewhere than the driver.
+    """
+    folder = os.environ.get("TOKENIZERS_DIR")
+    return f"{folder}/{name}" if folder else str(public_tokenizers.path(name))
 
 
 def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +79,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.grade(docs, quality.train(docs, read(spark, sf_dir, "labels")))
 
 
+def op13_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded by the pieces of a model and decoded again."""
+    return sentences.round_trip(read(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
     "op2_toxicity": op2_toxicity,
@@ -88,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
+    "op13_sentences": op13_sentences,
 }
 
 ORACLES: dict[str, str] = {
