@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import bpe, linkgraph, neardup, packing, permindex, quality, secrets, sentences, token_files, topk, toxicity
+from shelfmark.llm import bpe, linkgraph, neardup, packing, periods, permindex, quality, secrets, sentences, token_files, topk, toxicity
 from shelfmark.llm.common import read
 from shelfmark.llm.oracles import linkgraph_sql, secrets_sql
 from shelfmark.session import scratch
@@ -79,6 +79,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.grade(docs, quality.train(docs, read(spark, sf_dir, "labels")))
 
 
+def op11_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's periodic runs, one document of ten with a tail that repeats."""
+    return periods.digests(periods.find_runs(periods.looped(read(spark, sf_dir, "documents"))))
+
+
 def op13_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded by the pieces of a model and decoded again."""
     return sentences.round_trip(read(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
@@ -95,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
+    "op11_periods": op11_periods,
     "op13_sentences": op13_sentences,
 }
 
