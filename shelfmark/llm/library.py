@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
+from shelfmark.llm.bpe import byte_letters
 from shelfmark.llm.chunks import ChunkEncoder, Known
 from shelfmark.llm.common import gather, offsets
 
@@ -25,9 +26,11 @@ class LibraryEncoder:
     other chunk as a whole; both give the library's own ids of the text.
     """
 
-    def __init__(self, path: str, limit: int = 600_000) -> None:
+    def __init__(self, path: str, limit: int = 600_000, plain: bool = False) -> None:
+        """``plain``: strings of special tokens are ordinary text."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker for each core
         self._library = Tokenizer.from_file(path)
+        self._library.encode_special_tokens = plain
         self._library.no_truncation()
         self._library.no_padding()
         self._folds = self._library.normalizer is not None and self._probe("  Ab") == self._probe("ab")
@@ -67,8 +70,27 @@ class LibraryEncoder:
         """(ids of all texts, bounds of each text); nulls count as empty."""
         return self._encoder.texts(texts)
 
+    @functools.cached_property
+    def _spelled(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        byte_of = {c: bytes([n]) for n, c in enumerate(byte_letters())}
+        size = self._library.get_vocab_size()
+        names = [self._library.id_to_token(i) or "" for i in range(size)]
+        spelled = [b"".join(byte_of.get(c, c.encode()) for c in name) for name in names]
+        lens = np.fromiter(map(len, spelled), np.int64, size)
+        return np.frombuffer(b"".join(spelled), np.uint8), lens, offsets(lens)[:-1]
+
+    def spelling(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(bytes of all entries of a byte-level vocabulary, how many each id has, where they start)."""
+        return self._spelled
+
 
 @functools.lru_cache(maxsize=2)
 def library_encoder(path: str) -> LibraryEncoder:
     """One per Python worker and file."""
     return LibraryEncoder(path)
+
+
+@functools.lru_cache(maxsize=1)
+def plain_encoder(path: str) -> LibraryEncoder:
+    """One per Python worker, for texts in which no string is a special token."""
+    return LibraryEncoder(path, plain=True)

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import bpe, linkgraph, neardup, packing, periods, permindex, quality, secrets, sentences, token_files, topk, toxicity
+from shelfmark.llm import alignment, bpe, linkgraph, neardup, packing, periods, permindex, quality, secrets, sentences, token_files, topk, toxicity
 from shelfmark.llm.common import read
 from shelfmark.llm.oracles import linkgraph_sql, secrets_sql
 from shelfmark.session import scratch
@@ -84,6 +84,14 @@ def op11_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.digests(periods.find_runs(periods.looped(read(spark, sf_dir, "documents"))))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's tokens of two vocabularies aligned, with corpus-wide counts of linked ids."""
+    found = alignment.linked(
+        read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"), show=alignment.digested
+    )
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 def op13_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded by the pieces of a model and decoded again."""
     return sentences.round_trip(read(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
@@ -101,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
     "op11_periods": op11_periods,
+    "op12_alignment": op12_alignment,
     "op13_sentences": op13_sentences,
 }
 
