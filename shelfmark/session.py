@@ -48,7 +48,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: one computation, many readers."""
     path = scratch(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
