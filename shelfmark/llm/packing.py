@@ -1,24 +1,25 @@
-"""Best-fit packing of token sequences in bulk-synchronous rounds."""
+"""Best-fit packing of token sequences in bulk-synchronous rounds over lengths."""
 
 from __future__ import annotations
 
+import bisect
 import zlib
 from collections.abc import Iterator
-from functools import reduce
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from shelfmark.llm.common import by_bytes
 from shelfmark.llm.library import library_encoder
 from shelfmark.session import stored
 
-
-#: Sizes over a capacity's (EXACT + 1)th part have a range for each number that fits a sequence.
-EXACT = 3
+#: Pieces of one length that are ranked together, about.
+RANKED = 20_000
 
 
 def pieces(
@@ -60,109 +61,112 @@ def pieces(
     return wanted.mapInArrow(run, schema).withColumnRenamed("i", "doc_id")
 
 
-def _bounds(capacity: int) -> list[tuple[int, int, int]]:
-    """(lo, hi, n): items over lo and up to hi, of which a sequence always holds n; large first.
+@dataclass
+class Fillings:
+    """Which places pieces of a length get, by rank: one entry for pieces that fill equal gaps alike.
 
-    For the first `EXACT` ranges, no sequence holds more than n of them either.
+    Entry e gives the pieces of ``length[e]`` from rank ``rank[e]`` on their places: ``each[e]`` of them
+    go into each of the sequences from ``first[e]`` on, the first at ``offset[e]``. Entries are in order of
+    length and rank.
     """
-    cuts = [capacity // k for k in range(1, EXACT + 2)]
-    while cuts[-1] > 64:
-        cuts.append(cuts[-1] // 2)
-    cuts = [*dict.fromkeys(c for c in cuts if c), 0]
-    return [(lo, hi, capacity // hi) for hi, lo in zip(cuts[:-1], cuts[1:], strict=True)]
-
-
-def _match(items: DataFrame, slots: DataFrame, salts: int) -> DataFrame:
-    """(key, length, bin): each item with the smallest free slot that holds it, else a null bin.
 
-    Slots and items are put in descending order of size, slots before items of their size. Walking
-    down, every slot opens and every item takes the slot opened last: matching brackets. Their
-    depth is a prefix sum of class counts plus the rank within a class, and an item's slot is its
-    predecessor at the same depth. A class has one row at most at each depth, so no group of the
-    last window has more rows than there are sizes; ranks are numbered in salted groups.
+    length: np.ndarray
+    rank: np.ndarray
+    each: np.ndarray
+    first: np.ndarray
+    offset: np.ndarray
+
+    def places(self, length: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(sequence, offset) of pieces by length and rank: a successor sweep over the entries."""
+        shift = np.int64(1) << 40
+        at = np.searchsorted(self.length * shift + self.rank, length * shift + rank, "right") - 1
+        nth = rank - self.rank[at]
+        return self.first[at] + nth // self.each[at], self.offset[at] + nth % self.each[at] * length
+
+
+def best_fit(counts: dict[int, int], capacity: int) -> Fillings:
+    """Best-fit decreasing of ``counts[length]`` pieces, a round for each length, longest first.
+
+    Sequences with the same gap are interchangeable and pieces of the same length are, so gaps are held
+    in order of size as ranges of sequence numbers, never one by one. In a round the pieces of a length go
+    to the successor of their length among the gaps, as many to each gap as it holds; ranks say which
+    piece goes where. The gaps are updated, and what is left looks for its successor again; new sequences
+    open where there is none. The result is that of the sequential algorithm, in fewer steps: a
+    gap that is filled up shrinks to less than half, and a length leaves one gap half filled, so there are
+    at most 4 * capacity * (1 + log2 capacity) entries, however many pieces there are.
     """
-    rows = (
-        items.select(F.col("length").alias("size"), F.lit(1).alias("kind"), F.col("key").alias("id"))
-        .unionByName(slots.select("size", F.lit(0).alias("kind"), F.col("bin").alias("id")))
-        .withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)))
-    )
-    group = ["size", "kind", "salt"]
-    counts = rows.groupBy(*group).agg(F.count("*").alias("n"))
-    before = Window.orderBy(F.desc("size"), "kind").rowsBetween(Window.unboundedPreceding, -1)
-    signed = F.when(F.col("kind") == 0, F.col("n")).otherwise(-F.col("n"))
-    classes = (  # two rows a size at most
-        counts.groupBy("size", "kind").agg(F.sum("n").alias("n"))
-        .select("size", "kind", F.coalesce(F.sum(signed).over(before), F.lit(0)).alias("before"))
-    )
-    earlier = Window.partitionBy("size", "kind").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.withColumn("earlier", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(classes, ["size", "kind"])
-    rank = F.row_number().over(Window.partitionBy(*group).orderBy("id")) + F.col("earlier")
-    depth = F.when(F.col("kind") == 0, F.col("before") + rank).otherwise(F.col("before") - rank + 1)
-    at_depth = Window.partitionBy("depth").orderBy(F.desc("size"), "kind")
-    return (
-        rows.join(bases.drop("n"), group)
-        .select("size", "kind", "id", depth.alias("depth"))
-        .withColumn("bin", F.when(F.lag("kind").over(at_depth) == 0, F.lag("id").over(at_depth)))
-        .where("kind = 1")
-        .select(F.col("id").alias("key"), F.col("size").alias("length"), "bin")
-    )
+    open_: list[int] = []  # sizes of gaps, ascending
+    ranges: dict[int, list[tuple[int, int]]] = {}  # (first sequence, how many) with a gap of that size
+    entries: list[tuple[int, int, int, int, int]] = []
+    opened = 0
+
+    def put(gap: int, first: int, n: int) -> None:
+        if gap and n:
+            if gap not in ranges:
+                bisect.insort(open_, gap)
+                ranges[gap] = []
+            ranges[gap].append((first, n))
+
+    for length in sorted((n for n, count in counts.items() if count), reverse=True):
+        left, rank = counts[length], 0
+        while left:
+            at = bisect.bisect_left(open_, length)
+            if at == len(open_):
+                need = -(-left // (capacity // length))
+                put(capacity, opened, need)
+                opened += need
+            gap = open_[at]
+            first, n = ranges[gap].pop()
+            if not ranges[gap]:
+                del ranges[gap], open_[at]
+            each = gap // length
+            whole = min(n, left // each)
+            if whole:
+                entries.append((length, rank, each, first, capacity - gap))
+                put(gap - each * length, first, whole)
+            rank, left, first, n = rank + whole * each, left - whole * each, first + whole, n - whole
+            if n and left:
+                entries.append((length, rank, each, first, capacity - gap))
+                put(gap - left * length, first, 1)
+                left, first, n = 0, first + 1, n - 1
+            put(gap, first, n)
+    entries.sort()
+    return Fillings(*np.array(entries, np.int64).reshape(-1, 5).T)
 
 
 def pack(items: DataFrame, capacity: int) -> DataFrame:
-    """(key, sequence_id, offset): a place for every (key, length) in few sequences of ``capacity``.
-
-    Rounds go from large to small ranges of sizes, and go on in a range until all its items are
-    placed. In each, open gaps offer as many slots as they hold of the largest item left, items
-    and slots are matched best-fit (`_match`), and gaps shrink by what they took. New sequences
-    open only if no gap holds the smallest item left, or for tokens beyond all that open gaps
-    hold. A round places an item at least. State is written to the shared folder after each
-    round. Keys must be unique, lengths between 1 and ``capacity``. An empty table gives an empty
-    result.
+    """All columns of ``items`` (key, length, ...), and sequence_id and offset: places in few sequences.
+
+    The pieces are counted by length on the executors; the driver gets ``capacity`` counts at most and
+    plans the rounds (`best_fit`). A piece's rank among those of its length is its place in a salted
+    group of the length plus the sizes of the groups before, and tasks look its place up by rank. So
+    each piece is shuffled once, a common length spreads over many groups, and nothing that grows with
+    the pieces reaches the driver. Keys must be unique, lengths between 1 and ``capacity``. An empty table
+    gives an empty result.
     """
-    spark = items.sparkSession
-    salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    phases = _bounds(capacity)
-    phase = reduce(lambda e, p: F.when(F.col("length") > p[1][0], p[0]).otherwise(e), reversed(list(enumerate(phases))), F.lit(-1))
-    present = {r["p"] for r in items.groupBy(phase.alias("p")).count().collect()}  # a row a phase
-    bins = spark.createDataFrame([], "bin long, gap long")
-    placed, opened = [], 0
-    for k, (lo, hi, each) in enumerate(phases):
-        if k not in present:
-            continue
-        exact = k < EXACT
-        left = items.where((F.col("length") > lo) & (F.col("length") <= hi)).select("key", "length")
-        while True:
-            n, total, least, most = left.agg(F.count("*"), F.sum("length"), F.min("length"), F.max("length")).first()
-            if not n:
-                break
-            n_open, free = bins.where(F.col("gap") >= least).agg(F.count("*"), F.coalesce(F.sum("gap"), F.lit(0))).first()
-            more = 0
-            if not exact:
-                more = -(-max(total - free, 0) // capacity)
-            elif not n_open:
-                more = -(-n // each)
-            if more:
-                new = spark.range(opened, opened + more).select(F.col("id").alias("bin"), F.lit(capacity).cast("long").alias("gap"))
-                opened += more
-                bins = bins.unionByName(new)
-            enough = 1 - (-2 * n // (n_open + more))  # slots of a bin, so that slots grow with items and bins only
-            held = F.least(F.greatest(F.lit(1), (F.col("gap") / most).cast("int")), F.lit(enough).cast("int"))
-            last = F.when(F.col("i") == held, F.col("gap") - (held - 1) * most).otherwise(F.lit(most))
-            slots = bins.where(F.col("gap") >= least).withColumn("i", F.explode(F.sequence(F.lit(1), held))).select("bin", last.cast("long").alias("size"))
-            found = stored(_match(left, slots, salts), "pack-match")
-            took = found.where("bin is not null")
-            before = Window.partitionBy("bin").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
-            inside = F.coalesce(F.sum("length").over(before), F.lit(0))
-            placed.append(
-                took.withColumn("inside", inside).join(bins, "bin")
-                .select("key", F.col("bin").alias("sequence_id"), (capacity - F.col("gap") + F.col("inside")).alias("offset"))
-            )
-            used = took.select("bin", (-F.col("length")).alias("gap"))
-            bins = stored(bins.unionByName(used).groupBy("bin").agg(F.sum("gap").alias("gap")), "pack-bins")
-            left = found.where("bin is null").select("key", "length")
-    if not placed:
-        return spark.createDataFrame([], "key long, sequence_id long, offset long")
-    return reduce(DataFrame.unionByName, placed)
+    counts = {r["length"]: r["n"] for r in items.groupBy("length").agg(F.count("*").alias("n")).collect()}  # a row a length
+    if counts and not 1 <= min(counts) <= max(counts) <= capacity:
+        raise ValueError(f"lengths are not between 1 and {capacity}")
+    plan = best_fit(counts, capacity)
+    salts = 1 + sum(counts.values()) // RANKED
+    whole = F.struct(*items.columns).alias("item")  # so that other columns may have any names
+    salted = items.select("length", F.pmod(F.xxhash64("key"), F.lit(salts)).alias("salt"), "key", whole)
+    own = [c + "_" * (1 + max(map(len, items.columns))) for c in ("length", "rank")]  # names that no column has
+    sizes = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    nth = F.row_number().over(Window.partitionBy("length", "salt").orderBy("key")) - 1
+    ranked = salted.withColumn("nth", nth).join(sizes, ["length", "salt"])
+    ranked = ranked.select(F.col("length").alias(own[0]), (F.col("before") + F.col("nth")).alias(own[1]), "item.*")
+    names = [*items.columns, "sequence_id", "offset"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = plan.places(batch.column(0).to_numpy(), batch.column(1).to_numpy())
+            yield pa.RecordBatch.from_arrays([*batch.columns[2:], *map(pa.array, found)], names=names)
+
+    schema = StructType([*items.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())])
+    return ranked.mapInArrow(run, schema)
 
 
 def packed(
@@ -171,4 +175,4 @@ def packed(
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of every piece of ``docs``."""
     cut = stored(pieces(docs, tokenizer, end_id, capacity, id_col, text_col), "pack-pieces")
-    return cut.join(pack(cut.select("key", "length"), capacity), "key").drop("key")
+    return pack(cut, capacity).drop("key")

@@ -1,6 +1,7 @@
 import bisect
 import hashlib
 import zlib
+from collections import namedtuple
 
 import numpy as np
 import pyarrow as pa
@@ -109,6 +110,9 @@ def _best_fit(lengths, capacity):
     return n
 
 
+packing_row = namedtuple("packing_row", "sequence_id offset length")
+
+
 def _check_packing(got, capacity):
     by_sequence = {}
     for r in got:
@@ -165,6 +169,34 @@ def test_packing_fills_open_gaps(spark, lengths):
     assert _check_packing(placed, 2048) <= 1.02 * _best_fit(sizes.tolist(), 2048) + 1
 
 
+@pytest.mark.parametrize("seed", range(12))
+def test_rounds_over_lengths_equal_best_fit_decreasing(seed):
+    """As many sequences as one piece after another gives, every piece once, and no more entries than promised."""
+    pick = np.random.default_rng(seed)
+    capacity = int(pick.choice([1, 2, 7, 64, 100, 2048]))
+    lengths = pick.integers(1, int(pick.integers(1, capacity + 1)) + 1, int(pick.integers(1, 3000)))
+    counts = dict(zip(*(x.tolist() for x in np.unique(lengths, return_counts=True)), strict=True))
+    plan = packing.best_fit(counts, capacity)
+    sizes = np.repeat(list(counts), list(counts.values()))
+    ranks = np.concatenate([np.arange(n) for n in counts.values()])
+    sequence, offset = plan.places(sizes, ranks)
+    rows = [packing_row(*r) for r in zip(sequence.tolist(), offset.tolist(), sizes.tolist(), strict=True)]
+    assert _check_packing(rows, capacity) == _best_fit(lengths.tolist(), capacity)
+    assert len(plan.length) <= 4 * capacity * (1 + np.log2(capacity))
+
+
+def test_a_third_of_all_pieces_has_one_length(spark, monkeypatch):
+    """A common length is ranked in several groups."""
+    monkeypatch.setattr(packing, "RANKED", 50)
+    lengths = [1] * 400 + [3 + n % 60 for n in range(800)]
+    items = spark.createDataFrame([(k * 7, n, "x", k) for k, n in enumerate(lengths)], "key long, length long, salt string, rank long")
+    placed = packing.pack(items, 64).collect()
+    assert sorted(r.key for r in placed) == sorted(k * 7 for k in range(1200)) and {r.salt for r in placed} == {"x"}
+    assert _check_packing(placed, 64) == _best_fit(lengths, 64)
+    with pytest.raises(ValueError, match="lengths"):
+        packing.pack(items, 60)
+
+
 def test_packing_odd_rows(vocab, rows):
     pairs = [(1, None), (1, None), (None, ""), (2, "long " * 3000)]
     got = packing.packed(rows(pairs), vocab("byte_bpe_50k.json"), 0, 2048).collect()
