@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -40,7 +41,23 @@ MORE = (
     Rule("webtoken", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
 )
 RULES = BASE + MORE
-_SPAN = "array<struct<start:int,kind:int,end:int>>"
+_SPAN, _WITH_SIZE = "array<struct<start:int,kind:int,end:int>>", "array<struct<start:int,kind:int,end:int,of:int>>"
+#: Matches whose places are summed up one after another.
+STRETCH = 256
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _running(sizes: Column, at: Column, element: Callable[[Column, Column], Column], length: Callable[[Column], Column], kind: str) -> Column:
+    """``element(where it starts, s)`` for each of ``sizes``, laid one after another from ``at`` on."""
+
+    def step(state: Column, s: Column) -> Column:
+        return F.struct((state["at"] + length(s)).alias("at"), F.concat(state["out"], F.array(element(state["at"], s))).alias("out"))
+
+    return F.aggregate(sizes, F.struct(at.alias("at"), F.array().cast(kind).alias("out")), step, lambda state: state["out"])
 
 
 def _spans(text: Column, rule: Rule, number: int) -> Column:
@@ -55,15 +72,24 @@ def _spans(text: Column, rule: Rule, number: int) -> Column:
         lambda m, g: F.struct(F.length(g).alias("gap"), m["long"].alias("long"), m["of"].alias("of")),
     )
 
-    def step(state: Column, m: Column) -> Column:
-        start = state["at"] + m["gap"]
-        span = F.struct(start.alias("start"), F.lit(number).alias("kind"), (start + m["long"]).alias("end"))
-        kept = F.when(m["of"] >= rule.least, F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
-        return F.struct((start + m["long"]).alias("at"), kept.alias("spans"))
+    def span(at: Column, m: Column) -> Column:
+        start = at + m["gap"]
+        return F.struct(start.alias("start"), F.lit(number).alias("kind"), (start + m["long"]).alias("end"), m["of"].alias("of"))
+
+    def size(m: Column) -> Column:
+        return m["gap"] + m["long"]
+
+    def placed(sizes: Column) -> Column:
+        # stretch by stretch, as arrays that grow by one element are copied each time
+        starts = F.when(F.size(sizes) > 0, F.sequence(F.lit(1), F.size(sizes), F.lit(STRETCH))).otherwise(F.array().cast("array<int>"))
+        stretches = F.transform(starts, lambda at: F.slice(sizes, at, F.lit(STRETCH)))
+        sums = F.transform(stretches, lambda x: F.struct(x.alias("x"), F.aggregate(x, F.lit(0), lambda a, m: a + size(m)).alias("sum")))
+        based = _let(sums, lambda s: F.zip_with(s, _running(s, F.lit(0), lambda at, _: at, lambda x: x["sum"], "array<int>"), lambda x, at: F.struct(x["x"].alias("x"), at.alias("at"))))
+        return F.flatten(F.transform(based, lambda s: _running(s["x"], s["at"], span, size, _WITH_SIZE)))
 
-    none = F.array().cast(_SPAN)
-    found = F.aggregate(sizes, F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda s: s["spans"])
-    return F.when(text.rlike(rule.pattern), found).otherwise(none)
+    kept = F.filter(_let(sizes, placed), lambda m: m["of"] >= rule.least)
+    found = F.transform(kept, lambda m: F.struct(m["start"], m["kind"], m["end"]))
+    return F.when(text.rlike(rule.pattern), found).otherwise(F.array().cast(_SPAN))
 
 
 def index(docs: DataFrame, rules: tuple[Rule, ...], id_col: str, text_col: str) -> DataFrame:
