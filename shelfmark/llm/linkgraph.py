@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shelfmark.session import stored
 
-#: Part of a host's score that follows links, rounds of the SQL, and the share of distrust that blocks a host.
-DAMPING, ROUNDS, LIMIT = 0.85, 12, 0.5
-#: Rankings go on until the scores of all hosts together change by less than this in a round.
-TOLERANCE = 1e-6
+#: Part of a host's score that follows links, and the share of distrust over which a host is blocked.
+DAMPING, LIMIT = 0.85, 0.5
+#: Rankings end when what is still moving is less than this part of all scores; shares this close to the limit
+#: count as the limit.
+TOLERANCE, CLOSE = 1e-6, 1e-9
 _LINK = r"""(?i)href\s*=\s*["']?(?:https?:)?//([^/?#"'>\s]+)"""
 
 
@@ -75,34 +76,69 @@ def host_links(pages: DataFrame) -> DataFrame:
     return links.groupBy("source", "target").agg(F.count("*").alias("n"))
 
 
-def spread(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
-    """(kind, host, score): personalised PageRank from the seeds, trust along links, distrust against.
-
-    ``seeds`` is (kind, host, share): kind 0 trusted, 1 blocked; shares of a kind add up to 1. In each
-    round a host passes on ``damping`` of its score in proportion to its links, or to the seeds if it
-    has none, and the seeds get the rest. Rounds go on until no new host is reached and the summed
-    change of scores is under ``tolerance``. State is written to the shared folder each round.
-    """
+def _directed(links: DataFrame) -> DataFrame:
+    """(kind, host, to, part): where scores go, trust (kind 0) along links and distrust (1) against them."""
     ways = links.select(F.lit(0).alias("kind"), F.col("source").alias("host"), F.col("target").alias("to"), "n").union(
         links.select(F.lit(1), F.col("target"), F.col("source"), "n")
     )
     out = ways.groupBy("kind", "host").agg(F.sum("n").alias("total"))
-    ways = stored(ways.join(out, ["kind", "host"]).select("kind", "host", "to", (F.col("n") / F.col("total")).alias("part")), "host-links")
-    if ways.isEmpty():  # every score goes back to the seeds
-        return seeds.withColumnRenamed("share", "score")
-    score = seeds.withColumnRenamed("share", "score")
-    while True:
-        passed = score.join(ways, ["kind", "host"]).select("kind", F.col("to").alias("host"), (damping * F.col("score") * F.col("part")).alias("score"))
-        kept = passed.groupBy("kind").agg(F.sum("score").alias("kept"))  # a row a kind
-        back = seeds.join(kept, "kind", "left").select(
-            "kind", "host", (F.col("share") * (1 - F.coalesce("kept", F.lit(0.0)))).alias("score")
-        )
-        former, score = score, stored(passed.union(back).groupBy("kind", "host").agg(F.sum("score").alias("score")), "host-scores")
-        both = score.select("kind", "host", "score", F.lit(0).alias("known")).union(former.select("kind", "host", -F.col("score"), F.lit(1)))
-        moved = both.groupBy("kind", "host").agg(F.abs(F.sum("score")).alias("change"), F.max("known").alias("known"))
-        change, known = moved.agg(F.coalesce(F.sum("change"), F.lit(0.0)), F.coalesce(F.min("known"), F.lit(1))).first()
-        if known and change < tolerance:
-            return score
+    return stored(ways.join(out, ["kind", "host"]).select("kind", "host", "to", (F.col("n") / F.col("total")).alias("part")), "host-links")
+
+
+def spread(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE, limit: float | None = None) -> DataFrame:
+    """(host, trust, distrust): personalised PageRank from the seeds, trust along links, distrust against.
+
+    ``seeds`` is (kind, host, share): kind 0 trusted, 1 blocked; shares of a kind add up to 1. A host passes
+    on ``damping`` of its score in proportion to its links; what a host without links has goes back to
+    the seeds, as does the rest, and that only scales all scores of a kind alike. So scores are summed
+    residuals: each round, hosts that were reached in the one before push theirs along their links, and
+    hosts without news stay out of the shuffle. Each kind's scores are divided by their sum at the end.
+
+    Rounds go on until nothing moves; or until no new host is reached, and what can still come moves
+    no host across ``limit`` (if given), or is less than ``tolerance`` of all scores of both kinds. State, a row a
+    host, is written to the shared folder each round, and each round is one job: the sums that decide
+    on the next are observed on that write. Links are stored once; a hub's are split by the adaptive
+    skew join, as every host has one row on the other side.
+    """
+    names = ["trust", "distrust"]
+
+    def of(kind: int, score: str) -> Column:
+        return F.sum(F.when(F.col("kind") == kind, F.col(score)).otherwise(0.0))
+
+    start = seeds.groupBy("host").agg(*(of(k, "share").alias(c) for k, c in enumerate(names)))
+    start = start.select("host", *names, F.col("trust").alias("new_trust"), F.col("distrust").alias("new_distrust"))
+    ways = _directed(links)
+    linked = not ways.isEmpty()
+    total, moving = [1.0, 1.0], [1.0, 1.0]  # of all scores so far, of the last residuals
+    state = start
+    while linked and max(moving) > 0:
+        ahead = F.expr("stack(2, 0, new_trust, 1, new_distrust) AS (kind, score)")
+        pushed = state.where("new_trust > 0 or new_distrust > 0").select("host", ahead).where("score > 0")
+        pushed = pushed.join(ways, ["kind", "host"]).select("kind", F.col("to").alias("host"), (damping * F.col("score") * F.col("part")).alias("score"))
+        none = F.lit(0.0)
+        pushed = pushed.select("host", *(F.when(F.col("kind") == k, F.col("score")).otherwise(none).alias(c) for k, c in enumerate(names)))
+        both = state.select("host", *names, none.alias("a"), none.alias("b")).union(pushed.select("host", none, none, *names))
+        new = both.groupBy("host").agg(
+            *((F.sum(c) + F.sum(x)).alias(c) for c, x in zip(names, "ab", strict=True)),
+            F.sum("a").alias("new_trust"), F.sum("b").alias("new_distrust"), *((F.sum(c) == 0).alias(f"un{c}") for c in names),
+        )
+        reached = [F.coalesce(F.sum((F.col(f"un{c}") & (F.col(c) > 0)).cast("long")), F.lit(0)) for c in names]
+        # all that can still come, from the sums before this round
+        rest = [m * damping * damping / (1 - damping) for m in moving]
+        most = [t + m * damping / (1 - damping) or 1.0 for t, m in zip(total, moving, strict=True)]
+        low = [F.col(c) / m for c, m in zip(names, most, strict=True)]
+        high = [(F.col(c) + r) / F.lit(t + r if t + r else 1.0) for c, r, t in zip(names, rest, total, strict=True)]
+        open_ = F.lit(True) if limit is None else (high[1] * (1 - limit) > limit * low[0]) & (low[1] * (1 - limit) <= limit * high[0])
+        seen = Observation()
+        told = [F.coalesce(F.sum(c), none).alias(c) for c in (*names, "new_trust", "new_distrust")]
+        new = new.observe(seen, *told, (reached[0] + reached[1]).alias("reached"), F.coalesce(F.sum(open_.cast("long")), F.lit(0)).alias("open"))
+        state = stored(new.drop(*(f"un{c}" for c in names)), "host-scores")
+        got = seen.get
+        total, moving = [got[c] for c in names], [got["new_trust"], got["new_distrust"]]
+        small = all(m * damping / (1 - damping) <= tolerance * t for m, t in zip(moving, total, strict=True))
+        if not got["reached"] and (small or not got["open"]):
+            break
+    return state.select("host", *((F.col(c) / F.lit(t or 1.0)).alias(c) for c, t in zip(names, total, strict=True)))
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, limit: float = LIMIT, id_col: str = "page_id") -> DataFrame:
@@ -110,7 +146,7 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, limit: float = LIMI
 
     Pages that a rule allows or blocks make their hosts seeds, in proportion to those pages; a host may
     be both. ``distrust`` is the host's share of distrust in its trust and distrust, null if no
-    score reaches it. Without a rule a page is blocked if that share is over ``limit``, else
+    score reaches it; rankings go on until it is on its final side of ``limit`` (`spread`). Without a rule a page is blocked if that share is over ``limit``, else
     allowed. Null urls, and null pages' html, are no trouble; rows may repeat and ids may be null.
     Only DataFrame functions are used.
     """
@@ -124,11 +160,9 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, limit: float = LIMI
     marked = rows.where("ruled is not null and host <> ''").groupBy(F.when(F.col("ruled") == "block", 1).otherwise(0).alias("kind"), "host").agg(F.count("*").alias("n"))
     totals = marked.groupBy("kind").agg(F.sum("n").alias("total"))  # a row a kind
     seeds = stored(marked.join(totals, "kind").select("kind", "host", (F.col("n") / F.col("total")).alias("share")), "host-seeds")
-    scores = spread(host_links(rows.select("host", "html")), seeds)
-    trust = F.sum(F.when(F.col("kind") == 0, F.col("score")).otherwise(0.0))
-    distrust = F.sum(F.when(F.col("kind") == 1, F.col("score")).otherwise(0.0))
-    hosts = scores.groupBy("host").agg(F.try_divide(distrust, trust + distrust).alias("distrust"))
-    by_host = F.when(F.col("distrust") > limit, "block").otherwise("allow")
+    scores = spread(host_links(rows.select("host", "html")), seeds, limit=limit)
+    hosts = scores.select("host", F.try_divide("distrust", F.col("trust") + F.col("distrust")).alias("distrust"))
+    by_host = F.when(F.col("distrust") > limit + CLOSE, "block").otherwise("allow")
     return rows.drop("html").join(hosts, "host", "left").select(
         F.col("i").alias(id_col), "host", "path", "rule", F.coalesce("ruled", by_host).alias("verdict"), "distrust"
     )

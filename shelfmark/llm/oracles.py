@@ -35,25 +35,16 @@ def secrets_sql() -> str:
 
 
 def linkgraph_sql() -> str:
-    """The same rounds of both rankings, one after another."""
+    """Both rankings as sums of what is passed on, until nearly nothing moves (0.85 ** 200 is 7.7e-15)."""
     rules = sorted(linkgraph.RULES, key=lambda r: -len(r.text))
     fits = " ".join(
         f"WHEN (host = {_quoted(r.host)} OR ends_with(host, {_quoted('.' + r.host)})) AND starts_with(path, {_quoted(r.path)}) THEN {_quoted(r.text)}"
         for r in rules
     )
     ruled = " ".join(f"WHEN {_quoted(r.text)} THEN {_quoted(r.verdict)}" for r in rules)
-    rounds = "".join(
-        f"""
-        p{n} AS (SELECT kind, w."to" AS host, {linkgraph.DAMPING} * s.score * w.part AS score FROM s{n - 1} s JOIN ways w USING (kind, host)),
-        s{n} AS (SELECT kind, host, sum(score) AS score FROM (
-            SELECT * FROM p{n} UNION ALL
-            SELECT kind, host, share * (1 - coalesce(kept, 0)) FROM seeds LEFT JOIN (SELECT kind, sum(score) AS kept FROM p{n} GROUP BY kind) USING (kind)
-        ) GROUP BY kind, host),"""
-        for n in range(1, linkgraph.ROUNDS + 1)
-    )
     big, small = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     return f"""
-        WITH a AS (SELECT page_id, html, CASE WHEN position('://' IN coalesce(url, '')) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
+        WITH RECURSIVE a AS (SELECT page_id, html, CASE WHEN position('://' IN coalesce(url, '')) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
         b AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS raw FROM a),
         c AS (SELECT page_id, html, translate(raw, '{big}', '{small}') AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM b),
         d AS (SELECT *, CASE {fits} END AS rule FROM c),
@@ -64,7 +55,13 @@ def linkgraph_sql() -> str:
         links AS (SELECT source, target, count(*) AS n FROM l WHERE target <> '' AND source <> target GROUP BY ALL),
         both_ways AS (SELECT 0 AS kind, source AS host, target AS "to", n FROM links UNION ALL SELECT 1, target, source, n FROM links),
         ways AS MATERIALIZED (SELECT kind, host, "to", n / sum(n) OVER (PARTITION BY kind, host) AS part FROM both_ways),
-        s0 AS (SELECT kind, host, share AS score FROM seeds),{rounds}
-        hosts AS (SELECT host, sum(score) FILTER (kind = 1) / sum(score) AS distrust FROM s{linkgraph.ROUNDS} GROUP BY host)
-        SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN distrust > {linkgraph.LIMIT} THEN 'block' ELSE 'allow' END) AS verdict
+        passed AS (
+            SELECT 0 AS round, kind, host, CAST(share AS DOUBLE) AS score FROM seeds
+            UNION ALL
+            SELECT round + 1, kind, w."to", sum({linkgraph.DAMPING} * score * part) FROM passed JOIN ways w USING (kind, host)
+            WHERE round < 200 AND score > 0 GROUP BY round, kind, w."to"
+        ),
+        scores AS (SELECT kind, host, sum(score) / sum(sum(score)) OVER (PARTITION BY kind) AS score FROM passed GROUP BY kind, host),
+        hosts AS (SELECT host, coalesce(sum(score) FILTER (kind = 1), 0) / sum(score) AS distrust FROM scores GROUP BY host)
+        SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN distrust > {linkgraph.LIMIT + linkgraph.CLOSE} THEN 'block' ELSE 'allow' END) AS verdict
         FROM e LEFT JOIN hosts USING (host)"""
