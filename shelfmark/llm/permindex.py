@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import offsets
+from shelfmark.llm.common import gather, offsets
 from shelfmark.llm.vectors import matrix, same_width, search_cells, usable
 from shelfmark.session import stored
 
@@ -31,14 +32,28 @@ def nearest_pivots(vectors: np.ndarray, pivots: np.ndarray, prefix: int) -> np.n
     return np.argsort(-(vectors @ pivots.T), axis=1, kind="stable")[:, :prefix].astype(np.int16)
 
 
-def build(table: DataFrame, id_col: str, vector_col: str, n_pivots: int, prefix: int) -> DataFrame:
-    """(i, v, near): the index of all usable vectors, written to the shared folder.
+def different(rows: DataFrame, k: int) -> DataFrame:
+    """(i, ids, v): each different vector once, with the ``k`` + 1 smallest of its ids and the smallest.
+
+    More can't be among a query's ``k`` best, as it leaves out its own id only. An id stands there as often
+    as it has the vector, ``k`` times at most. Ids are cut before they are shuffled, so copies of one
+    vector are no hot key.
+    """
+    smallest = F.row_number().over(Window.partitionBy("v").orderBy("i"))
+    few = rows.groupBy("v", "i").agg(F.count("*").alias("n")).withColumn("rank", smallest).where(F.col("rank") <= k + 1)
+    each = F.sort_array(F.collect_list(F.struct("i", "n")))
+    ids = F.flatten(F.transform(each, lambda x: F.array_repeat(x["i"], F.least(x["n"], F.lit(k)).cast("int"))))
+    return few.groupBy("v").agg(ids.alias("ids")).select(F.col("ids")[0].alias("i"), "ids", "v")
+
+
+def build(table: DataFrame, id_col: str, vector_col: str, n_pivots: int, prefix: int, k: int) -> DataFrame:
+    """(i, ids, v, near): the index of all `different` usable vectors, written to the shared folder.
 
     Pivots are the vectors with the least hashes of their ids: a bounded sample, the same in every
     run, which the driver reads.
     """
-    rows = usable(table, id_col, vector_col).where(F.exists("v", lambda x: x != 0))
-    some = rows.orderBy(F.xxhash64("i"), "i", "v").limit(n_pivots).toArrow()
+    rows = stored(different(usable(table, id_col, vector_col).where(F.exists("v", lambda x: x != 0)), k), "different-vectors")
+    some = rows.select("i", "v").orderBy(F.xxhash64("i"), "i", "v").limit(n_pivots).toArrow()
     pivots = _scaled(matrix(some["v"])) if len(some) else np.empty((0, 0))
     if len(some):
         pivots = pivots / np.linalg.norm(pivots, axis=1, keepdims=True)
@@ -49,9 +64,9 @@ def build(table: DataFrame, id_col: str, vector_col: str, n_pivots: int, prefix:
                 near = nearest_pivots(matrix(batch.column("v")), pivots, prefix)
                 bounds = pa.array(np.arange(len(near) + 1, dtype=np.int32) * near.shape[1])
                 lists = pa.ListArray.from_arrays(bounds, pa.array(near.ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column("i"), batch.column("v"), lists], names=["i", "v", "near"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("i", "ids", "v")), lists], names=["i", "ids", "v", "near"])
 
-    return stored(rows.mapInArrow(run, "i long, v array<double>, near array<short>"), "permutation-index")
+    return stored(rows.mapInArrow(run, "i long, ids array<long>, v array<double>, near array<short>"), "permutation-index")
 
 
 class Postings:
@@ -82,21 +97,41 @@ class Postings:
         return np.bincount(np.concatenate(rows), weights=np.concatenate(gain), minlength=self.n)
 
 
-def search(ids: np.ndarray, docs: np.ndarray, near: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, query_near: np.ndarray, k: int, part: float, least: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each query (ids, cosines) of the k best of the shard's vectors that rank first by footrule."""
-    postings = Postings(near)
-    docs, queries = same_width(docs, queries)
+@dataclass
+class Shard:
+    """Different vectors, the ids of each (one list after another, and its bounds), and the pivots near each."""
+
+    vectors: np.ndarray
+    ids: np.ndarray
+    bounds: np.ndarray
+    near: np.ndarray
+
+
+def search(shard: Shard, query_ids: np.ndarray, queries: np.ndarray, query_near: np.ndarray, k: int, part: float, least: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each query (ids, cosines) of the k best of the shard's vectors that rank first by footrule.
+
+    All vectors are reranked that are as near by footrule as the last one taken.
+    """
+    postings = Postings(shard.near)
+    docs, queries = same_width(shard.vectors, queries)
     docs, queries = _scaled(docs), _scaled(queries)
     norms, asked = np.sqrt((docs * docs).sum(axis=1)), np.sqrt((queries * queries).sum(axis=1))
+    first, last, count = shard.ids[shard.bounds[:-1]], shard.ids[shard.bounds[1:] - 1], np.diff(shard.bounds)
     take = min(len(docs), max(least, int(np.ceil(part * len(docs))), k + 1))
     results = []
     for n in range(len(queries)):
         far = postings.distances(query_near[n])
-        rows = np.argpartition(far, take - 1)[:take] if take < len(docs) else np.arange(len(docs))
-        rows = rows[ids[rows] != query_ids[n]]
+        rows = np.flatnonzero(far <= np.partition(far, take - 1)[take - 1])
+        rows = rows[(first[rows] != query_ids[n]) | (last[rows] != query_ids[n])]  # some id is another one
         cosine = (docs[rows] @ queries[n]) / (norms[rows] * asked[n])
-        best = np.lexsort((ids[rows], -cosine))[:k]
-        results.append((ids[rows[best]], cosine[best]))
+        if len(rows) > k:
+            best = cosine >= np.partition(cosine, len(rows) - k)[len(rows) - k]  # and all that tie
+            rows, cosine = rows[best], cosine[best]
+        ids, cosine = gather(shard.ids, shard.bounds[rows], count[rows]), np.repeat(cosine, count[rows])
+        other = ids != query_ids[n]
+        ids, cosine = ids[other], cosine[other]
+        best = np.lexsort((ids, -cosine))[:k]
+        results.append((ids[best], cosine[best]))
     return results
 
 
@@ -107,18 +142,19 @@ def nearest(
     """(query_id, rank, vec_id, score): the nearest vectors found for each query, by cosine.
 
     ``is_query`` is an SQL condition on the column ``i`` that picks the queries; candidates are all
-    rows but those of the query's own id. Every vector is indexed by its ``prefix`` nearest pivots.
-    In each shard the queries read the inverted files of their own pivots, and the vectors that
-    rank first by footrule (``part`` of the shard, ``least`` at least) are reranked by cosines of
-    the original vectors in double precision; ties to smaller ids. More rows reranked, more
+    rows but those of the query's own id. Every different vector is indexed once by its ``prefix``
+    nearest pivots. In each shard the queries read the inverted files of their own pivots, and the
+    vectors that rank first by footrule (``part`` of the shard, ``least`` at least, and all that tie with
+    the last) are reranked by cosines of the original vectors in double precision; ties to smaller ids. More rows reranked, more
     recall: 1.0 for ``part`` is exact search.
 
     Null ids, null or zero vectors and vectors holding null or non-finite components take no part;
     shorter vectors count as filled up with zeros. A repeated row is one query, but each copy a
     candidate. Other columns are not read. An empty table gives an empty result.
     """
-    index = build(table, id_col, vector_col, n_pivots, prefix)
-    queries = index.where(is_query).dropDuplicates(["i", "v"])
+    index = build(table, id_col, vector_col, n_pivots, prefix, k)
+    asking = usable(table, id_col, vector_col).where(is_query).dropDuplicates(["i", "v"])
+    queries = stored(asking.join(index.select("v", "near"), "v"), "permutation-queries")
     n_rows, n_queries = index.count(), queries.count()
 
     def cell(shard: pa.Table, block: pa.Table) -> pa.Table:
@@ -126,10 +162,10 @@ def nearest(
         parts = [pa.table({c: pa.array([], t) for c, t in names.items()})]
         if len(shard) and len(block):
             asked = block["i"].to_numpy()
-            found = search(
-                shard["i"].to_numpy(), matrix(shard["v"]), matrix(shard["near"]),
-                asked, matrix(block["v"]), matrix(block["near"]), k, part, least,
-            )
+            lists = shard["ids"].combine_chunks()
+            bounds = lists.offsets.to_numpy().astype(np.int64)
+            indexed = Shard(matrix(shard["v"]), lists.flatten().to_numpy(), bounds - bounds[0], matrix(shard["near"]))
+            found = search(indexed, asked, matrix(block["v"]), matrix(block["near"]), k, part, least)
             for n, (ids, scores) in enumerate(found):
                 copy = pa.array([block["copy"][n].as_py()] * len(ids), pa.int64())
                 parts.append(pa.table({"query_id": pa.array(np.full(len(ids), asked[n])), "copy": copy, "vec_id": pa.array(ids), "score": pa.array(scores)}))

@@ -111,3 +111,39 @@ def test_neighbours_odd_rows(spark):
         (1, 1, 1.0), (2, 1, 1.0), (3, 7, 1.0), (4, 50, round(math.sqrt(0.5), 6)), (5, 9, -1.0),
     ]
     assert permindex.nearest(_table(spark, []), "i % 50 = 0", 5).collect() == []
+
+
+def _exact(rows, k, every):
+    want = []
+    for q, v in rows:
+        if q % every == 0:
+            others = [(i, w) for i, w in rows if i != q]
+            want += [(q, *x) for x in _best([i for i, _ in others], [_cosine(np.array(v), np.array(w)) for _, w in others], k)]
+    return want
+
+
+def test_half_of_the_vectors_are_copies(spark):
+    """Ties go to the smallest ids: copies are indexed once, and none is cut off."""
+    pick = np.random.default_rng(8)
+    rows = [(i, [1.0, 2.0, 2.0, 0.0] if i % 2 else pick.normal(size=4).tolist()) for i in range(600)]
+    got = permindex.nearest(_table(spark, rows), "i % 25 = 0", 5, part=0.2, least=16).collect()
+    want = {(q, n, i) for q, n, i, _ in _exact(rows, 5, 25)}
+    copies = {(q, n, i) for q, n, i in want if q % 2}
+    found = {(r.query_id, r["rank"], r.vec_id) for r in got}
+    assert copies and copies <= found and len(found & want) >= 0.95 * len(want)
+    assert found == {(r.query_id, r["rank"], r.vec_id) for r in permindex.nearest(_table(spark, rows[::-1]), "i % 25 = 0", 5, part=0.2, least=16).collect()}
+
+
+def test_equal_footrules_are_all_reranked():
+    """Vectors beyond the cut that are as near by footrule as the last one within it count too."""
+    near = np.array([[0, 1]] * 40 + [[1, 0]] * 10, np.int16)
+    shard = permindex.Shard(np.array([[1.0, n / 1000] for n in range(50)]), np.arange(50), np.arange(51), near)
+    ids, _ = permindex.search(shard, np.array([99]), np.array([[1.0, 0.039]]), np.array([[0, 1]], np.int16), 3, 0.1, 1)[0]
+    assert ids.tolist() == [39, 38, 37]
+
+
+def test_ids_that_repeat_with_other_vectors(spark):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.1]), (0, [1.0, 0.0]), (5, [1.0, 0.0]), (5, [1.0, 0.0]), (6, [1.0, 0.3]), (7, [0.0, 1.0])]
+    got = permindex.nearest(_table(spark, rows), "i = 0", 3).collect()
+    assert sorted((round(r.score, 3), r["rank"], r.vec_id) for r in got if r["rank"] == 3) == [(0.958, 3, 6), (0.982, 3, 6)]
+    assert all(r.vec_id == 5 for r in got if r["rank"] < 3) and len(got) == 6
