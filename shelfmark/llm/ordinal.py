@@ -232,13 +232,15 @@ def _inverse_times(past: deque[tuple[np.ndarray, np.ndarray, float]], slope: np.
 def sample(docs: DataFrame, labels: DataFrame, grade: Column, limit: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(i, t, g): ``limit`` labelled documents at most, the same ones in every run.
 
-    The labels with the least hashes of their ids are taken; that many rows are small enough for
-    every join strategy. Null ids and null grades are left out, the highest grade of an id counts.
+    Of the labels of documents that have a text, those with the least hashes of their ids are taken;
+    that many rows are small enough for every join strategy. Null ids and null grades are left out, the
+    highest grade and the first text (in order of letters) of an id count.
     """
     some = labels.select(F.col(id_col).alias("i"), grade.cast("int").alias("g")).where("i is not null and g is not null")
-    some = some.groupBy("i").agg(F.max("g").alias("g")).orderBy(F.xxhash64("i"), "i").limit(limit)
-    texts = docs.select(docs[id_col].alias("i"), docs[text_col].alias("t")).where("t is not null")
-    return stored(texts.join(F.broadcast(some), "i").dropDuplicates(["i"]).select("i", "t", "g"), "labelled")
+    texts = docs.select(docs[id_col].alias("i"), docs[text_col].alias("t")).where("i is not null and t is not null")
+    some = some.groupBy("i").agg(F.max("g").alias("g")).join(texts.select("i"), "i", "left_semi")
+    some = some.orderBy(F.xxhash64("i"), "i").limit(limit)
+    return stored(texts.join(F.broadcast(some), "i").groupBy("i", "g").agg(F.min("t").alias("t")).select("i", "t", "g"), "labelled")
 
 
 def design(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
