@@ -413,4 +413,5 @@ def one_of_each(docs: DataFrame, plan: Plan, id_col: str = "doc_id", text_col: s
     kept = docs.join(first, docs[id_col].eqNullSafe(first["doc_id"]) & (mark == first["mark"]), "left_semi")
     if found.groupBy("doc_id", "mark").count().where("count > 1").isEmpty():
         return kept
-    return kept.withColumn("_mark", F.xxhash64(text_col)).dropDuplicates([id_col, "_mark"]).drop("_mark")
+    own = "mark" + "_" * (1 + max(map(len, docs.columns)))  # a name that no column has
+    return kept.withColumn(own, F.xxhash64(text_col)).dropDuplicates([id_col, own]).drop(own)
