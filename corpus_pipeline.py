@@ -16,13 +16,13 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality model selects; it is fitted on the labelled ones."""
-    return quality.select(docs, quality.train(docs, read(spark, sf_dir, "labels")))
+    """Documents that the quality model selects; it is fitted on the labelled ones of the whole table."""
+    return quality.select(docs, quality.train(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")))
 
 
 def civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not toxic."""
-    return toxicity.select(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
+    """Documents that are not toxic; the model is fitted on the labelled ones of the whole table."""
+    return toxicity.select(docs, toxicity.train(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")))
 
 
 def different(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
