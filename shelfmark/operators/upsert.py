@@ -15,15 +15,18 @@ ARRIVAL = ("_file", "_row", "_pos")
 POLICIES = ("last", "first")
 
 
-def fold(rows: DataFrame, keys: Sequence[str], policy: str, order: Sequence[str | Column]) -> DataFrame:
+def fold(
+    rows: DataFrame, keys: Sequence[str], policy: str, order: Sequence[str | Column], keep: Sequence[str] = ()
+) -> DataFrame:
     """One row per key: the last (or first) one in ``order``, taken as a whole, NULLs included.
 
-    ``order`` must be total within a key. Columns starting with an underscore are dropped.
+    ``order`` must be total within a key. Columns starting with an underscore are dropped, but for
+    those of ``keep``.
     """
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}")
     pick = F.max_by if policy == "last" else F.min_by
-    columns = [c for c in rows.columns if not c.startswith("_")]
+    columns = [c for c in rows.columns if c in keep or not c.startswith("_")]
     rest = [c for c in columns if c not in keys]
     by = F.struct(*order)
     if not rest:  # nothing but the key
