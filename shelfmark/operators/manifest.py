@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions.scalars import stamp_of
@@ -118,6 +118,25 @@ def state(log: DataFrame) -> DataFrame:
     return newest.select("entity", "file", "seq", "_event.*")
 
 
+def folded(log: DataFrame, kept_errors: int = KEPT_ERRORS) -> DataFrame:
+    """The events that every view of the log still needs.
+
+    Left out are events before the last reset of their entity (the reset itself stays), starts of a file
+    and ends of an entity that came again, and errors beyond the newest ``kept_errors`` unless they are
+    the last word on their file. What is left grows with the files, not with the runs.
+    """
+    is_error = F.col("event").isin("failed", "error")
+    again = is_error | F.col("event").isin("in_progress", "entity_done")
+    live = since_reset(log).where(F.col("event") != "reset")
+    live = live.withColumn("_newest", F.max("seq").over(Window.partitionBy("entity", "file")))
+    live = live.withColumn("_of_kind", F.max("seq").over(Window.partitionBy("entity", "file", "event")))
+    last_word = F.col("seq") == F.col("_newest")
+    kept = live.where(last_word | ~again | (~is_error & (F.col("seq") == F.col("_of_kind")))).select(*log.columns)
+    errors = log.where(is_error).orderBy(F.desc("at"), F.desc("seq")).limit(kept_errors)
+    resets = log.where(F.col("event") == "reset").withColumn("_newest", F.max("seq").over(Window.partitionBy("entity"))).where(last_word)
+    return kept.unionByName(errors).unionByName(resets.select(*log.columns)).dropDuplicates(["seq"])
+
+
 def resume(log: DataFrame, order: Sequence[str] = tuple(ENTITIES)) -> DataFrame:
     """Entities still to be run: the first in ``order`` that is not completed, and all after it.
 

@@ -6,6 +6,8 @@ takes one table out of it, reading only the nested columns the table needs.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,11 +24,12 @@ MODES = ("lenient", "strict")
 
 
 def shape(
-    parsed: DataFrame, entity: str, mode: str = "lenient", tables=None, columns=None
+    parsed: DataFrame, entity: str, mode: str = "lenient", tables=None, columns=None, lost: bool = False
 ) -> DataFrame:
     """One typed row per line: origin, ``status``, ``raw``, ``id`` and the record ``rec``.
 
-    ``tables`` and ``columns`` limit what is read from the records.
+    ``tables`` and ``columns`` limit what is read from the records. ``lost`` adds the values that no
+    typed column can hold (`lost_values`) as column ``lost``.
 
     ``lenient`` sets aside malformed lines, non-objects and records without id; ``strict``
     also records whose containers have the wrong JSON type. No line is dropped.
@@ -49,6 +52,7 @@ def shape(
         FRAME,
         record_id.alias("id"),
         *_presence_flags(wanted, framed),
+        *([F.when(status == OK, lost_values(wanted, framed)).alias("lost")] if lost else []),
         # the one-element explode keeps the cast from being repeated in what uses its result
         F.explode(F.array(F.try_variant_get(framed, RECORD, reading_schema(wanted)))).alias("rec"),
     ).select(
@@ -62,6 +66,7 @@ def shape(
         .alias("raw"),
         "id",
         *flag_names(wanted),
+        *(["lost"] if lost else []),
         "rec",
     )
 
@@ -217,12 +222,82 @@ def quarantine(shaped: DataFrame, entity: str) -> DataFrame:
     )
 
 
+_LOST = "struct<table_name: string, column_name: string, pos: int, value: string>"
+
+
+def _entry(table: str, column: str, pos: Column, value: Column) -> Column:
+    return F.struct(F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), pos.cast("int").alias("pos"), F.to_json(value).alias("value"))
+
+
+def _lost_of(t: Table, held: Column, base: str, pos: Column) -> list[Column]:
+    """Entries for the typed columns of one row's object, NULL where nothing is lost."""
+    found = []
+    for f in t.fields:
+        if f.type == "string" or f.how not in ("value", "default", "record", "either"):
+            continue
+        if f.how == "default" and base.startswith("$["):  # kept as VARIANT: `bad_values` looks at them
+            continue
+        if f.how == "record" and not base.startswith("$["):
+            continue
+        path = f"{RECORD}.{f.source}" if f.how == "record" else f"{base}.{f.source}"
+        raw = V.child(held, path)
+        if f.how == "either":
+            other = V.child(held, f"{base}.{f.other}")
+            raw = F.when(F.coalesce(F.try_variant_get(raw, "$", "string") != "", F.lit(False)), raw).otherwise(other)
+        typed = F.try_variant_get(raw, "$", "string").try_cast(f.type) if f.how == "either" else F.try_variant_get(raw, "$", f.type)
+        lost = typed.isNull()
+        if f.type in ("smallint", "int", "bigint"):
+            lost = lost | (F.try_variant_get(raw, "$", "double") != typed)
+        empty = F.to_json(raw) == '""' if f.how == "either" else F.lit(False)
+        found.append(F.when(raw.isNotNull() & ~F.is_variant_null(raw) & ~empty & lost, _entry(t.name, f.name, pos, raw)))
+    return found
+
+
+def _lost_of_element(t: Table) -> Callable[[Column, Column], Column]:
+    """The entries of one element of a list table, by the element and its place."""
+
+    def entries(item: Column, i: Column) -> Column:
+        whole = F.when(~F.is_variant_null(item) & ~V.is_object(item), _entry(t.name, t.at, i, item))
+        return F.array_compact(F.array(whole, *_lost_of(t, item, "$", i)))
+
+    return entries
+
+
+def lost_values(tables: list[Table], framed: Column) -> Column:
+    """What of a record no typed column can hold: (table_name, column_name, pos, value as JSON text).
+
+    Numbers with a fraction where whole ones belong, values of another kind, dates that are none, of the
+    record, its objects and the elements of its lists (``pos`` is the element's place); list elements
+    that are no objects (``column_name`` is that of the list); and values other than lists where a list of
+    rows belongs (without ``pos``).
+    """
+    parts = []
+    none = F.lit(None)
+    for t in tables:
+        at = f"{RECORD}.{t.at}" if t.at else RECORD
+        if t.rows in ("one", "present"):
+            found = _lost_of(t, framed, at, none)
+            if found:
+                parts.append(F.array_compact(F.array(*found)))
+            continue
+        held = V.child(framed, at)
+        other = F.when(held.isNotNull() & ~F.is_variant_null(held) & ~V.is_list(held), _entry(t.name, t.at, none, held))
+        parts.append(F.array_compact(F.array(other)))
+        if t.rows == "many":
+            items = F.try_variant_get(held, "$", "array<variant>")
+            parts.append(F.coalesce(F.flatten(F.transform(items, _lost_of_element(t))).cast(f"array<{_LOST}>"), F.array().cast(f"array<{_LOST}>")))
+    if not parts:
+        return F.array().cast(f"array<{_LOST}>")
+    return F.concat(*[p.cast(f"array<{_LOST}>") for p in parts])
+
+
 def bad_values(shaped: DataFrame, entity: str) -> DataFrame:
-    """Values of a record that a column can't hold, as JSON text with table and column.
+    """Values of a record that a column can't hold, as JSON text with table, column and place in its list.
 
-    These are values other than lists where a list of names is wanted, and counts or flags of
-    another kind or with a fraction. The columns read NULL or the whole part; nothing else of the
-    record is affected.
+    These are values other than lists where a list of names is wanted, counts or flags of another kind
+    or with a fraction, and what `shape` noted as lost, if it was asked to. The columns read NULL or the
+    whole part, and a list table has no row of what is no element of a list; nothing else of the record
+    is affected.
     """
     held = set(shaped.schema["rec"].dataType.names)
     found = []
@@ -240,13 +315,13 @@ def bad_values(shaped: DataFrame, entity: str) -> DataFrame:
             if f.type in ("int", "bigint"):
                 lost = lost | (F.try_variant_get(here, "$", "double") != typed)
             present = here.isNotNull() & ~F.is_variant_null(here)
-            value = F.struct(F.lit(t.name).alias("table_name"), F.lit(f.name).alias("column_name"), F.to_json(here).alias("value"))
-            found.append(F.when(present & lost, value))
+            found.append(F.when(present & lost, _entry(t.name, f.name, F.lit(None), here)))
     origin = [c for c in shaped.columns if c.startswith("_")]
     rows = shaped.where(F.col("status") == OK)
-    if not found:
-        found = [F.lit(None).cast("struct<table_name:string,column_name:string,value:string>")]
-    return rows.select(*origin, "id", F.inline(F.array_compact(F.array(*found))))
+    values = F.array_compact(F.array(*found, F.lit(None).cast(_LOST)))
+    if "lost" in shaped.columns:
+        values = F.concat(values, F.coalesce("lost", F.array().cast(f"array<{_LOST}>")))
+    return rows.select(*origin, "id", F.inline(values))
 
 
 def quarantine_child(shaped: DataFrame, table: str, mode: str = "lenient") -> DataFrame:

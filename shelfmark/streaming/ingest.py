@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from shelfmark.operators import manifest
-from shelfmark.operators.parse import parse_lines
-from shelfmark.operators.publish import publish, remove
+from shelfmark.operators.parse import OK, parse_lines
+from shelfmark.operators.publish import publish, remove, replaced_name
 from shelfmark.operators.quality import error_budget
 from shelfmark.operators.shred import bad_values, cut_all, shape
 from shelfmark.plans.catalog import MAX_ERRORS, entity as find_entity
@@ -29,18 +29,21 @@ def ingest_batch(
     batch: int,
     mode: str = "lenient",
     max_errors: int = MAX_ERRORS,
+    replace_children: bool = False,
 ) -> list[str]:
     """Load the files of one batch: parse once, judge each file, cut all tables, publish.
 
     The typed records are stored before anything is cut from them, so each line is parsed
     once; they are removed when the tables are published. Files over their error budget are left
     out as a whole: they are returned. Everything written carries the batch number, so running a
-    batch again replaces what a failed run left behind.
+    batch again replaces what a failed run left behind. With ``replace_children`` the batch marks its
+    records as replaced, so that list rows of earlier versions are gone (`resolve`); else
+    they stay until a row of the same key comes.
     """
     spec = find_entity(entity)
     stored = f"{root}/_records/{entity}/batch={batch:012d}"
     numbered = lines.withColumn("_row", F.monotonically_increasing_id())
-    shape(parse_lines(numbered), entity, mode).write.mode("overwrite").parquet(stored)
+    shape(parse_lines(numbered), entity, mode, lost=True).write.mode("overwrite").parquet(stored)
     shaped = spark.read.parquet(stored)
 
     # one row per file, at most maxFilesPerTrigger of them
@@ -52,6 +55,8 @@ def ingest_batch(
     if "quarantine_child" in tables:
         tables[f"quarantine_child_{entity}"] = tables.pop("quarantine_child")
     tables[f"quarantine_value_{entity}"] = bad_values(loaded, entity)
+    if replace_children:
+        tables[replaced_name(entity)] = loaded.where(F.col("status") == OK).select("id", "_file", "_row")
     publish(spark, root, batch, tables)
 
     # the manifest follows the data: a file is done once its rows are visible
@@ -105,10 +110,24 @@ def next_seq(n: int = 1) -> int:
 
 
 def manifest_of(spark: SparkSession, root: str) -> DataFrame:
-    """The event log that the ingestion below ``root`` has written."""
-    return spark.read.schema(manifest.SCHEMA).option("recursiveFileLookup", "true").parquet(
-        f"{root}/_manifest"
-    )
+    """The event log that the ingestion below ``root`` has written: its checkpoint, and what came after it."""
+    log = spark.read.schema(manifest.SCHEMA).option("recursiveFileLookup", "true").parquet(f"{root}/_manifest")
+    newest = newest_checkpoint(spark, root)
+    if newest is None:
+        return log
+    own = F.col("_metadata.file_path").contains(f"/{CHECKPOINT}={newest:020d}/")
+    return log.where(own | (F.col("seq") > newest))
+
+
+CHECKPOINT = "checkpoint"
+
+
+def newest_checkpoint(spark: SparkSession, root: str) -> int | None:
+    """The last event that the newest whole checkpoint of the log covers."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_manifest")
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    done = store.globStatus(spark._jvm.org.apache.hadoop.fs.Path(folder, f"{CHECKPOINT}=*/_SUCCESS"))
+    return max((int(s.getPath().getParent().getName().split("=")[1]) for s in done or []), default=None)
 
 
 def ingest_stream(
@@ -120,6 +139,7 @@ def ingest_stream(
     mode: str = "lenient",
     max_errors: int = MAX_ERRORS,
     files_per_trigger: int = FILES_PER_TRIGGER,
+    replace_children: bool = False,
 ) -> StreamingQuery:
     """Load every file below ``path`` that was not loaded before, then stop.
 
@@ -130,7 +150,7 @@ def ingest_stream(
     prepare(spark)
 
     def load(lines: DataFrame, batch: int) -> None:
-        ingest_batch(lines.sparkSession, lines, entity, root, batch, mode, max_errors)
+        ingest_batch(lines.sparkSession, lines, entity, root, batch, mode, max_errors, replace_children)
 
     return (
         stream_lines(spark, path, files_per_trigger)

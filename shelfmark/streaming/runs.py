@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,12 +14,19 @@ from shelfmark.operators import manifest
 from shelfmark.operators.flatten import bulk_append, flatten, write_csv
 from shelfmark.functions.scalars import partition_date
 from shelfmark.operators.parse import parse_lines, records
-from shelfmark.operators.publish import next_batch, path_exists
+from shelfmark.operators.publish import fold_list, next_batch, path_exists, remove
 from shelfmark.plans.catalog import ENTITIES, MAX_ERRORS
 from shelfmark.session import prepare, stored
 from shelfmark.sources.files import scan_csv
-from shelfmark.sources.snapshot import list_files, scan_lines
-from shelfmark.streaming.ingest import FILES_PER_TRIGGER, ingest_batch, manifest_of, next_seq
+from shelfmark.sources.snapshot import list_files, literal, scan_lines
+from shelfmark.streaming.ingest import (
+    CHECKPOINT,
+    FILES_PER_TRIGGER,
+    ingest_batch,
+    manifest_of,
+    newest_checkpoint,
+    next_seq,
+)
 
 _LOG = logging.getLogger(__name__)
 
@@ -44,6 +52,33 @@ def log_of(spark: SparkSession, root: str) -> DataFrame:
     return manifest_of(spark, root) if path_exists(spark, f"{root}/_manifest") else manifest.empty(spark)
 
 
+def checkpoint(spark: SparkSession, root: str) -> int | None:
+    """Write the folded log as a numbered checkpoint and delete the files it covers; the last event in it.
+
+    The list of published batches is folded too, so that the number of files below ``_manifest`` and
+    ``_batches`` does not grow with the batches between two calls. Readers use the newest whole checkpoint
+    and the events after it, so a call that fails halfway changes nothing for them, and events that are
+    appended meanwhile stay.
+    """
+    if not path_exists(spark, f"{root}/_manifest"):
+        return None
+    log = manifest_of(spark, root)
+    files, former = log.inputFiles(), newest_checkpoint(spark, root)
+    last = log.select(F.max("seq")).scalar()
+    newest = spark.range(1).select(last).first()[0]
+    if newest is None or newest == former:
+        return former
+    rows = manifest.folded(log.where(F.col("seq") <= newest))
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{root}/_manifest/{CHECKPOINT}={newest:020d}")
+    covered = spark.read.schema(manifest.SCHEMA).parquet(*[literal(unquote(f)) for f in files])
+    per_file = covered.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.max("seq").alias("last"))
+    for r in per_file.where(F.col("last") <= newest).collect():  # files since the last checkpoint
+        remove(spark, unquote(r.file))
+    if path_exists(spark, f"{root}/_batches"):
+        fold_list(spark, root)
+    return newest
+
+
 def run_entities(
     spark: SparkSession,
     snapshot: str,
@@ -52,6 +87,7 @@ def run_entities(
     mode: str = "lenient",
     files_per_batch: int = FILES_PER_TRIGGER,
     max_errors: int = MAX_ERRORS,
+    replace_children: bool = False,
 ) -> DataFrame:
     """Load the entity folders of a snapshot as the manifest says, and return the state afterwards.
 
@@ -60,7 +96,7 @@ def run_entities(
     partition first, and each is noted as started before and as done or failed after its batch. So
     a file that failed, was added or belongs to an entity that was reset is read by the next run,
     and one that is done is not. An entity is completed if no file of it failed; one that fails
-    is noted and does not keep the others from being loaded.
+    is noted and does not keep the others from being loaded. ``replace_children``: see `ingest_batch`.
     """
     prepare(spark)
     order = [r.entity for r in manifest.resume(log_of(spark, root), entities).orderBy("place").collect()]
@@ -77,7 +113,7 @@ def run_entities(
                 part = files[at : at + files_per_batch]
                 note(spark, root, entity, "in_progress", files=part)
                 lines = scan_lines(spark, folder, files=part).drop("_row")
-                failed += ingest_batch(spark, lines, entity, root, next_batch(spark, root), mode, max_errors)
+                failed += ingest_batch(spark, lines, entity, root, next_batch(spark, root), mode, max_errors, replace_children)
                 _note_empty(spark, root, entity, part)
             if not failed:
                 note(spark, root, entity, "entity_done")
