@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 from urllib.parse import unquote
 
@@ -9,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfmark.sources.snapshot import literal
+
 # How much of a log is looked at, and the mark of an error line.
 LOG_TAIL = 50
 ERROR_MARK = "ERROR"
@@ -34,11 +37,23 @@ def scan_csv(spark: SparkSession, path: str, ddl: str, multi_line: bool = True)
         headers.setdefault(r.header, []).append(unquote(r.file))
     parts = []
     for header in sorted(headers):
-        rows = spark.read.options(**options).csv(sorted(headers[header]))
-        parts.append(rows.select(*[_typed(rows, f).alias(f.name) for f in wanted.fields]))
+        # the names of columns are found by a listing of its own that takes names of files as patterns again
+        odd = [f for f in headers[header] if literal(f) != f]
+        for files in (sorted(set(headers[header]) - set(odd)), sorted(odd)):
+            if files:
+                reader = spark.read.options(**options)
+                rows = (reader.schema(_header_schema(header)) if files[0] in odd else reader).csv([literal(f) for f in files])
+                parts.append(rows.select(*[_typed(rows, f).alias(f.name) for f in wanted.fields]))
     return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], wanted)
 
 
+def _header_schema(header: str) -> T.StructType:
+    """The columns of a header line as text; repeated and empty names get their place behind them."""
+    names = next(csv.reader([header]), [])
+    unique = [n if n and names.count(n) == 1 else f"{n or '_c'}{i}" for i, n in enumerate(names)]
+    return T.StructType([T.StructField(n, T.StringType()) for n in unique])
+
+
 def _typed(rows: DataFrame, f: T.StructField):
     if f.name not in rows.columns:
         return F.lit(None).cast(f.dataType)
@@ -76,7 +91,7 @@ def scan_log(spark: SparkSession, path: str, tail: int = LOG_TAIL) -> DataFrame:
     newest = newest_file(files).first()
     if newest is None:
         return spark.createDataFrame([], "value string")
-    lines = spark.read.text(newest.file).select(
+    lines = spark.read.text(literal(newest.file)).select(
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
         F.trim("value").alias("value"),

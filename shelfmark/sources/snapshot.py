@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,11 @@ PARTITION = "updated_date"
 GZ = "*.gz"
 
 
+def literal(name: str) -> str:
+    """A file's name as readers take it for that file alone: they would read ``[``, ``{``, ``*`` and ``?`` as patterns."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", name)
+
+
 def list_files(spark: SparkSession, path: str, entity: str, pattern: str = GZ) -> DataFrame:
     """(entity, file, partition, bytes, modified) of the matching files; contents are not read.
 
@@ -68,7 +74,7 @@ def scan_lines(
     if files is None:
         lines = reader.option("pathGlobFilter", pattern).text(path)
     else:
-        lines = reader.text([unquote(f) for f in files])
+        lines = reader.text([literal(unquote(f)) for f in files])
     lines = scan_window(lines, start, end, PARTITION)
     return lines.select(*_origin(lines.columns), "value")
 
