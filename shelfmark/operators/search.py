@@ -32,6 +32,8 @@ def top_k(rows: DataFrame, by: str, k: int, tie: str) -> DataFrame:
 
 def wanted_tokens(terms: Sequence[str]) -> Column:
     """The different tokens of the terms, cut as texts are: a term of two words gives two."""
+    if not terms:
+        return F.array().cast("array<string>")
     return F.array_distinct(F.flatten(F.array(*[tokens(F.lit(t)) for t in terms])))
 
 
@@ -40,11 +42,11 @@ def keyword(
 ) -> DataFrame:
     """Rows whose text has all (or any) of the terms' tokens; ``rank`` adds how many it has, ``hits``.
 
-    A text is cut once: the one-element explode keeps filter and count on the same tokens.
+    Terms without any token match no row. A text is cut once: the one-element explode keeps filter and count on the same tokens.
     """
     wanted = wanted_tokens(terms)
     cut = rows.select("*", F.explode(F.array(tokens(F.col(column)))).alias("_tokens"))
-    kept = cut.where(_matches(F.col("_tokens"), wanted, match))
+    kept = cut.where((F.size(wanted) > 0) & _matches(F.col("_tokens"), wanted, match))
     if rank:
         hits = F.size(F.filter("_tokens", lambda t: F.array_contains(wanted, t)))
         kept = kept.withColumn("hits", hits)
