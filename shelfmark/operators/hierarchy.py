@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.plans.catalog import TAXONOMY
@@ -46,6 +46,25 @@ def assemble(children: DataFrame, parent_key: str, size: int = PAGE) -> DataFram
     return paged.withColumn("items", F.transform("items", lambda item: item.dropFields("_pos")))
 
 
+def reassemble(
+    parents: DataFrame, children: DataFrame, parent_key: str, parent_id: str = "id", size: int = PAGE
+) -> DataFrame:
+    """All columns of each parent with its children as pages of ``items``: records back from stored tables.
+
+    ``children`` are current rows that kept their origin (`resolve` with ``keep=ARRIVAL``). Those of one
+    parent may have come with several of its versions; they stand in order of version and position, each
+    version in pages of its own, numbered through by ``page``. A parent without children has one row with
+    an empty list. Children without a parent are left out.
+    """
+    pages = assemble(children, parent_key, size).withColumnRenamed("page", "_page")
+    # one row a version and page: a few for most parents, and pages of a busy one are far fewer than its children
+    through = Window.partitionBy(parent_key).orderBy("_file", "_row", "_page")
+    pages = pages.withColumn("page", F.row_number().over(through) - 1)
+    met = parents.join(pages.withColumnRenamed(parent_key, "_parent"), F.col(parent_id) == F.col("_parent"), "left")
+    empty = F.array().cast(pages.schema["items"].dataType)
+    return met.select(*[parents[c] for c in parents.columns], F.coalesce("page", F.lit(0)).alias("page"), F.coalesce("items", empty).alias("items"))
+
+
 def compare_counts(
     declared: DataFrame, facts: DataFrame, keys: Sequence[str], declared_count: str
 ) -> DataFrame:

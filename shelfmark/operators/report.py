@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Collection, Mapping
 from functools import reduce
 
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.scalars import pretty_size
 from shelfmark.operators import manifest
-from shelfmark.plans.catalog import TABLES
+from shelfmark.operators.publish import resolve
+from shelfmark.plans.catalog import TABLES, default_of, ensure_tables
 
 # Fixed value: a metric above this raises an alert.
 THRESHOLD = 90.0
@@ -53,6 +55,61 @@ def catalog_stats(spark: SparkSession, database: str) -> DataFrame:
     return table_stats({n: spark.table(f"`{database}`.`{n}`") for n in names}, schema=database)
 
 
+def fill_tables(spark: SparkSession, root: str, database: str, names: Collection[str] | None = None) -> list[str]:
+    """Put the current rows of the loaded tables into the catalog's tables, with statistics; their names.
+
+    The tables are created as the model says, with defaults and comments. Columns that were not loaded
+    take their default, or NULL. Row counts and sizes, and minimum, maximum and distinct values of plain
+    columns, are computed once here, so that `described` and `analysed` read no data.
+    """
+    filled = []
+    for name in names or TABLES:
+        rows = resolve(spark, root, name)
+        if rows is None:
+            continue
+        ensure_tables(spark, database, [name])
+        spec, table = TABLES[name], f"`{database}`.`{name}`"
+        columns = [F.col(f.name) if f.name in rows.columns else F.expr(default_of(f) or "NULL").cast(f.type).alias(f.name) for f in spec.fields]
+        rows.select(*columns).write.insertInto(table, overwrite=True)
+        plain = ", ".join(f"`{f.name}`" for f in spec.fields if "<" not in f.type and f.type != "variant")
+        spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR COLUMNS {plain}")
+        filled.append(name)
+    return filled
+
+
+def analysed(spark: SparkSession, database: str) -> DataFrame:
+    """(table_name, row_count, bytes) as the catalog's statistics say; NULL for a table never analysed."""
+    found = []
+    for table in spark.catalog.listTables(database):  # metadata
+        rows = spark.sql(f"DESCRIBE EXTENDED `{database}`.`{table.name}`").where("col_name = 'Statistics'").collect()
+        said = re.findall(r"(\d+) (bytes|rows)", rows[0].data_type) if rows else []
+        found.append((table.name, *({unit: int(n) for n, unit in said}.get(u) for u in ("rows", "bytes"))))
+    return spark.createDataFrame(found, "table_name string, row_count bigint, bytes bigint")
+
+
+def described(spark: SparkSession, database: str) -> DataFrame:
+    """(table_name, place, column_name, data_type, comment) of all columns of a database's tables."""
+    found = []
+    for table in spark.catalog.listTables(database):  # metadata
+        columns = spark.catalog.listColumns(f"`{database}`.`{table.name}`")
+        found += [(table.name, n, c.name, c.dataType, table.description) for n, c in enumerate(columns)]
+    return spark.createDataFrame(found, "table_name string, place int, column_name string, data_type string, comment string")
+
+
+def compare_with_model(spark: SparkSession, database: str) -> DataFrame:
+    """(table_name, column_name, problem): where a database's tables and the model differ.
+
+    ``missing`` and ``unknown`` columns as in `column_diff`, and ``type <found> instead of <wanted>``.
+    Tables of the model that are not in the database count with all their columns.
+    """
+    found = described(spark, database).select("table_name", "column_name", "data_type")
+    rows = [(t.name, f.name, f.type) for t in TABLES.values() for f in t.fields]
+    wanted = spark.createDataFrame(rows, "table_name string, column_name string, wanted string")
+    other = found.join(wanted, ["table_name", "column_name"]).where(F.col("data_type") != F.col("wanted"))
+    types = other.select("table_name", "column_name", F.concat(F.lit("type "), "data_type", F.lit(" instead of "), "wanted").alias("problem"))
+    return column_diff(wanted.drop("wanted"), found.drop("data_type")).unionByName(types)
+
+
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN `{database}`").select("namespace", "tableName").orderBy("tableName")
 

@@ -488,6 +488,11 @@ _COLUMN_DEFAULTS = {
 }
 
 
+def default_of(f: Field) -> str | None:
+    """The SQL of a column's default in the target tables."""
+    return _COLUMN_DEFAULTS.get((f.name, f.type))
+
+
 def _default(f: Field) -> str:
-    value = _COLUMN_DEFAULTS.get((f.name, f.type))
+    value = default_of(f)
     return f" DEFAULT {value}" if value else ""
