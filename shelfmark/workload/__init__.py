@@ -6,6 +6,7 @@ from shelfmark.workload import (  # noqa: F401
     searching,
     shredding,
     state,
+    stored,
     upserts,
 )
 from shelfmark.workload.registry import ORACLES, QUERIES  # noqa: F401
