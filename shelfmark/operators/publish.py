@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.operators import clustered
@@ -26,7 +26,7 @@ from shelfmark.plans.catalog import ENTITIES, TABLES
 PARALLEL_WRITES = 4
 _ROW = (
     "batch bigint, kind string, tables array<string>, reaches bigint, "
-    "pieces array<struct<path: string, low: string, high: string, n_rows: bigint>>"
+    "pieces array<struct<path: string, low: string, high: string, n_rows: bigint>>, counts map<string, bigint>"
 )
 _LIST_SCHEMA = f"{_ROW}, at timestamp"
 
@@ -93,24 +93,34 @@ def publish(
 ) -> None:
     """Write all tables of a batch, then make them visible with one appended row.
 
-    The tables do not depend on each other, so their jobs are submitted side by side.
+    The tables do not depend on each other, so their jobs are submitted side by side. Their rows are
+    counted as they are written (`batch_counts`).
     """
 
-    def write(item: tuple[str, DataFrame]) -> None:
+    def write(item: tuple[str, DataFrame]) -> tuple[str, int]:
         name, rows = item
-        rows.write.mode("overwrite").parquet(_place(root, name, batch, kind))
+        seen = Observation()
+        rows.observe(seen, F.count("*").alias("n")).write.mode("overwrite").parquet(_place(root, name, batch, kind))
+        return name, seen.get["n"]
 
     with ThreadPoolExecutor(max_workers=PARALLEL_WRITES) as pool:
-        list(pool.map(write, tables.items()))
-    _announce(spark, root, batch, kind, sorted(tables), batch if reaches is None else reaches)
+        counts = dict(pool.map(write, tables.items()))
+    _announce(spark, root, batch, kind, sorted(tables), batch if reaches is None else reaches, counts=counts)
+
+
+def batch_counts(spark: SparkSession, root: str) -> DataFrame:
+    """(batch, kind, table_name, n_rows) as observed while each table of each listed batch was written."""
+    listed = _published(spark, root).dropDuplicates(["batch", "kind"])
+    return listed.select("batch", "kind", F.explode("counts").alias("table_name", "n_rows"))
 
 
 def _announce(
-    spark: SparkSession, root: str, batch: int, kind: str, tables: Sequence[str], reaches: int, pieces: Sequence[Piece] | None = None
-) -> None:
+    spark: SparkSession, root: str, batch: int, kind: str, tables: Sequence[str], reaches: int,
+    pieces: Sequence[Piece] | None = None, counts: Mapping[str, int] | None = None,
+) -> None:
     """Make what was written visible with one appended row."""
     listed = None if pieces is None else [(p.path, p.low, p.high, p.n_rows) for p in pieces]
-    made = spark.createDataFrame([(batch, kind, list(tables), reaches, listed)], _ROW)
+    made = spark.createDataFrame([(batch, kind, list(tables), reaches, listed, counts)], _ROW)
     made.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{root}/_batches")
 
 
@@ -247,9 +257,9 @@ def _current(rows: DataFrame, table: str, markers: DataFrame | None, newest_by:
 
 
 def find(
-    spark: SparkSession, root: str, table: str, values: Sequence, newest_by: str | None = None
+    spark: SparkSession, root: str, table: str, wanted: Sequence | DataFrame, newest_by: str | None = None
 ) -> DataFrame | None:
-    """The current rows whose leading key column is one of ``values``.
+    """The current rows whose leading key column is one of ``wanted``: values, or a table of one column.
 
     Of a base cut by key only the pieces are opened whose bounds hold a value.
     """
@@ -259,14 +269,17 @@ def find(
     key = TABLES[table].key[0]
     only = None
     pieces = pieces_of(spark, root, table, visible[0][1]) if visible[0][0] == "base" else None
-    if pieces:
-        wanted = sorted(str(v) for v in values)
-        only = [n for n, p in enumerate(pieces) if any(p.low <= v <= p.high for v in wanted)]
-        if not only and len(visible) == 1:
-            only = [0]  # for the columns
-    rows = arrivals(spark, root, table, visible, only).where(F.col(key).isin(*values))
-    markers = _markers(spark, root, table, visible)
-    return _current(rows, table, markers, newest_by, ())
+    if isinstance(wanted, DataFrame):
+        keys = wanted.toDF(key).distinct()
+        only = clustered.touched(pieces, keys) if pieces else None
+    elif pieces:
+        texts = [str(v) for v in wanted]
+        only = [n for n, p in enumerate(pieces) if any(p.low <= v <= p.high for v in texts)]
+    if pieces and not only and len(visible) == 1:
+        only = [0]  # for the columns
+    rows = arrivals(spark, root, table, visible, only)
+    rows = rows.join(keys, key, "left_semi") if isinstance(wanted, DataFrame) else rows.where(F.col(key).isin(*wanted))
+    return _current(rows, table, _markers(spark, root, table, visible), newest_by, ())
 
 
 def _touched(
@@ -310,7 +323,8 @@ def merge(
     if not rest and not made:  # nothing is left of the table
         publish(spark, root, base, {table: rows}, "base", newest)
         return newest
-    _announce(spark, root, base, "base", [table], newest, sorted([*rest, *made], key=clustered.by_bounds))
+    pieces = sorted([*rest, *made], key=clustered.by_bounds)
+    _announce(spark, root, base, "base", [table], newest, pieces, {table: sum(p.n_rows for p in pieces)})
     return newest
 
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.operators import postings, report
+from shelfmark.operators import lookups, postings, report
 from shelfmark.operators.hierarchy import reassemble
 from shelfmark.operators.parse import parse_lines
-from shelfmark.operators.publish import compact, find, merge, publish, resolve
-from shelfmark.operators.quality import audit
+from shelfmark.operators.publish import batch_counts, compact, find, merge, publish, resolve
+from shelfmark.operators.quality import audit, violations
 from shelfmark.operators.search import top_k
 from shelfmark.operators.shred import bad_values, shape
 from shelfmark.operators.similar import similar_names
@@ -74,6 +74,23 @@ def q_find_key(spark, sf):
     return find(spark, _clustered_orders(spark, sf), "authors", wanted).select("id", "display_name")
 
 
+@query(
+    "q_lookup_index",
+    f"""
+WITH a AS (SELECT {_ID} id, CASE WHEN o_orderkey % 997 = 1 THEN 'odd' WHEN {_TOP} THEN 'late' ELSE o_orderpriority END display_name
+           FROM orders WHERE o_orderkey % 10 <> 0 OR {_TOP} OR o_orderkey % 997 = 1)
+SELECT id, display_name, 'equal' kind FROM a WHERE display_name IN ('1-URGENT', 'odd', 'nobody')
+UNION ALL SELECT id, display_name, 'between' FROM a WHERE display_name >= '2' AND display_name <= '3'""",
+)
+def q_lookup_index(spark, sf):
+    """Rows found by the values of a column other than the key, through an index of each part of the table."""
+    root = _clustered_orders(spark, sf)
+    equal = lookups.lookup(spark, root, "authors", "display_name", ["1-URGENT", "odd", "nobody"])
+    range_ = lookups.between(spark, root, "authors", "display_name", "2", "3")
+    found = equal.withColumn("kind", F.lit("equal")).unionByName(range_.withColumn("kind", F.lit("between")))
+    return found.select("id", "display_name", "kind")
+
+
 _TOPIC_OF = "'W' || lpad(CAST(l_orderkey AS VARCHAR), 12, '0') work_id, 'T' || l_partkey topic_id"
 
 
@@ -145,6 +162,34 @@ def q_replace_ingest(spark, sf):
     return resolve(spark, _replaced_authors(spark, sf), "authors_concepts").select("author_id", "concept_id")
 
 
+@query(
+    "q_batch_counts",
+    """
+SELECT 'authors' table_name, count(*) + count(*) FILTER (c_nationkey % 2 = 0) n_rows FROM customer
+UNION ALL SELECT 'authors_concepts', 2 * count(*) + 2 * count(*) FILTER (c_nationkey % 2 = 0) FROM customer""",
+)
+def q_batch_counts(spark, sf):
+    """Rows that two runs have written, as observed on the writes themselves."""
+    counts = batch_counts(spark, _replaced_authors(spark, sf)).where("kind = 'batch' AND table_name IN ('authors', 'authors_concepts')")
+    return counts.groupBy("table_name").agg(F.sum("n_rows").alias("n_rows"))
+
+
+@query(
+    "q_author_positions",
+    """
+SELECT 'W' || l_orderkey work_id, 'A' || l_suppkey author_id, CASE l_returnflag WHEN 'R' THEN 'second' ELSE lower(l_linestatus) END author_position
+FROM lineitem WHERE l_returnflag <> 'A'""",
+)
+def q_author_positions(spark, sf):
+    """Authorships whose position is none of the allowed ones."""
+    flag, status = F.col("l_returnflag"), F.lower("l_linestatus")
+    rows = load(spark, sf, "lineitem").select(
+        F.concat(F.lit("W"), "l_orderkey").alias("work_id"), F.concat(F.lit("A"), "l_suppkey").alias("author_id"),
+        F.when(flag == "A", F.when(F.col("l_linenumber") % 4 == 0, None).otherwise("last")).when(flag == "R", "second").otherwise(status).alias("author_position"),
+    )
+    return violations({"works_authorships": rows}, "works_authorships", "check:author_position")
+
+
 @query(
     "q_assemble_resolved",
     f"""

@@ -9,7 +9,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from shelfmark.operators import clustered, manifest, postings, publish as P, report, search
+from shelfmark.operators import clustered, lookups, manifest, postings, publish as P, report, search
 from shelfmark.operators.hierarchy import reassemble
 from shelfmark.operators.quality import audit, validate
 from shelfmark.operators.similar import similar_names
@@ -106,6 +106,32 @@ def test_a_merge_opens_what_a_batch_touches(spark, tmp_path):
     assert all(c in P.resolve(spark, root, table, keep=ARRIVAL).columns for c in ARRIVAL)
 
 
+def test_a_lookup_by_value_opens_a_few_files(spark, tmp_path):
+    """Values of a column other than the key, over many pieces, with replaced rows in a later batch."""
+    root, table = str(tmp_path / "root"), "works"
+
+    def batch(low, high, name):
+        return spark.range(low, high).select(
+            F.concat(F.lit("W"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("id"), F.concat(F.lit(name), F.col("id")).alias("doi"),
+            F.lit("f").alias("_file"), F.col("id").alias("_row"), F.lit(0).alias("_pos"),
+        )
+
+    P.publish(spark, root, 0, {table: batch(0, 4_000, "10/")})
+    P.merge(spark, root, table, piece_rows=50)
+    lookups.index(spark, root, table, "doi", piece_rows=50)
+    found = lookups.lookup(spark, root, table, "doi", ["10/77", "10/2500", "10/x"])
+    assert _rows(found.select("id", "doi")) == [("W00077", "10/77"), ("W02500", "10/2500")]
+    assert len([f for f in found.inputFiles() if f"/{table}/" in f]) <= 3 and len([f for f in found.inputFiles() if "_lookups" in f]) <= 4
+    P.publish(spark, root, 2, {table: batch(70, 80, "new/")})
+    assert lookups.lookup(spark, root, table, "doi", ["10/77"]).collect() == []
+    got = lookups.lookup(spark, root, table, "doi", ["new/77", "10/81"])
+    assert _rows(got.select("id", "doi")) == [("W00077", "new/77"), ("W00081", "10/81")]
+    assert lookups.between(spark, root, table, "doi", "new/7", "new/75").count() == 6
+    assert lookups.index(spark, root, table, "doi") == []
+    counts = {(r.batch, r.kind): r.n_rows for r in P.batch_counts(spark, root).collect()}
+    assert counts == {(0, "batch"): 4_000, (1, "base"): 4_000, (2, "batch"): 10}
+
+
 def test_an_empty_table_can_be_merged(spark, tmp_path):
     root = str(tmp_path / "root")
     assert P.merge(spark, root, "works_concepts") is None
