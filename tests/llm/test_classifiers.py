@@ -102,6 +102,64 @@ def test_fit_follows_its_likelihood():
             assert loss(model.weights + move[:2], model.thresholds + move[2:]) > best
 
 
+def _plain_fit(x, grade, top, ridge=1e-4, steps=6000):
+    """Dense gradient steps on the same likelihood; tails of every text. Thresholds are kept in order by their log distances."""
+    n = len(grade)
+    z = (x - x.mean(axis=0)) / (x.std(axis=0) + 1e-9)
+    w, first, gaps = np.zeros(z.shape[1]), 0.0, np.zeros(top - 1)
+    theta = np.concatenate([[first], gaps, w])
+    speed, rate = np.zeros_like(theta), 4.0 / (1 + z.shape[1])
+
+    def tails(t):
+        cuts = np.cumsum(np.concatenate([t[:1], np.exp(t[1:top])]))
+        return 1 / (1 + np.exp(-np.clip((z @ t[top:])[:, None] - cuts, -60, 60)))
+
+    for _ in range(steps):
+        ahead = theta + 0.95 * speed
+        p = np.concatenate([np.ones((n, 1)), tails(ahead), np.zeros((n, 1))], axis=1)
+        upper, lower = p[np.arange(n), grade], p[np.arange(n), grade + 1]
+        like = np.maximum(upper - lower, 1e-12)
+        up, low = upper * (1 - upper) / like, lower * (1 - lower) / like
+        by_cut = np.array([(up[grade == k + 1].sum() - low[grade == k].sum()) / n for k in range(top)])
+        chain = np.concatenate([[1.0], np.exp(ahead[1:top])])
+        slope = np.concatenate([np.cumsum(by_cut[::-1])[::-1] * chain, z.T @ (low - up) / n + ridge * ahead[top:]])
+        speed = 0.95 * speed - rate * slope
+        theta = theta + speed
+    return tails(theta)
+
+
+def test_grades_equal_a_plain_fit(spark):
+    """The queries' columns from a dense fit by plain gradient steps, on 300 labelled texts."""
+    docs, labels = (common.read(spark, "/root/testdata/sf0.01", t) for t in ("documents", "labels"))
+    some = docs.join(labels, "doc_id").where("text is not null").orderBy("doc_id").limit(300).cache()
+    model = quality.train(some, some)
+    got = {r.doc_id: r for r in quality.grade(some, model).collect()}
+    rows = some.orderBy("doc_id").collect()
+    texts = pa.array([r.text for r in rows])
+    x = ordinal.dense(texts, model.columns)
+    thin = x[:, 2] < np.log1p(quality.THIN) / 10 - 1e-12
+    grade = np.where([r.quality > 0 for r in rows], np.where(thin, 1, 2), 0)
+    tails = _plain_fit(x, grade, int(grade.max()))
+    for r, t in zip(rows, tails, strict=True):
+        assert got[r.doc_id].keep == (t[0] >= 0.5) or abs(t[0] - 0.5) < 0.05
+        assert got[r.doc_id].expected_grade == pytest.approx(t.sum(), abs=0.1)
+    toxic = toxicity.train(some, some)
+    found = {r.doc_id: r for r in toxicity.grade(some, toxic).collect()}
+    x = ordinal.dense(texts, toxic.columns)
+    label = np.array([r.toxic for r in rows])
+    grades = toxicity.severities(toxic.columns, ordinal.Sparse.of(x), label)
+    tails = _plain_fit(x, grades, max(1, int(grades.max())))
+    for r, t in zip(rows, tails, strict=True):
+        assert found[r.doc_id].toxic == (t[0] > 0.5) or abs(t[0] - 0.5) < 0.05
+
+
+def test_a_repeated_id_counts_with_its_first_text(spark):
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (1, None), (2, "x"), (3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 0), (3, 1), (4, 1)], "doc_id long, quality int")
+    got = ordinal.sample(docs, labels, F.col("quality"), 2)
+    assert sorted(map(tuple, got.collect())) == [(1, "a", 1), (2, "x", 0)]  # labels without a text take no place
+
+
 def test_scores_equal_features_times_weights(odd_texts):
     texts = pa.array([*odd_texts[:200], None, "a a b A! a\tb"])
     doc, column, value = ordinal.features(texts)
