@@ -30,7 +30,7 @@ def test_stages_hand_on_what_they_keep(spark, small):
         seen.append(tables[-1].collect())
     good = {r.doc_id for r in quality.grade(docs, quality.train(docs, labels)).where("keep").collect()}
     assert {r.doc_id for r in seen[1]} == good
-    toxic = toxicity.grade(tables[1], toxicity.train(tables[1], labels)).where("toxic")
+    toxic = toxicity.grade(tables[1], toxicity.train(docs, labels)).where("toxic")
     assert {r.doc_id for r in seen[2]} == good - {r.doc_id for r in toxic.collect()}
     groups = neardup.groups(tables[2], neardup.Plan(5, 80)).collect()
     assert sorted(r.doc_id for r in seen[3]) == sorted({r.component_id for r in groups})
