@@ -53,13 +53,15 @@ def reassemble(
 
     ``children`` are current rows that kept their origin (`resolve` with ``keep=ARRIVAL``). Those of one
     parent may have come with several of its versions; they stand in order of version and position, each
-    version in pages of its own, numbered through by ``page``. A parent without children has one row with
+    version in pages of its own, in order of ``page``. A parent without children has one row with
     an empty list. Children without a parent are left out.
     """
-    pages = assemble(children, parent_key, size).withColumnRenamed("page", "_page")
-    # one row a version and page: a few for most parents, and pages of a busy one are far fewer than its children
-    through = Window.partitionBy(parent_key).orderBy("_file", "_row", "_page")
-    pages = pages.withColumn("page", F.row_number().over(through) - 1)
+    version = [parent_key, "_file", "_row"]
+    # a row a version: few for each parent, whereas a busy parent's pages are never brought together
+    before = Window.partitionBy(parent_key).orderBy("_file", "_row").rowsBetween(Window.unboundedPreceding, -1)
+    versions = children.groupBy(*version).agg((F.floor(F.max("_pos") / F.lit(size)) + 1).alias("_pages"))
+    versions = versions.select(*version, F.coalesce(F.sum("_pages").over(before), F.lit(0)).alias("_before"))
+    pages = assemble(children, parent_key, size).join(versions, version).withColumn("page", F.col("_before") + F.col("page"))
     met = parents.join(pages.withColumnRenamed(parent_key, "_parent"), F.col(parent_id) == F.col("_parent"), "left")
     empty = F.array().cast(pages.schema["items"].dataType)
     return met.select(*[parents[c] for c in parents.columns], F.coalesce("page", F.lit(0)).alias("page"), F.coalesce("items", empty).alias("items"))
