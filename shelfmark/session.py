@@ -13,8 +13,8 @@ _SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # A union of two joins on one key may count as partitioned by it; if the adaptive plan then broadcasts
-    # one of the joins, a grouping above misses rows of the same key. So unions are dealt out anew.
+    # A union of two joins on one key would count as partitioned by it, and a grouping above have no
+    # exchange: that gave wrong rows under the adaptive plan (q_lookup_index). So unions are dealt out anew.
     "spark.sql.unionOutputPartitioning": "false",
 }
 
