@@ -33,7 +33,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     for name, value in settings.items():
         spark.sparkContext.environment.setdefault(name, value)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    # a grouping above a union must not rely on how both sides were dealt out before the adaptive plan changed one
+    # a grouping above a union must not rely on how both sides were dealt out: that gave wrong rows
     spark.conf.set("spark.sql.unionOutputPartitioning", "false")
     return spark
 
