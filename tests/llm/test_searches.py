@@ -147,3 +147,38 @@ def test_ids_that_repeat_with_other_vectors(spark):
     got = permindex.nearest(_table(spark, rows), "i = 0", 3).collect()
     assert sorted((round(r.score, 3), r["rank"], r.vec_id) for r in got if r["rank"] == 3) == [(0.958, 3, 6), (0.982, 3, 6)]
     assert all(r.vec_id == 5 for r in got if r["rank"] < 3) and len(got) == 6
+
+
+def test_top_k_over_many_shards(spark, monkeypatch):
+    """Clustered vectors, a busy one among them: a query goes to a few shards only, and loses nothing."""
+    monkeypatch.setattr(topk, "SHARD_ROWS", 64)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 16)
+    monkeypatch.setattr(topk, "GROUP", 4)
+    pick = np.random.default_rng(6)
+    centers = 3 * pick.normal(size=(25, 8))
+    rows = [(i, [1.0] * 8 if i % 3 == 0 else (centers[i % 25] + 0.05 * pick.normal(size=8)).tolist()) for i in range(1500)]
+    rows += [(9, [1.0] * 8)] * 300
+    got = topk.top_k(_table(spark, rows), "i % 20 = 0", 10).collect()
+    docs, ids = topk.whole(np.array([v for _, v in rows])), [i for i, _ in rows]
+    want = []
+    for q, v in rows:
+        if q % 20 == 0:
+            scores = (docs @ topk.whole(np.array(v))).astype(int).tolist()
+            want += [(q, *x) for x in _best(*zip(*[(i, s) for i, s in zip(ids, scores, strict=True) if i != q], strict=True), 10)]
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == sorted(want)
+
+    usable = topk.usable(_table(spark, rows), "vec_id", "embedding")
+    shards = topk.ordered(usable)
+    sizes = [r["count"] for r in shards.groupBy("shard").count().collect()]
+    assert sum(sizes) == usable.count() and max(sizes) < 200
+
+
+def test_floors_prune_blocks_of_other_shards():
+    pick = np.random.default_rng(7)
+    docs = topk.whole(np.repeat(pick.normal(size=(10, 16)), 50, axis=0) + 0.02 * pick.normal(size=(500, 16)))
+    ids = np.arange(500)
+    scores = (docs @ docs[0]).astype(int)
+    floor = np.sort(scores[1:])[-10]
+    found, best = topk.search(ids, docs, ids[:1], docs[:1], 10, floors=np.array([floor]))[0]
+    assert (best >= floor).all() and len(found) == 10
+    assert len(topk.search(ids, docs, ids[:1], docs[:1], 10, floors=np.array([scores.max() + 1]))[0][0]) == 0
