@@ -108,6 +108,38 @@ def summary(log: DataFrame) -> DataFrame:
     )
 
 
+def overview(log: DataFrame, order: Sequence[str] = tuple(ENTITIES)) -> DataFrame:
+    """:func:`summary` of every entity in ``order``; those without an event are in their initial state."""
+    places = log.sparkSession.createDataFrame([(e,) for e in order], "entity string")
+    zero = {c: F.coalesce(c, F.lit(0)) for c in ("n_files", "n_reports", "n_rows")}
+    known = places.join(summary(log), "entity", "left").withColumns(zero)
+    return known.withColumn("status", F.coalesce("status", F.lit(NOT_STARTED)))
+
+
+def progress(log: DataFrame, seconds: int = 300) -> DataFrame:
+    """What each entity finished in each stretch of ``seconds``, and all it had finished by its end.
+
+    (entity, since, n_files, n_rows, n_bad, rows_per_second, all_files, all_rows): files that were done or
+    failed, rows of the done ones, lines refused. Events before a reset count, as their work was done.
+    Stretches in which nothing ended have no row. Events are added up per stretch before the running sums.
+    """
+    ended = log.where(F.col("event").isin("done", "failed") & F.col("at").isNotNull())
+    since = F.window("at", f"{seconds} seconds")["start"].alias("since")
+    rows = F.when(F.col("event") == "done", F.col("n_rows"))
+    bad = F.coalesce("n_malformed", F.lit(0)) + F.coalesce("n_rejected", F.lit(0))
+    per = ended.groupBy("entity", since).agg(
+        F.count("*").alias("n_files"), F.coalesce(F.sum(rows), F.lit(0)).alias("n_rows"), F.sum(bad).alias("n_bad")
+    )
+    before = Window.partitionBy("entity").orderBy("since")
+    return per.withColumns(
+        {
+            "rows_per_second": F.col("n_rows") / F.lit(float(seconds)),
+            "all_files": F.sum("n_files").over(before),
+            "all_rows": F.sum("n_rows").over(before),
+        }
+    )
+
+
 def state(log: DataFrame) -> DataFrame:
     """The newest event of every (entity, file) since the last reset."""
     live = since_reset(log)
@@ -158,6 +190,14 @@ def resume(log: DataFrame, order: Sequence[str] = tuple(ENTITIES)) -> DataFrame:
     return listed.select(F.inline(F.filter("all", lambda e: e["place"] >= F.col("start"))))
 
 
+def done(files: DataFrame, log: DataFrame) -> DataFrame:
+    """``files`` (entity, file, and more) with ``file_done`` and ``entity_done``: all asked at once."""
+    finished = completed_files(log).withColumn("file_done", F.lit(True))
+    whole = summary(log).select("entity", (F.col("status") == COMPLETED).alias("entity_done"))
+    flags = {c: F.coalesce(c, F.lit(False)) for c in ("file_done", "entity_done")}
+    return files.join(finished, ["entity", "file"], "left").join(whole, "entity", "left").withColumns(flags)
+
+
 def is_file_done(log: DataFrame, entity: str, file: str) -> bool:
     found = completed_files(log).where((F.col("entity") == entity) & (F.col("file") == file))
     return not found.isEmpty()

@@ -162,3 +162,21 @@ def run_report(
         "errors": manifest.tail_errors(errors),
         "alerts": alerts(run_metrics(log), thresholds or {}),
     }
+
+
+def report_rows(sections: Mapping[str, DataFrame]) -> DataFrame:
+    """The sections of :func:`run_report` as one table of (section, name, metric, value).
+
+    ``name`` is the table, entity or file that a row tells of, ``value`` is text, NULL where nothing is known.
+    """
+    told = {
+        "tables": ("table_name", ("row_count", "size")),
+        "state": ("entity", ("status", "last_file", "n_files", "n_rows")),
+        "errors": ("file", ("entity", "message")),
+        "alerts": ("file", ("metric", "value", "threshold")),
+    }
+    parts = []
+    for section, (name, metrics) in told.items():
+        pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("string").alias("value")) for m in metrics])
+        parts.append(sections[section].select(F.lit(section).alias("section"), F.col(name).alias("name"), F.inline(pairs)))
+    return reduce(DataFrame.unionByName, parts)

@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions import variants as V
 from shelfmark.operators.hierarchy import assemble, taxonomy_path
+from shelfmark.operators.parse import parse_lines
+from shelfmark.operators.shred import shred
 from shelfmark.operators.upsert import ARRIVAL, fold
-from shelfmark.plans.catalog import TAXONOMY
+from shelfmark.plans.catalog import ENTITIES, TAXONOMY
+from shelfmark.session import stored
 from shelfmark.workload import records as R
 from shelfmark.workload.registry import big, load, num, query, shown
 
@@ -570,3 +573,31 @@ def q_absent_vs_null(spark, sf):
         V.is_absent(F.col("v"), "$.k").alias("absent"),
         V.is_null(F.col("v"), "$.k").alias("null"),
     )
+
+
+_YEARLY = "works authors sources institutions domains fields subfields topics publishers".split()
+
+
+@query(
+    "q_entities",
+    " UNION ALL ".join(
+        f"""SELECT '{e}' entity, '{e}' table_name, 'id' "key", count(*) n_rows, count(DISTINCT c_custkey) n_keys FROM customer
+UNION ALL SELECT '{e}', '{e}_counts_by_year', '{e[:-1]}_id', count(*) + count(*) FILTER (c_nationkey % 2 = 0), count(DISTINCT c_custkey) FROM customer"""
+        for e in _YEARLY
+    ),
+)
+def q_entities(spark, sf):
+    """One record a customer as each of the entities: rows and parents in the record's and the yearly table."""
+    year = "named_struct('year', {}, 'works_count', c_nationkey, 'cited_by_count', 1)"
+    years = f"if(c_nationkey % 2 = 0, array({year.format(2020)}, {year.format(2021)}), array({year.format(2022)}))"
+    record = F.expr(f"to_json(named_struct('id', concat('X', c_custkey), 'display_name', c_name, 'counts_by_year', {years}))")
+    lines = load(spark, sf, "customer").select(F.lit("f").alias("_file"), F.col("c_custkey").alias("_row"), record.alias("value"))
+    parsed = stored(parse_lines(lines), "entities")
+    parts = []
+    for name, spec in ENTITIES.items():
+        made = shred(parsed, name)
+        for t in spec.tables:
+            if t.name in (name, f"{name}_counts_by_year"):
+                counts = made[t.name].agg(F.count("*").alias("n_rows"), F.count_distinct(t.key[0]).alias("n_keys"))
+                parts.append(counts.select(F.lit(name).alias("entity"), F.lit(t.name).alias("table_name"), F.lit(t.key[0]).alias("key"), "n_rows", "n_keys"))
+    return reduce(DataFrame.unionByName, parts)

@@ -283,3 +283,88 @@ SELECT event_id, strftime(ts, '%Y-%m-%d') AS "partition" FROM events WHERE CAST(
 def q_latest_partition(spark, sf):
     events = load(spark, sf, "events").select("event_id", F.to_date("ts").alias("partition"))
     return latest_partition(events).select("event_id", shown("partition"))
+
+
+_FIVE = "[" + ", ".join(f"'{e}'" for e in list(ENTITIES)[:5]) + "]"
+
+
+@query(
+    "q_state_all",
+    f"""
+WITH log AS (
+  SELECT event_id seq, ({_FIVE})[list_position(['view', 'signup', 'click', 'error', 'purchase'], event_type)] entity,
+         'f' || user_id AS "file", floor(value)::BIGINT n_rows, value > 300 AS over, value < 100 AS started FROM events),
+ends AS (SELECT entity, "file", arg_max(n_rows, seq) n FROM log WHERE NOT started GROUP BY 1, 2),
+s AS (SELECT entity, count(*) FILTER (NOT started) n_reports, bool_or(started) AS any_started, arg_max("file", seq) FILTER (started) last_file FROM log GROUP BY 1)
+SELECT o.entity, CASE WHEN any_started THEN 'in_progress' ELSE 'not_started' END status, last_file,
+       (SELECT count(*) FROM ends e WHERE e.entity = o.entity) n_files, coalesce(n_reports, 0) n_reports,
+       coalesce((SELECT CAST(sum(n) AS BIGINT) FROM ends e WHERE e.entity = o.entity), 0) n_rows
+FROM (SELECT unnest([{_ENTITY_LIST}]) entity) o LEFT JOIN s ON o.entity = s.entity""",
+)
+def q_state_all(spark, sf):
+    """All nine entities, of which five have events: the others are in their initial state."""
+    kinds = F.array(*[F.lit(k) for k in ("view", "signup", "click", "error", "purchase")])
+    names = F.array(*[F.lit(e) for e in list(ENTITIES)[:5]])
+    log = _log(spark, sf).withColumns(
+        {
+            "entity": F.get(names, F.array_position(kinds, F.col("message")).cast("int") - 1),
+            "file": F.regexp_extract("file", "^[^-]+", 0),
+        }
+    )
+    values = load(spark, sf, "events").select(F.col("event_id").alias("seq"), "value")
+    what = F.when(F.col("value") < 100, "in_progress").otherwise("done")
+    return M.overview(log.join(values, "seq").withColumn("event", what).drop("value")).drop("last_updated")
+
+
+@query(
+    "q_done_flags",
+    _LOG
+    + _PER_ENTITY
+    + """
+SELECT l.entity, l."file", count(*) FILTER (live."event" = 'done') > 0 file_done, coalesce(bool_or(s.status = 'completed'), FALSE) entity_done
+FROM (SELECT DISTINCT entity, "file" FROM log) l LEFT JOIN live ON l.entity = live.entity AND l."file" = live."file"
+LEFT JOIN s ON l.entity = s.entity GROUP BY 1, 2""",
+)
+def q_done_flags(spark, sf):
+    """Whether each file, and its entity, is done."""
+    log = _log(spark, sf)
+    return M.done(log.select("entity", "file").distinct(), log)
+
+
+@query(
+    "q_progress",
+    _LOG
+    + """
+, w AS (
+  SELECT entity, time_bucket(INTERVAL 300 SECOND, "at", TIMESTAMP '1970-01-01') since, count(*) n_files,
+         CAST(coalesce(sum(n_rows) FILTER ("event" = 'done'), 0) AS BIGINT) n_rows
+  FROM log WHERE "event" IN ('done', 'failed') GROUP BY 1, 2)
+SELECT entity, strftime(since, '%Y-%m-%d %H:%M:%S') since, n_files, n_rows, CAST(0 AS BIGINT) n_bad, ROUND(n_rows / 300.0, 4) rows_per_second,
+       CAST(sum(n_files) OVER b AS BIGINT) all_files, CAST(sum(n_rows) OVER b AS BIGINT) all_rows
+FROM w WINDOW b AS (PARTITION BY entity ORDER BY since)""",
+)
+def q_progress(spark, sf):
+    """Files and rows per five minutes, and up to then."""
+    told = M.progress(_log(spark, sf))
+    return told.withColumns({"since": F.date_format("since", "yyyy-MM-dd HH:mm:ss"), "rows_per_second": F.round("rows_per_second", 4)})
+
+
+@query(
+    "q_run_report",
+    _LOG
+    + _PER_ENTITY
+    + """
+, t AS (SELECT 'events' "name", (SELECT count(*) FROM events) n UNION ALL SELECT 'orders', (SELECT count(*) FROM orders)),
+e AS (SELECT * FROM log WHERE "event" IN ('error', 'failed') ORDER BY "at" DESC, seq DESC LIMIT 100),
+now_ AS (SELECT entity, "file", arg_max("event", seq) AS "event" FROM live GROUP BY 1, 2),
+m AS (SELECT "file" FROM now_ WHERE "event" IN ('done', 'failed'))
+SELECT 'tables' section, "name", unnest(['row_count', 'size']) metric, unnest([n::VARCHAR, NULL]) AS "value" FROM t
+UNION ALL SELECT 'state', s.entity, unnest(['status', 'last_file', 'n_files', 'n_rows']), unnest([status, last_file, n_files::VARCHAR, coalesce(n_rows, 0)::VARCHAR])
+  FROM s LEFT JOIN d ON s.entity = d.entity
+UNION ALL SELECT 'errors', "file", unnest(['entity', 'message']), unnest([entity, CASE WHEN "event" = 'error' THEN 'error' ELSE 'purchase' END]) FROM e
+UNION ALL SELECT 'alerts', "file", unnest(['metric', 'value', 'threshold']), unnest(['bad_share', '0.0', '-1.0']) FROM m""",
+)
+def q_run_report(spark, sf):
+    """All sections of the report; the alert's limit is below every share, so each ended file has one."""
+    tables = {t: load(spark, sf, t) for t in ("events", "orders")}
+    return report.report_rows(report.run_report(_log(spark, sf), tables, {"bad_share": -1.0}))

@@ -382,3 +382,26 @@ def q_catalog_stats(spark, sf):
     problems = report.compare_with_model(spark, database).groupBy("table_name").agg(F.count("*").alias("n_problems"))
     found = report.analysed(spark, database).join(problems, "table_name", "left")
     return found.select("table_name", "row_count", F.coalesce("n_problems", F.lit(0)).alias("n_problems"))
+
+
+@query(
+    "q_failed_batch",
+    f"""
+SELECT 'after failure' state, {_ID} id, o_orderpriority display_name FROM orders WHERE o_orderstatus <> 'P'
+UNION ALL SELECT 'after replay', {_ID}, CASE o_orderstatus WHEN 'P' THEN 'second' WHEN 'O' THEN 'second' ELSE o_orderpriority END FROM orders""",
+)
+def q_failed_batch(spark, sf):
+    """A batch that fails after its first table was written stays hidden; written again it is whole."""
+    root, orders = scratch(spark, "tables"), load(spark, sf, "orders")
+    publish(spark, root, 0, {"authors": _authors(orders.where("o_orderstatus <> 'P'"), "o_orderpriority")})
+    second = _authors(orders.where("o_orderstatus IN ('O', 'P')"), "'second'")
+    broken = second.withColumn("display_name", F.raise_error(F.lit("the disk is full")).cast("string"))
+    try:
+        publish(spark, root, 1, {"authors": second, "topics": broken})
+    except Exception as problem:  # noqa: BLE001
+        if "the disk is full" not in str(problem):
+            raise
+    failed = resolve(spark, root, "authors").withColumn("state", F.lit("after failure"))
+    publish(spark, root, 1, {"authors": second, "topics": second})
+    replayed = resolve(spark, root, "authors").withColumn("state", F.lit("after replay"))
+    return failed.unionByName(replayed).select("state", "id", "display_name")

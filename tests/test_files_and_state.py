@@ -218,6 +218,27 @@ def test_state_folds(spark):
     assert M.resume(done).count() == len(ENTITIES)  # all completed: start over
 
 
+def test_initial_state_flags_and_progress(spark):
+    at = dt.datetime(2024, 1, 1)
+    log = M.empty(spark)
+    assert {(r.entity, r.status, r.n_files, r.n_reports, r.n_rows, r.last_file) for r in M.overview(log).collect()} == {
+        (e, "not_started", 0, 0, 0, None) for e in ENTITIES
+    }
+    assert M.progress(log).count() == 0
+    steps = [("works", "done", "f1", 0, 10), ("works", "failed", "f2", 299, 5), ("works", "done", "f3", 300, 7), ("works", "entity_done", None, 301, None), ("authors", "done", None, 1, 3)]
+    for i, (entity, what, file, after, n) in enumerate(steps):
+        log = log.unionByName(M.event(spark, i, entity, what, at + dt.timedelta(seconds=after), file=file, n_rows=n, n_malformed=2 if what == "failed" else None))
+    got = {(r.entity, r.n_files, r.n_rows, r.n_bad, r.all_files, r.all_rows) for r in M.progress(log).collect()}
+    assert got == {("works", 2, 10, 2, 2, 10), ("works", 1, 7, 0, 3, 17), ("authors", 1, 3, 0, 1, 3)}
+    asked = spark.createDataFrame([("works", "f1"), ("works", "f2"), ("sources", "f1"), ("works", None)], "entity string, file string")
+    flags = {(r.entity, r.file): (r.file_done, r.entity_done) for r in M.done(asked, log).collect()}
+    assert flags == {("works", "f1"): (True, True), ("works", "f2"): (False, True), ("sources", "f1"): (False, False), ("works", None): (False, True)}
+    told = report.report_rows(report.run_report(log, {"works": asked}))
+    assert {(r.section, r["name"], r.metric, r.value) for r in told.collect()} >= {
+        ("tables", "works", "row_count", "4"), ("tables", "works", "size", None), ("state", "works", "status", "completed"), ("errors", "f2", "entity", "works"),
+    }
+
+
 def test_retention(spark):
     names = [
         "state_backup_20240101_000000.json", "state_backup_20240201_120000.json", "junk",
