@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import csv
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
@@ -16,25 +18,26 @@ from shelfmark.sources.snapshot import literal
 LOG_TAIL = 50
 ERROR_MARK = "ERROR"
 
+#: Files whose first lines are read at once.
+OPEN_FILES = 16
+
 
 def scan_csv(spark: SparkSession, path: str, ddl: str, multi_line: bool = True) -> DataFrame:
     """The CSV files of a folder, columns matched by name and cast to the declared types.
 
     Every file is read by its own header; declared columns that a file does not have become NULL.
+    Headers come with the listing: of each file the first line is read, by threads of the driver.
     Files of one header are read together. ``multi_line`` allows line breaks inside quoted values, at
     the price of one task a file; without such values turn it off.
     """
     options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line, "enforceSchema": False}
     wanted = T.StructType.fromDDL(ddl)
-    lines = spark.read.option("pathGlobFilter", "*.csv").text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row"), "value",
-        F.col("_metadata.file_block_start").alias("block"),
-    )
-    # one row a file: names of files and their headers
-    first = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "row").alias("header")).collect()
+    listed = spark.read.option("pathGlobFilter", "*.csv").text(path).inputFiles()
+    names = sorted({unquote(f) for f in listed if unquote(f).endswith(".csv")})
     headers: dict[str, list[str]] = {}
-    for r in first:
-        headers.setdefault(r.header, []).append(unquote(r.file))
+    for name, header in zip(names, first_lines(spark, names), strict=True):
+        if header is not None:
+            headers.setdefault(header, []).append(name)
     parts = []
     for header in sorted(headers):
         # the names of columns are found by a listing of its own that takes names of files as patterns again
@@ -47,6 +50,23 @@ def scan_csv(spark: SparkSession, path: str, ddl: str, multi_line: bool = True)
     return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], wanted)
 
 
+def first_lines(spark: SparkSession, names: Sequence[str]) -> list[str | None]:
+    """The first line of each of some files, None for an empty one. No more than a buffer's length is read."""
+    jvm, settings = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def first(name: str) -> str | None:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        stream = path.getFileSystem(settings).open(path)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        try:
+            return reader.readLine()
+        finally:
+            reader.close()
+
+    with ThreadPoolExecutor(OPEN_FILES) as pool:
+        return list(pool.map(first, names))
+
+
 def _header_schema(header: str) -> T.StructType:
     """The columns of a header line as text; repeated and empty names get their place behind them."""
     names = next(csv.reader([header]), [])

@@ -19,7 +19,7 @@ from shelfmark.operators.shred import shred
 from shelfmark.operators.upsert import ARRIVAL, upsert
 from shelfmark.plans.catalog import ENTITIES, TABLES, ensure_tables
 from shelfmark.sources import snapshot
-from shelfmark.sources.files import scan_csv, scan_log
+from shelfmark.sources.files import first_lines, scan_csv, scan_log
 from shelfmark.streaming.ingest import Progress, ingest_stream, manifest_of
 from shelfmark.streaming.runs import flat_load, note, run_entities
 
@@ -168,6 +168,23 @@ def test_csv_files_with_different_headers(spark, tmp_path):
     assert [tuple(r) for r in rows] == [(1, "a\nb", None), (2, "c", None), (3, None, 0.5), (4, "d", None)]
 
 
+def test_headers_come_with_the_listing(spark, tmp_path):
+    """No job reads the files for their headers; empty files and others than CSV files give none."""
+    folder = tmp_path / "many % x"
+    folder.mkdir()
+    for i in range(40):
+        (folder / f"part {i} [x].csv").write_text("id,näme\r\n" if i % 2 else f"näme,id\nb{i},{i}\n")
+    (folder / "none.csv").write_text("")
+    (folder / "notes.txt").write_text("id\n7\n")
+    spark.sparkContext.setJobGroup("headers", "first lines")
+    names = [str(f) for f in sorted(folder.iterdir())]
+    assert {h for h in first_lines(spark, names)} == {"id,näme", "näme,id", "id", None}
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("headers")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    rows = scan_csv(spark, str(folder), "id int, `näme` string").collect()
+    assert sorted(map(tuple, rows)) == [(i, f"b{i}") for i in range(0, 40, 2)]
+
+
 def test_merges_are_unique(spark):
     pairs = [("a", "b"), ("b", "c"), ("c", "d"), ("x", "y"), ("y", "x"), ("z", "x")] * 2
     merged = spark.createDataFrame(pairs, "original_id string, merged_into_id string")
