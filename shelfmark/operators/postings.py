@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.functions.text import tokens
+from shelfmark.functions.text import invert, placed_tokens
 from shelfmark.operators.publish import arrivals, path_exists, published, resolve, without_replaced
 from shelfmark.operators.search import wanted_tokens
 from shelfmark.operators.upsert import ARRIVAL
@@ -34,21 +34,11 @@ def _folder(root: str, table: str, column: str, part: tuple[str, int]) -> str:
 def postings(rows: DataFrame, column: str, keys: Sequence[str]) -> DataFrame:
     """(token, *keys, positions): where each token stands in the text of each row, from 0.
 
-    A row of the result is one of a text, so a text's own tokens are grouped without a shuffle: sorted by
-    token, each token's positions are a slice.
+    A row of the result is one of a text, so a text's own tokens are grouped without a shuffle.
     """
-    placed = F.transform(tokens(F.col(column)), lambda t, i: F.struct(t.alias("token"), i.alias("at")))
-    # the one-element explode keeps what follows from cutting the text again
-    cut = rows.select(*keys, F.explode(F.array(F.array_sort(placed))).alias("_all"))
-    cut = cut.select(*keys, "_all", F.transform("_all", lambda x: x["token"]).alias("_tokens"))
-    first = F.filter(
-        F.transform("_tokens", lambda t, i: F.when((i == 0) | (F.get("_tokens", i - 1) != t), i)), lambda i: i.isNotNull()
-    )
-    cut = cut.withColumn("_first", first)
-    runs = F.transform("_first", lambda a, n: F.struct(a.alias("a"), F.coalesce(F.get("_first", n + 1), F.size("_all")).alias("b")))
-    each = cut.select(*keys, "_all", F.explode(runs).alias("_run"))
-    inside = F.slice("_all", F.col("_run.a") + 1, F.col("_run.b") - F.col("_run.a"))
-    return each.select(F.get("_all", F.col("_run.a"))["token"].alias("token"), *keys, F.transform(inside, lambda x: x["at"]).alias("positions"))
+    cut = rows.select(*keys, placed_tokens(F.col(column)).alias("_placed"))
+    each = invert(cut, "_placed", keys).select(*keys, F.explode("words").alias("_word"))
+    return each.select("_word.token", *keys, "_word.positions")
 
 
 def index(spark: SparkSession, root: str, table: str, column: str) -> list[str]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfmark.functions.text import positions_of, rebuild_text, tokens
+from shelfmark.functions.text import invert, placed_tokens, positions_of, rebuild_text
 from shelfmark.operators import search
 from shelfmark.workload import records as R
 from shelfmark.workload.registry import big, load, num, query
@@ -116,18 +116,12 @@ def q_contains_all(spark, sf):
 
 def _abstracts(spark, sf):
     """Documents as works whose abstract is stored as {word: [positions]}."""
-    # moved once by document, so that both groupings below find their rows in place
-    words = (
-        load(spark, sf, "documents")
-        .select("doc_id", "text")
-        .repartition("doc_id")
-        .select("doc_id", F.posexplode(tokens(F.col("text"))).alias("pos", "word"))
-        .groupBy("doc_id", "word")
-        .agg(F.sort_array(F.collect_list("pos")).alias("at"))
-    )
-    # a group is one document, whose words were one row of the input
-    inverted = words.groupBy("doc_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("word", "at"))).alias("abstract_inverted_index")
+    texts = load(spark, sf, "documents").where(F.col("text").isNotNull())
+    # only texts move: those of one id (one, as a rule) are cut and inverted where they meet
+    held = texts.groupBy("doc_id").agg(F.collect_list("text").alias("_texts"))
+    inverted = held.select("doc_id", F.flatten(F.transform("_texts", placed_tokens)).alias("_placed"))
+    inverted = invert(inverted.where(F.size("_placed") > 0), "_placed", ["doc_id"]).select(
+        "doc_id", F.map_from_entries(F.transform("words", lambda w: F.struct(w["token"], w["positions"]))).alias("abstract_inverted_index")
     )
     lines = inverted.select(
         F.lit("documents").alias("_file"),
