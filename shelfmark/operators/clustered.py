@@ -83,15 +83,21 @@ def write_pieces(
     """Write ``rows`` in pieces below ``root``/``folder``; what was written, in order.
 
     One shuffle by range of the whole key, so that a busy parent's rows spread as well; rows are sorted
-    inside the files. ``starts`` are bounds that no piece may cross: rows from each on are cut apart.
+    inside the files. A task cuts its sorted rows into pieces as it writes them, so the keys sampled for the
+    ranges grow with the tasks and not with the pieces. ``starts`` are bounds that no piece may cross: rows
+    from each on are cut apart.
     """
     stretch = F.greatest(n_below(lead(keys), starts, inclusive=True) - 1, F.lit(0))
-    cut = rows.withColumn("range", stretch).repartitionByRange(max(1, -(-n_rows // piece_rows)), "range", lead(keys), *keys)
-    order = ["range", "cut", lead(keys), *keys]
-    cut = cut.withColumn("cut", F.spark_partition_id()).sortWithinPartitions(*order)
+    tasks = max(-(-n_rows // max(piece_rows, PIECE_ROWS)), 2 * rows.sparkSession.sparkContext.defaultParallelism)
+    order = [lead(keys), *keys]
+    cut = rows.withColumn("range", stretch).repartitionByRange(max(1, min(tasks, -(-n_rows // piece_rows))), "range", *order)
+    cut = cut.sortWithinPartitions("range", *order).withColumn("_id", F.monotonically_increasing_id())
+    # a piece is named by the number of its first row; the lower 33 bits count the rows of a task
+    inside = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) % F.lit(piece_rows)
+    cut = cut.withColumn("cut", F.col("_id") - inside).drop("_id").sortWithinPartitions("range", "cut", *order)
     cut.write.mode("overwrite").partitionBy("range", "cut").parquet(f"{root}/{folder}")
     # only the leading key column is read
-    schema = f"`{keys[0]}` {rows.schema[keys[0]].dataType.simpleString()}, range int, cut int"
+    schema = f"`{keys[0]}` {rows.schema[keys[0]].dataType.simpleString()}, range int, cut bigint"
     written = rows.sparkSession.read.schema(schema).parquet(f"{root}/{folder}")
     found = written.groupBy("range", "cut").agg(F.min(lead(keys)).alias("low"), F.max(lead(keys)).alias("high"), F.count("*").alias("n"))
     pieces = [Piece(f"{folder}/range={r.range}/cut={r.cut}", r.low, r.high, r.n) for r in found.collect()]
