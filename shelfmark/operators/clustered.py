@@ -8,7 +8,6 @@ only where one value of the leading column (a busy parent, say) fills more than
 from __future__ import annotations
 
 import json
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import pairwise
@@ -36,23 +35,20 @@ def lead(keys: Sequence[str]) -> Column:
 
 
 def n_below(value: Column, bounds: Sequence[str], inclusive: bool) -> Column:
-    """How many of the sorted ``bounds`` are below ``value`` (or equal): a search in two steps.
+    """How many of the sorted ``bounds`` are below ``value`` (or equal): a binary search.
 
-    The bounds are one constant; a value is compared with the square root of their number twice.
+    The bounds are one constant; a value is compared with as many of them as their number has bits.
     """
     if not bounds:
         return F.lit(0)
-    width = math.isqrt(len(bounds) - 1) + 1
+    held = F.from_json(F.lit(json.dumps(list(bounds))), "array<string>")
+    widths = F.array(*[F.lit(1 << bit) for bit in reversed(range(len(bounds).bit_length()))])
 
-    def array(values: Sequence[str]) -> Column:
-        return F.from_json(F.lit(json.dumps(list(values))), "array<string>")
+    def step(found: Column, width: Column) -> Column:
+        bound = F.get(held, found + width - 1)  # NULL behind the last
+        return F.when(bound <= value if inclusive else bound < value, found + width).otherwise(found)
 
-    def count(values: Column) -> Column:
-        return F.size(F.filter(values, lambda b: b <= value if inclusive else b < value))
-
-    block = count(array(bounds[::width]))
-    inside = count(F.slice(array(bounds), (block - 1) * width + 1, F.lit(width)))
-    return F.when(block == 0, F.lit(0)).otherwise((block - 1) * width + inside)
+    return F.aggregate(widths, F.lit(0), step)
 
 
 def touched(pieces: Sequence[Piece], leads: DataFrame) -> list[int]:
@@ -72,6 +68,12 @@ def touched(pieces: Sequence[Piece], leads: DataFrame) -> list[int]:
     return sorted(r[0] for r in found.select(numbers.alias("n")).distinct().collect())
 
 
+def others(pieces: Sequence[Piece], numbers: Sequence[int]) -> list[Piece]:
+    """The pieces but those of the given numbers."""
+    taken = set(numbers)
+    return [p for n, p in enumerate(pieces) if n not in taken]
+
+
 def stretches(numbers: Sequence[int]) -> list[int]:
     """The first of each run of consecutive numbers."""
     return [n for before, n in pairwise([-2, *numbers]) if n != before + 1]

@@ -240,7 +240,7 @@ def resolve(
         return _current(arrivals(spark, root, table, visible), table, markers, newest_by, keep)
     open_ = _touched(spark, root, table, later, pieces, markers)
     merged = _current(arrivals(spark, root, table, visible, open_), table, markers, newest_by, keep)
-    rest = [p for n, p in enumerate(pieces) if n not in set(open_)]
+    rest = clustered.others(pieces, open_)
     if not rest:
         return merged
     return merged.unionByName(clustered.read_pieces(spark, f"{root}/{table}", rest).select(*merged.columns))
@@ -316,7 +316,7 @@ def merge(
     open_ = _touched(spark, root, table, later, pieces, markers) if pieces else []
     rows = arrivals(spark, root, table, visible, open_ if pieces else None)
     total = rows.count()  # as the files say
-    rest = [p for n, p in enumerate(pieces or []) if n not in set(open_)]
+    rest = clustered.others(pieces or [], open_)
     starts = [pieces[n].low for n in clustered.stretches(open_)] if pieces else []
     rows = _current(rows, table, markers, newest_by, ARRIVAL)
     made = clustered.write_pieces(rows, f"{root}/{table}", folder, keys, total, piece_rows, starts)

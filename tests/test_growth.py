@@ -1,5 +1,9 @@
 """What moves, and how much of it, as the tables grow."""
 
+from bisect import bisect_left, bisect_right
+
+from pyspark.sql import functions as F
+
 from shelfmark.operators import clustered, postings
 from shelfmark.workload import QUERIES
 
@@ -35,3 +39,28 @@ def test_pieces_are_cut_inside_tasks(spark, tmp_path):
     assert all(a.high <= b.low for a, b in zip(pieces, pieces[1:]))
     assert not [p for p in pieces if p.low < "003500" <= p.high]
     assert clustered.read_pieces(spark, str(tmp_path), pieces).select("id", "other").exceptAll(rows).count() == 0
+
+
+def test_bounds_are_searched_by_halving(spark):
+    bounds = [f"{n:06d}" for n in range(0, 60_000, 3)]
+    values = spark.createDataFrame([(f"{n:06d}",) for n in range(0, 60_100, 97)] + [("",), ("zz",), (None,)], "v string")
+    for inclusive, search in ((True, bisect_right), (False, bisect_left)):
+        found = values.select("v", clustered.n_below(F.col("v"), bounds, inclusive).alias("n"))
+        assert "filter(" not in _plan(found) and "slice(" not in _plan(found)  # these would go through bounds one by one
+        assert {r.v: r.n for r in found.collect()} == {v: 0 if v is None else search(bounds, v) for (v,) in values.collect()}
+
+
+def test_folders_of_pieces_are_listed_by_few_tasks(spark, tmp_path):
+    rows = spark.range(3_000).selectExpr("lpad(id, 6, '0') AS id")
+    pieces = clustered.write_pieces(rows, str(tmp_path), "base=0", ["id"], 3_000, 8)
+    assert len(pieces) > 300
+    spark.sparkContext.setJobGroup("listing", "pieces are listed")
+    try:
+        read = clustered.read_pieces(spark, str(tmp_path), pieces)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(job).stageIds]
+    assert stages and max(tracker.getStageInfo(s).numTasks for s in stages) <= 256
+    assert read.exceptAll(rows).count() == 0 and read.count() == 3_000
+    assert clustered.others(pieces, range(1, len(pieces))) == pieces[:1]
