@@ -15,7 +15,7 @@ from shelfmark.operators.publish import publish, remove, replaced_name
 from shelfmark.operators.quality import error_budget
 from shelfmark.operators.shred import bad_values, cut_all, shape
 from shelfmark.plans.catalog import MAX_ERRORS, entity as find_entity
-from shelfmark.session import prepare
+from shelfmark.session import prepare, spread
 from shelfmark.sources.snapshot import stream_lines
 
 FILES_PER_TRIGGER = 1000
@@ -43,7 +43,8 @@ def ingest_batch(
     spec = find_entity(entity)
     stored = f"{root}/_records/{entity}/batch={batch:012d}"
     numbered = lines.withColumn("_row", F.monotonically_increasing_id())
-    shape(parse_lines(numbered), entity, mode, lost=True).write.mode("overwrite").parquet(stored)
+    # numbered before they are dealt out: a few large files, which can't be split, are parsed by all cores
+    shape(parse_lines(spread(numbered)), entity, mode, lost=True).write.mode("overwrite").parquet(stored)
     shaped = spark.read.parquet(stored)
 
     # one row per file, at most maxFilesPerTrigger of them

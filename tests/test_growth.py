@@ -1,10 +1,15 @@
 """What moves, and how much of it, as the tables grow."""
 
+import gzip
+import json
 from bisect import bisect_left, bisect_right
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from shelfmark.operators import clustered, postings
+from shelfmark.operators.publish import resolve
+from shelfmark.streaming.runs import run_entities
 from shelfmark.workload import QUERIES
 
 
@@ -64,3 +69,21 @@ def test_folders_of_pieces_are_listed_by_few_tasks(spark, tmp_path):
     assert stages and max(tracker.getStageInfo(s).numTasks for s in stages) <= 256
     assert read.exceptAll(rows).count() == 0 and read.count() == 3_000
     assert clustered.others(pieces, range(1, len(pieces))) == pieces[:1]
+
+
+def test_one_large_file_is_parsed_by_many_tasks(spark, tmp_path):
+    """A gzipped file can't be split; its lines are numbered as they stand in it, then dealt out."""
+    day, root = tmp_path / "snapshot/authors/updated_date=2024-01-01", str(tmp_path / "tables")
+    day.mkdir(parents=True)
+    lines = [json.dumps({"id": f"A{n % 700}", "display_name": f"name {n}"}) for n in range(2_000)] + ["{"]
+    with gzip.open(day / "part.gz", "wt") as file:
+        file.write("\n".join(lines))
+    run_entities(spark, str(tmp_path / "snapshot"), root, ("authors",))
+    batch = Path(root, "authors", "batch=000000000000")
+    assert len(list(batch.glob("part-*"))) > 1
+    names = spark.read.parquet(str(batch)).orderBy("_row").select("display_name").collect()
+    assert [r.display_name for r in names] == [f"name {n}" for n in range(2_000)]
+    got = {r.id: r.display_name for r in resolve(spark, root, "authors").collect()}
+    assert got == {f"A{n % 700}": f"name {n}" for n in range(2_000)}
+    bad = spark.read.parquet(f"{root}/quarantine_authors/batch=000000000000").collect()
+    assert [(r._row, r.raw) for r in bad] == [(2_000, "{")]
